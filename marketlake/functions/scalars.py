@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,39 +49,57 @@ def last_path_part(path: Column | str, above: int = 0) -> Column:
     return F.element_at(F.split(col(path), "/"), -1 - above)
 
 
+# a fraction is split as high * 2^43 + low over 2^73, both halves exact doubles
+_HIGH, _LOW = 2**30, 2**43
+
+
 def fixed(value: Column | str, places: int, comma: bool = False, plus: bool = False) -> Column:
     """Fixed-point text of a double, correctly rounded from its exact binary value (FLT-15).
 
     ``format_string`` and ``bround`` start from the shortest decimal text of a
     double, so 36.45 (binary 36.4500000000000028) would print as 36.4. Here the
-    fraction is scaled by 2^53, which is exact, and rounded half-even in
-    decimal arithmetic.
+    fraction is taken as a whole number over 2^73 (enough bits to see on which
+    side of a tie it lies, up to 6 places) and rounded half-even in decimals.
     """
+    if not 0 <= places <= 6:
+        raise ValueError("0 to 6 places")
     x = col(value).cast("double")
     size = F.abs(x)
     whole = F.floor(size)
-    unit = 2**53
-    bits = ((size - whole) * F.lit(float(unit))).cast("decimal(17,0)")
+    shifted = (size - whole) * F.lit(float(_HIGH))
+    high = F.floor(shifted)
+    low = F.floor((shifted - high) * F.lit(float(_LOW)))
+    bits = high.cast("decimal(10,0)") * F.lit(_LOW).cast("decimal(14,0)") + low.cast("decimal(14,0)")
     scaled = bits * F.lit(10**places).cast("decimal(8,0)")
-    step = F.lit(unit).cast("decimal(17,0)")
+    step = F.lit(Decimal(_HIGH * _LOW))
     rest = scaled % step
-    low = ((scaled - rest) / step).cast("bigint")
-    twice = rest * F.lit(2).cast("decimal(2,0)")
-    odd = (low % 2 == 1) if places else (whole % 2 == 1)
-    up = (twice > step) | ((twice == step) & odd)
-    digits = low + F.when(up, 1).otherwise(0)
+    units = ((scaled - rest) / step).cast("bigint")
+    twice = rest * F.lit(2).cast("decimal(1,0)")
+    odd = (units % 2 == 1) if places else (whole % 2 == 1)
+    digits = units + F.when((twice > step) | ((twice == step) & odd), 1).otherwise(0)
     carry = F.when(digits >= 10**places, 1).otherwise(0)
-    number = whole + carry
-    text = F.format_string("%,d" if comma else "%d", number)
+    text = F.format_string("%,d" if comma else "%d", whole + carry)
     if places:
         text = F.concat(
             text, F.lit("."), F.lpad((digits - carry * 10**places).cast("string"), places, "0")
         )
     # a negative number that rounds to zero keeps its minus sign
-    negative = (x < 0) | (F.signum(x).cast("string") == "-0.0")
+    negative = (x < 0) | (x.cast("string") == "-0.0")
     return F.concat(F.when(negative, "-").otherwise("+" if plus else ""), text)
 
 
+def plain_number(value: Column | str) -> Column:
+    """Shortest text of a double: plain digits from 0.0001 up, else like 1.2e-05."""
+    x = col(value).cast("double")
+    digits = F.regexp_replace(x.cast("decimal(38,10)").cast("string"), "0+$", "")
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    parts = F.split(x.cast("string"), "E-")
+    small = F.concat(
+        F.regexp_replace(parts[0], r"\.0$", ""), F.lit("e-"), F.lpad(F.try_element_at(parts, F.lit(2)), 2, "0")
+    )
+    return F.when((F.abs(x) < 1e-4) & (x != 0), small).otherwise(plain)
+
+
 def signed_int(value: Column | str) -> Column:
     return F.format_string("%+d", col(value).cast("bigint"))
 

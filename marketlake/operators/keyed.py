@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
+    # quoted: flattened feeds have dots in their column names
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    best = df.groupBy(*keys).agg(pick(row, F.struct(*order)).alias("_row"))
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 

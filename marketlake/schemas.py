@@ -21,9 +21,9 @@ EXCHANGE = struct(id=S, name=S, trust=struct(score=L, rank=L))
 MARKET_CHART = struct(prices=PAIRS, market_caps=PAIRS, total_volumes=PAIRS)
 CANDLES = "array<array<double>>"
 
-# p and q arrive as strings; t, E and T are numbers in the message
-TRADE = struct(e=S, E=L, s=S, t=L, p=S, q=S, T=L, m=B)
-TRADE_MESSAGE = struct(stream=S, data=TRADE)
+# Trade fields are e, E, s, t, p, q, T and m: a map keeps names that differ only
+# in case apart, and p and q arrive as text anyway.
+TRADE_MESSAGE = struct(stream=S, data=T.MapType(S, S))
 
 DIM_COINS = struct(coin_id=S, name=S, symbol=S, market_cap_rank=I)
 DIM_DATE = struct(

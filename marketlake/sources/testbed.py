@@ -101,3 +101,83 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
         F.col("embedding").cast("array<double>").alias("embedding"),
         F.col("label").cast("string").alias("coin_id"),
     )
+
+
+# ---- responses as the feeds deliver them ----------------------------------
+# Bodies are grouped by a range of unique order keys or by coin and calendar
+# day, so a body is bounded whatever the data size.
+
+PAGE_KEYS = 20_000
+
+
+def market_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Market pages: one JSON array per month and order-key range."""
+    m = markets(spark, folder).withColumn("date", F.trunc("ingestion_time", "month"))
+    record = F.struct("id", "symbol", "name", "current_price", "market_cap", "market_cap_rank", "total_volume")
+    page = F.floor(F.col("o_orderkey") / PAGE_KEYS)
+    grouped = m.groupBy("date", page.alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", record.alias("r")))).alias("rows")
+    )
+    body = F.to_json(F.transform("rows", lambda x: x["r"]))
+    return grouped.select("date", "page", body.alias("value"))
+
+
+def chart_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """One price-history object per coin; volumes of coin 0 and 1 lack the last entry."""
+    ms = F.unix_millis(F.col("date").cast("timestamp")).cast("double")
+    grouped = daily_prices(spark, folder).groupBy("coin_id").agg(
+        F.array_sort(F.collect_list(F.struct(ms.alias("t"), "price_usd", "market_cap_usd", "volume_usd"))).alias("p")
+    )
+    def pairs(name):
+        return F.transform("p", lambda x: F.array(x["t"], x[name]))
+    volumes = pairs("volume_usd")
+    short = F.when(
+        F.col("coin_id").isin("0", "1"), F.slice(volumes, F.lit(1), F.size("p") - 1)
+    ).otherwise(volumes)
+    body = F.to_json(F.struct(
+        pairs("price_usd").alias("prices"), pairs("market_cap_usd").alias("market_caps"),
+        short.alias("total_volumes"),
+    ))
+    return grouped.select("coin_id", F.lit("2001-12-01").alias("fetched"), body.alias("value"))
+
+
+def candle_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """One bare array of [ms, open, high, low, close] per coin."""
+    ms = F.unix_millis(F.col("date").cast("timestamp")).cast("double")
+    p = F.col("price_usd")
+    candle = F.array(ms, p, p + 1, p - 1, p + 0.5)
+    grouped = daily_prices(spark, folder).groupBy("coin_id").agg(
+        F.array_sort(F.collect_list(candle)).alias("c")
+    )
+    return grouped.select("coin_id", F.lit("2001-12-01").alias("fetched"), F.to_json("c").alias("value"))
+
+
+def exchange_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Exchange pages with a nested object: suppliers, per range of keys."""
+    s = table(spark, folder, "supplier")
+    record = F.struct(
+        F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"),
+        F.struct(
+            F.col("s_nationkey").cast("bigint").alias("score"), (F.col("s_suppkey") % 7).alias("rank")
+        ).alias("trust"),
+    )
+    grouped = s.groupBy(F.floor(F.col("s_suppkey") / 250).alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("s_suppkey", record.alias("r")))).alias("rows")
+    )
+    return grouped.select(
+        F.lit("2001-12-01").alias("date"), "page", F.to_json(F.transform("rows", lambda x: x["r"])).alias("value"))
+
+
+def global_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """One wrapped object per order month with nested currency objects."""
+    o = table(spark, folder, "orders")
+    grouped = o.groupBy(F.trunc("o_orderdate", "month").alias("date")).agg(
+        F.count("*").alias("active"), F.max("o_totalprice").alias("top"), F.min("o_totalprice").alias("low"))
+    body = F.to_json(F.struct(F.struct(
+        F.col("active").alias("active_coins"), F.col("top").alias("top_price"),
+        F.struct(F.col("top").alias("usd"), F.col("low").alias("eur")).alias("total_market_cap"),
+    ).alias("data")))
+    return grouped.select("date", body.alias("value"))
+
+
+GLOBAL_SCHEMA = "active_coins bigint, top_price double, total_market_cap struct<usd:double,eur:double>"

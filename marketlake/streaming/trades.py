@@ -33,23 +33,25 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 
     A message without ``data`` is kept as an empty trade.
     """
-    options = {"allowSingleQuotes": "false"}
-    parsed = F.from_json(F.col(value), schemas.TRADE_MESSAGE, {**options, "mode": "PERMISSIVE"})
-    # a document that is no object has no keys; text that is no JSON neither
+    parsed = F.from_json(F.col(value), schemas.TRADE_MESSAGE, {"allowSingleQuotes": "false"})
     return messages.select(
         F.col(value).alias("message"),
+        # null for text that is no JSON object
         F.json_object_keys(value).isNotNull().alias("valid"),
-        parsed["data"].alias("data"),
+        F.coalesce(parsed["data"], F.create_map().cast("map<string,string>")).alias("data"),
     )
 
 
+def _field(name: str) -> Column:
+    return F.try_element_at(F.col("data"), F.lit(name))
+
+
 def bronze_trades(parsed: DataFrame) -> DataFrame:
-    """Valid messages with their raw fields plus the folder columns (STR-03)."""
-    symbol = F.coalesce(F.lower("data.s"), F.lit("unknown"))
+    """Trade objects untouched, as text, with the folder columns (STR-03)."""
     return parsed.where("valid").select(
-        *[F.col(f"data.{f.name}").alias(f.name) for f in schemas.TRADE.fields if f.name not in ("E", "T")],
-        F.col("data.E").alias("event_ms"), F.col("data.T").alias("trade_ms"),
-        symbol.alias("symbol"), F.to_date(epoch_ms("data.T")).alias("date"),
+        F.coalesce(F.get_json_object("message", "$.data"), F.lit("{}")).alias("value"),
+        F.coalesce(F.lower(_field("s")), F.lit("unknown")).alias("symbol"),
+        F.to_date(epoch_ms(_field("T").try_cast("bigint"))).alias("date"),
     )
 
 
@@ -61,11 +63,11 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 def normalise(parsed: DataFrame) -> DataFrame:
     """Typed trades: upper-case symbol, event time, numbers from text (STR-01)."""
     return parsed.where("valid").select(
-        F.upper(F.coalesce("data.s", F.lit("unknown"))).alias("symbol"),
-        F.col("data.t").alias("trade_id"),
-        epoch_ms("data.T").alias("trade_time"),
-        F.col("data.p").try_cast("double").alias("price"),
-        F.col("data.q").try_cast("double").alias("quantity"),
+        F.upper(F.coalesce(_field("s"), F.lit("unknown"))).alias("symbol"),
+        _field("t").try_cast("bigint").alias("trade_id"),
+        epoch_ms(_field("T").try_cast("bigint")).alias("trade_time"),
+        _field("p").try_cast("double").alias("price"),
+        _field("q").try_cast("double").alias("quantity"),
     )
 
 
@@ -116,7 +118,7 @@ def _write(df: DataFrame, path: str, checkpoint: str, partitions: list[str], for
         df.writeStream.format(form)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", FLUSH_ROWS if form == "json" else 0)
+        .option("maxRecordsPerFile", FLUSH_ROWS if form == "text" else 0)
         .outputMode("append")
     )
     if partitions:
@@ -134,7 +136,7 @@ def land_bronze(messages: DataFrame, path: str, checkpoint: str, bounded: bool =
     ``bounded`` drains what is there and stops (STR-06); otherwise the caller
     ends the run with ``awaitTermination(seconds)`` and ``stop()``.
     """
-    return _write(bronze_trades(parse_messages(messages)), path, checkpoint, ["symbol", "date"], "json", bounded)
+    return _write(bronze_trades(parse_messages(messages)), path, checkpoint, ["symbol", "date"], "text", bounded)
 
 
 def land_candles(
