@@ -1,10 +1,14 @@
 """Long series cut into blocks, and exponentially decayed sums over them.
 
-A series is numbered 0..n per key and cut into blocks of ``BLOCK`` rows, so one
-long series is spread over many tasks. Rolling frames reach back across a
-block edge through *ghost* rows: the last ``halo`` rows of a block are copied
-into the next one. Recursive averages are scanned inside each block and the
-carry into a block is a short weighted sum over the blocks before it.
+A series is numbered 0..n per key and cut into blocks, so one long series is
+spread over many tasks. What a row needs from before its block comes in as
+*ghost* rows, copies of the last ``halo`` rows of the block before. Rolling
+frames need a few of them; a recursive average needs as many as still matter
+in double precision. A daily series of less than ``BLOCK`` days is one block
+and has no ghosts.
+
+Everything is window expressions over (key, block): no self-join, no gathering
+of a key, and one sort shared by all of them.
 """
 
 from __future__ import annotations
@@ -15,11 +19,49 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BLOCK = 512
+BLOCK = 8192
 # weights below this share of the first one cannot change a double
-NEGLIGIBLE = 1e-20
-# decay**-BLOCK must stay finite
-SMALLEST_DECAY = 0.3
+NEGLIGIBLE = 1e-30
+# keep**-offset must stay well inside the double range
+LARGEST_SCALE = 1e200
+
+
+@dataclass(frozen=True)
+class Decay:
+    """The recursion D(0) = first, D(t) = term + keep * D(t-1)."""
+
+    name: str
+    first: Column
+    term: Column
+    keep: float
+
+    @property
+    def memory(self) -> int:
+        """Rows after which a value no longer matters."""
+        return memory(self.keep)
+
+
+def memory(keep: float) -> int:
+    return math.ceil(math.log(NEGLIGIBLE) / math.log(keep)) if keep > 0 else 0
+
+
+def ema_keep(span: int) -> float:
+    return 1.0 - 2.0 / (span + 1)
+
+
+def wilder_keep(period: int) -> float:
+    return 1.0 - 1.0 / period
+
+
+def ema_decay(name: str, value: Column, span: int) -> Decay:
+    """EMA seeded with the first value: weight 2/(span+1) on the new one (WIN-07)."""
+    keep = ema_keep(span)
+    return Decay(name, value, value * (1.0 - keep), keep)
+
+
+def wilder_decay(name: str, value: Column, period: int) -> Decay:
+    """Decayed sum with factor 1 - 1/period; its normaliser cancels in a ratio."""
+    return Decay(name, value, value, wilder_keep(period))
 
 
 def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = None) -> DataFrame:
@@ -29,7 +71,8 @@ def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = Non
     function of ``order`` (a day, a year), no task has to hold a whole key:
     rows are counted per (key, bucket) with a map-side partial, the counts are
     summed up over the short list of buckets, and only the rows of one bucket
-    are numbered together.
+    are numbered together. The input is read twice, the first time for its key
+    and order alone, so hand in a stored table rather than a long computation.
     """
     if bucket is None:
         place = F.row_number().over(Window.partitionBy(key).orderBy(order))
@@ -49,97 +92,72 @@ def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = Non
     )
 
 
-def cut(df: DataFrame, key: str, halo: int = 0, size: int = BLOCK) -> DataFrame:
-    """Add ``block`` and ``ghost``; needs ``pos``."""
-    if halo >= size:
-        raise ValueError(f"halo {halo} must be smaller than the block size {size}")
+def cut(df: DataFrame, halo: int, stretch: int, size: int = BLOCK) -> DataFrame:
+    """Add ``block``, ``ghost`` and ``stretch``; needs ``pos``.
+
+    A stretch is a run of rows short enough for one scaled running sum.
+    """
+    homes = F.transform(
+        F.sequence(F.lit(0), F.lit(-(-halo // size))), lambda i: F.floor(F.col("pos") / size) + i
+    )
+    # a row belongs to its own block and is a ghost where the block starts within reach
+    near = F.filter(homes, lambda b: b * size - F.col("pos") <= halo)
     own = F.floor(F.col("pos") / size)
-    if not halo:
-        return df.withColumn("block", own).withColumn("ghost", F.lit(False))
-    homes = F.when(F.col("pos") % size >= size - halo, F.array(own, own + 1)).otherwise(F.array(own))
     return (
-        df.withColumn("block", F.explode(homes))
+        df.withColumn("block", F.explode(near))
         .withColumn("ghost", F.col("block") != own)
-        .repartition(key, "block")
+        .withColumn("stretch", F.floor(F.col("pos") / stretch))
     )
 
 
 def in_block(key: str) -> WindowSpec:
-    return Window.partitionBy(key, "block").orderBy("pos")
+    return Window.partitionBy(key, "block").orderBy("stretch", "pos")
 
 
-@dataclass(frozen=True)
-class Decay:
-    """The recursion D(0) = first, D(t) = term + keep * D(t-1)."""
-
-    name: str
-    first: Column
-    term: Column
-    keep: float
+def stretch_for(keeps: list[float]) -> int:
+    """Longest run of rows whose scale factors stay finite for all decays."""
+    fastest = min((k for k in keeps if k > 0), default=0.5)
+    return max(1, int(math.log(LARGEST_SCALE) / -math.log(fastest)))
 
 
-def ema_decay(name: str, value: Column, span: int) -> Decay:
-    """EMA seeded with the first value: weight 2/(span+1) on the new one (WIN-07)."""
-    alpha = 2.0 / (span + 1)
-    return Decay(name, value, value * alpha, 1.0 - alpha)
+def decayed(df: DataFrame, key: str, decays: list[Decay], stretch: int) -> DataFrame:
+    """Add one column per decay to rows from ``cut``.
 
+    Within a stretch the sum is a running sum of ``term * keep**-offset``,
+    scaled back by ``keep**offset``. What earlier stretches of the block still
+    weigh comes from their last rows, through range frames that hold one
+    stretch each. Values on ghost rows within the decay's memory of the block's
+    start are incomplete; ``halo`` must cover that memory.
+    """
+    offset = F.col("pos") % stretch
+    running = (
+        Window.partitionBy(key, "block", "stretch").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    moving = [d for d in decays if d.keep > 0]
+    scanned = df.withColumns({
+        **{d.name: d.first for d in decays if d.keep <= 0},
+        **{
+            d.name: F.pow(F.lit(d.keep), offset)
+            * F.sum(
+                F.when(F.col("pos") == 0, d.first).otherwise(d.term) * F.pow(F.lit(1.0 / d.keep), offset)
+            ).over(running)
+            for d in moving
+        },
+    })
 
-def wilder_decay(name: str, value: Column, period: int) -> Decay:
-    """Decayed sum with factor 1 - 1/period; its normaliser cancels in a ratio."""
-    return Decay(name, value, value, 1.0 - 1.0 / period)
+    def carried(d: Decay) -> Column:
+        last = F.when(offset == stretch - 1, F.col(d.name))
+        total = F.lit(0.0)
+        for back in range(1, max(1, -(-d.memory // stretch)) + 1):
+            frame = Window.partitionBy(key, "block").orderBy("stretch").rangeBetween(-back, -back)
+            total = total + F.coalesce(F.sum(last).over(frame), F.lit(0.0)) * (d.keep**stretch) ** (back - 1)
+        return total
 
+    return scanned.withColumns({
+        d.name: F.col(d.name) + carried(d) * F.pow(F.lit(d.keep), offset + 1) for d in moving
+    })
 
-def decayed(df: DataFrame, key: str, decays: list[Decay], size: int = BLOCK) -> DataFrame:
-    """Add one column per decay. ``df`` comes from ``cut``; ghosts are dropped.
 
-    Inside a block the sum is a running sum of ``term * keep**-offset`` scaled
-    back by ``keep**offset``. Whole blocks decay by ``keep**size``, so the carry
-    needs only as many earlier blocks as still matter in double precision; each
-    block end is sent to exactly those followers and summed there. No key is
-    ever gathered in one place.
-    """
-    moving = [d for d in decays if d.keep > 0]
-    for d in moving:
-        if d.keep < SMALLEST_DECAY:
-            raise ValueError(f"{d.name}: decay {d.keep} is too small for blocks of {size}")
-    offset = F.col("pos") - F.col("block") * size
-    running = in_block(key).rowsBetween(Window.unboundedPreceding, 0)
-    local = {
-        d.name: F.pow(F.lit(d.keep), offset)
-        * F.sum(
-            F.when(F.col("pos") == 0, d.first).otherwise(d.term) * F.pow(F.lit(1.0 / d.keep), offset)
-        ).over(running)
-        for d in moving
-    }
-    rows = df.where(~F.col("ghost")).withColumns(
-        {d.name: d.first for d in decays if d.keep <= 0} | local
-    )
-    if not moving:
-        return rows.drop("ghost")
-    reach = max(
-        max(1, math.ceil(math.log(NEGLIGIBLE) / (size * math.log(d.keep)))) for d in moving
-    )
-    ends = rows.where(offset == size - 1).select(
-        key, "block", *[F.col(d.name).alias(f"_end_{d.name}") for d in moving]
-    )
-    carries = (
-        ends.withColumn("_ahead", F.explode(F.sequence(F.lit(1), F.lit(reach))))
-        .withColumn("block", F.col("block") + F.col("_ahead"))
-        .groupBy(key, "block")
-        .agg(*[
-            F.sum(
-                F.col(f"_end_{d.name}") * F.pow(F.lit(d.keep**size), F.col("_ahead") - 1)
-            ).alias(f"_carry_{d.name}")
-            for d in moving
-        ])
-    )
-    full = {
-        d.name: F.col(d.name)
-        + F.coalesce(F.col(f"_carry_{d.name}"), F.lit(0.0)) * F.pow(F.lit(d.keep), offset + 1)
-        for d in moving
-    }
-    return (
-        rows.join(carries, [key, "block"], "left")
-        .withColumns(full)
-        .drop("ghost", *[f"_carry_{d.name}" for d in moving])
-    )
+def own_rows(df: DataFrame) -> DataFrame:
+    """Drop the ghosts and the helper columns."""
+    return df.where(~F.col("ghost")).drop("ghost", "block", "stretch", "pos")

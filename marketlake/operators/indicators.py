@@ -219,50 +219,53 @@ def snapshots(facts: DataFrame, coins: DataFrame | None = None) -> DataFrame:
 
 def ema_series(
     df: DataFrame, key: str, order: str, value: str, spans: list[int], bucket: Column | None = None,
+    size: int = blocks.BLOCK,
 ) -> DataFrame:
     """EMA of a whole series, one column ``ema_<span>`` per span (WIN-07)."""
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), key)
-    return blocks.decayed(
-        rows, key, [blocks.ema_decay(f"ema_{s}", F.col(value), s) for s in spans]
-    ).drop("block", "pos")
+    keeps = [blocks.ema_keep(s) for s in spans]
+    stretch = blocks.stretch_for(keeps)
+    rows = blocks.cut(
+        blocks.number_rows(df, key, order, bucket), max(blocks.memory(k) for k in keeps), stretch, size)
+    decays = [blocks.ema_decay(f"ema_{s}", F.col(value), s) for s in spans]
+    return blocks.own_rows(blocks.decayed(rows, key, decays, stretch))
 
 
-def macd_series(
-    df: DataFrame, key: str, order: str, value: str, fast: int = MACD_FAST, slow: int = MACD_SLOW,
-    signal: int = MACD_SIGNAL, bucket: Column | None = None,
-) -> DataFrame:
-    """MACD line, signal line and histogram for every row (WIN-08)."""
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), key)
-    return _macd(rows, key, value, fast, slow, signal).drop("block", "pos")
+def _macd_plan(fast: int, slow: int, signal: int, *more: float) -> tuple[int, int]:
+    """Halo and stretch: the signal line needs complete MACD values on its own ghosts."""
+    outer = [blocks.ema_keep(fast), blocks.ema_keep(slow), *more]
+    inner = blocks.ema_keep(signal)
+    return max(blocks.memory(k) for k in outer) + blocks.memory(inner), blocks.stretch_for([*outer, inner])
 
 
-def _macd(rows: DataFrame, key: str, value: str, fast: int, slow: int, signal: int,
+def _macd(rows: DataFrame, key: str, value: str, fast: int, slow: int, signal: int, stretch: int,
           more: list[blocks.Decay] | None = None) -> DataFrame:
     x = F.col(value)
     averaged = blocks.decayed(
         rows, key,
-        [blocks.ema_decay("_fast", x, fast), blocks.ema_decay("_slow", x, slow), *(more or [])],
-    ).withColumn("macd_line", F.col("_fast") - F.col("_slow")).withColumn("ghost", F.lit(False))
+        [blocks.ema_decay("_fast", x, fast), blocks.ema_decay("_slow", x, slow), *(more or [])], stretch,
+    ).withColumn("macd_line", F.col("_fast") - F.col("_slow"))
     signalled = blocks.decayed(
-        averaged, key, [blocks.ema_decay("macd_signal", F.col("macd_line"), signal)]
-    )
+        averaged, key, [blocks.ema_decay("macd_signal", F.col("macd_line"), signal)], stretch)
     return signalled.withColumn(
         "macd_histogram", F.col("macd_line") - F.col("macd_signal")
     ).drop("_fast", "_slow")
 
 
-def rsi_series(
-    df: DataFrame, key: str, order: str, value: str, period: int = RSI_PERIOD,
-    bucket: Column | None = None,
+def macd_series(
+    df: DataFrame, key: str, order: str, value: str, fast: int = MACD_FAST, slow: int = MACD_SLOW,
+    signal: int = MACD_SIGNAL, bucket: Column | None = None, size: int = blocks.BLOCK,
 ) -> DataFrame:
-    """RSI for every row, null before ``period`` rows or without any loss (WIN-09)."""
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), key, halo=1)
+    """MACD line, signal line and histogram for every row (WIN-08)."""
+    halo, stretch = _macd_plan(fast, slow, signal)
+    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), halo, stretch, size)
+    return blocks.own_rows(_macd(rows, key, value, fast, slow, signal, stretch))
+
+
+def _gain_loss_decays(rows: DataFrame, key: str, value: str, period: int) -> tuple[DataFrame, list[blocks.Decay]]:
     gain, loss = series.gain_loss(value, blocks.in_block(key))
-    moved = blocks.decayed(
-        rows.withColumns({"_g": gain, "_l": loss}), key,
-        [blocks.wilder_decay("_gain", F.col("_g"), period), blocks.wilder_decay("_loss", F.col("_l"), period)],
-    )
-    return moved.withColumn("rsi", _rsi(period)).drop("block", "pos", "_g", "_l", "_gain", "_loss")
+    return rows.withColumns({"_g": gain, "_l": loss}), [
+        blocks.wilder_decay("_gain", F.col("_g"), period), blocks.wilder_decay("_loss", F.col("_l"), period),
+    ]
 
 
 def _rsi(period: int) -> Column:
@@ -270,36 +273,46 @@ def _rsi(period: int) -> Column:
     return F.when(F.col("pos") >= period - 1, 100 - 100 / (1 + rs))
 
 
+def rsi_series(
+    df: DataFrame, key: str, order: str, value: str, period: int = RSI_PERIOD,
+    bucket: Column | None = None, size: int = blocks.BLOCK,
+) -> DataFrame:
+    """RSI for every row, null before ``period`` rows or without any loss (WIN-09)."""
+    keep = blocks.wilder_keep(period)
+    stretch = blocks.stretch_for([keep])
+    # one row more: the first ghost has no row before it to take a difference from
+    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), blocks.memory(keep) + 1, stretch, size)
+    stepped, decays = _gain_loss_decays(rows, key, value, period)
+    moved = blocks.decayed(stepped, key, decays, stretch).withColumn("rsi", _rsi(period))
+    return blocks.own_rows(moved).drop("_g", "_l", "_gain", "_loss")
+
+
 def indicator_series(
     df: DataFrame, key: str = "coin_id", order: str = "date", price: str = "price_usd",
-    volume: str = "volume_usd", bucket: Column | None = None,
+    volume: str = "volume_usd", bucket: Column | None = None, size: int = blocks.BLOCK,
 ) -> DataFrame:
     """Every indicator for every row of every series (WIN-17).
 
     Works on series of any length: all windows are partitioned by (key, block).
     Pass ``bucket`` for series that are not bounded by the calendar.
     """
+    halo, stretch = _macd_plan(MACD_FAST, MACD_SLOW, MACD_SIGNAL, blocks.wilder_keep(RSI_PERIOD))
     rows = blocks.cut(
-        blocks.number_rows(df, key, order, bucket), key, halo=max(SMA_LONG, VOLUME_PERIOD) - 1
-    )
+        blocks.number_rows(df, key, order, bucket), max(halo + 1, SMA_LONG, VOLUME_PERIOD), stretch, size)
     w = blocks.in_block(key)
     upper, middle, lower = series.bollinger(price, w, BAND_PERIOD, BAND_WIDTH)
-    gain, loss = series.gain_loss(price, w)
-    framed = rows.withColumns({
+    stepped, decays = _gain_loss_decays(rows, key, price, RSI_PERIOD)
+    framed = stepped.withColumns({
         "sma_20": series.sma(price, SMA_SHORT, w),
         "sma_50": series.sma(price, SMA_LONG, w),
         "bb_upper": upper, "bb_middle": middle, "bb_lower": lower,
         "volume_ratio": series.volume_ratio(volume, w, VOLUME_PERIOD),
-        "_g": gain, "_l": loss,
     })
-    scanned = _macd(
-        framed, key, price, MACD_FAST, MACD_SLOW, MACD_SIGNAL,
-        [blocks.wilder_decay("_gain", F.col("_g"), RSI_PERIOD),
-         blocks.wilder_decay("_loss", F.col("_l"), RSI_PERIOD)],
-    )
-    return scanned.withColumns({
+    scanned = _macd(framed, key, price, MACD_FAST, MACD_SLOW, MACD_SIGNAL, stretch, decays)
+    full = scanned.withColumns({
         "rsi_14": _rsi(RSI_PERIOD),
         "price_vs_sma20": series.gap_percent(price, "sma_20"),
         "price_vs_sma50": series.gap_percent(price, "sma_50"),
         "bb_position": series.band_position(price, "bb_lower", "bb_upper"),
-    }).drop("_g", "_l", "_gain", "_loss", "pos", "block")
+    })
+    return blocks.own_rows(full).drop("_g", "_l", "_gain", "_loss")

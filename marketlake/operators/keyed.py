@@ -13,22 +13,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
+def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[str], best, best_by) -> DataFrame:
     # quoted: flattened feeds have dots in their column names
-    row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    best = df.groupBy(*keys).agg(pick(row, F.struct(*order)).alias("_row"))
-    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    rest = [c for c in df.columns if c not in keys]
+    if len(order) == 1:
+        # One buffer per column: with fixed-width columns this is a hash
+        # aggregate without any sort. Every column sees the rows in the same
+        # order, so equal orders still give the columns of one and the same row.
+        at = F.col(f"`{order[0]}`")
+        return df.groupBy(*keys).agg(*[
+            (best(at) if c == order[0] else best_by(F.col(f"`{c}`"), at)).alias(c) for c in rest
+        ])
+    # one comparable row, the order columns first
+    others = [c for c in rest if c not in order]
+    row = F.struct(*[F.col(f"`{c}`") for c in (*order, *others)])
+    picked = df.groupBy(*keys).agg(best(row).alias("_row"))
+    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` (AGG-11, AGG-12)."""
-    return _keep(df, keys, order, F.max_by)
+    """One row per key: the one with the greatest ``order`` (AGG-11, AGG-12).
+
+    ``order`` columns must not be null.
+    """
+    return _keep(df, keys, order, F.max, F.max_by)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one with the smallest ``order`` (AGG-10)."""
-    return _keep(df, keys, order, F.min_by)
+    return _keep(df, keys, order, F.min, F.min_by)
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[str], n: int | None = None) -> DataFrame:

@@ -52,12 +52,12 @@ raw AS (
          l_extendedprice / l_quantity AS price_usd,
          l_extendedprice * (1 - l_discount) AS market_cap_usd,
          l_extendedprice AS volume_usd,
-         l_orderkey AS k1, l_linenumber AS k2, l_partkey AS k3
+         (l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey % 1048576 AS seq
   FROM lineitem)""",
     "daily": """
 daily AS (
   SELECT coin_id, "date", price_usd, market_cap_usd, volume_usd FROM raw
-  QUALIFY row_number() OVER (PARTITION BY coin_id, "date" ORDER BY k1 DESC, k2 DESC, k3 DESC) = 1)""",
+  QUALIFY row_number() OVER (PARTITION BY coin_id, "date" ORDER BY seq DESC) = 1)""",
     "fact": """
 fact AS (
   SELECT CAST(strftime("date", '%Y%m%d') AS INTEGER) AS date_id, "date", price_usd, market_cap_usd,

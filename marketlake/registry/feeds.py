@@ -235,16 +235,14 @@ UNION ALL SELECT 'global_market', count(DISTINCT date_trunc('month', o_orderdate
     "daily", "markets", extra=_CHART))
 def silver_build(spark, d):
     raw, out = shared_folder(spark, "raw"), shared_folder(spark, "silver")
-    folder = "folder"  # plain date folders as the feed writer makes them
-    coin = F.concat_ws("/", "coin_id", "fetched")
-    for name, bodies, where in (
-        ("markets", testbed.market_pages(spark, d), F.col("date").cast("string")),
-        ("global_market", testbed.global_bodies(spark, d), F.col("date").cast("string")),
-        ("exchanges", testbed.exchange_pages(spark, d), F.col("date")),
-        ("market_chart", testbed.chart_bodies(spark, d), coin),
-        ("ohlc", testbed.candle_bodies(spark, d), coin),
+    for name, bodies, folders in (
+        ("markets", testbed.market_pages(spark, d), ["page", "date"]),
+        ("global_market", testbed.global_bodies(spark, d), ["date"]),
+        ("exchanges", testbed.exchange_pages(spark, d), ["page", "date"]),
+        ("market_chart", testbed.chart_bodies(spark, d), ["coin_id", "fetched"]),
+        ("ohlc", testbed.candle_bodies(spark, d), ["coin_id", "fetched"]),
     ):
-        write_plain(spark, bodies.withColumn(folder, where), f"{raw}/{name}", folder)
+        bronze.write_responses(bodies, f"{raw}/{name}", folders)
     inner = spark.createDataFrame([], testbed.GLOBAL_SCHEMA).schema
     silver.convert_all(spark, raw, out, inner, at())
     counts = [
@@ -258,26 +256,6 @@ def silver_build(spark, d):
     return result
 
 
-def write_plain(spark, bodies, path, folder):
-    """One file per body under plain folders, written by the tasks that hold the bodies.
-
-    Spark's own writer names folders ``column=value``; the feeds do not.
-    """
-    conf = {k: v for k, v in (("base", path),)}
-
-    def write(rows):
-        import os
-        import uuid
-
-        for row in rows:
-            target = os.path.join(conf["base"].removeprefix("file:"), row[folder])
-            os.makedirs(target, exist_ok=True)
-            with open(os.path.join(target, f"response_{uuid.uuid4().hex}.json"), "w", encoding="utf-8") as f:
-                f.write(row["value"])
-
-    bodies.select(folder, "value").foreachPartition(write)
-
-
 @query("snk_01_bronze_round_trip", sql("""
 SELECT id, current_price, CAST(date_trunc('month', ingestion_time) AS DATE) AS "date" FROM markets""", "markets"))
 def bronze_round_trip(spark, d):

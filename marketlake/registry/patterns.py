@@ -116,7 +116,7 @@ def similar_other(spark, d):
 def similarity_join(spark, d):
     # the way for a query side of any size
     v = testbed.vectors(spark, d)
-    out = similarity.similar_patterns(v, v, 3, exclude_self=True, small=0)
+    out = similarity.similar_patterns(v, v, 3, exclude_self=True, small=0, chunk=64)
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
@@ -130,7 +130,7 @@ def top_match(spark, d):
 @query("pat_04_approximate")
 def approximate(spark, d):
     v = testbed.vectors(spark, d)
-    return similarity.similar_patterns(v, v, 5, probe=32)
+    return similarity.similar_patterns(v, v, 5, probe=3, chunk=64)
 
 
 @query("pat_05_count", "SELECT count(*) AS patterns FROM embeddings")

@@ -197,10 +197,10 @@ def distinct_coins(spark, d):
 
 
 @query("agg_10_keep_first", sql("""
-SELECT coin_id, "date", price_usd, k1, k2, k3 FROM raw
-QUALIFY row_number() OVER (PARTITION BY coin_id, "date" ORDER BY k1, k2, k3) = 1""", "raw"))
+SELECT coin_id, "date", price_usd, seq FROM raw
+QUALIFY row_number() OVER (PARTITION BY coin_id, "date" ORDER BY seq) = 1""", "raw"))
 def keep_first(spark, d):
-    rows = testbed.raw_prices(spark, d).select("coin_id", "date", "price_usd", "k1", "k2", "k3")
+    rows = testbed.raw_prices(spark, d).select("coin_id", "date", "price_usd", "seq")
     return keyed.keep_first(rows, ["coin_id", "date"], testbed.PRICE_ORDER)
 
 

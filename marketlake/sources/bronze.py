@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake import schemas
-from marketlake.functions.scalars import last_path_part, strip_prefix
+from marketlake.functions.scalars import last_path_part
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -68,14 +68,19 @@ def _missing(spark: SparkSession, path: str, schema: T.StructType, required: boo
     return spark.createDataFrame([], schema)
 
 
+def folder_value(levels_above_file: int) -> Column:
+    """Name of a folder above the file; of a ``column=value`` folder only the value."""
+    return F.regexp_replace(last_path_part("file_path", levels_above_file), "^[^=]*=", "")
+
+
 def dataset_folder(levels_above_file: int = 2) -> Column:
-    """Name of the folder that identifies a response: ``{dataset}/{id}/{date}/file``."""
-    return strip_prefix(last_path_part("file_path", levels_above_file), "coin_id=")
+    """The id a response belongs to: ``{dataset}/{id}/{date}/file``."""
+    return folder_value(levels_above_file)
 
 
 def fetch_date(levels_above_file: int = 1) -> Column:
     """Date folder of a response; null if the folder is no date."""
-    return last_path_part("file_path", levels_above_file).try_cast("date")
+    return folder_value(levels_above_file).try_cast("date")
 
 
 def write_bronze(df: DataFrame, path: str, partitions: list[str], mode: str = "append") -> None:

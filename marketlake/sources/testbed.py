@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.plans import gold
 
 # ingestion order of the raw price rows; unique within (coin, date)
-PRICE_ORDER = ["k1", "k2", "k3"]
+PRICE_ORDER = ["seq"]
 # the five coins and five symbols the dashboards follow, the first is the anchor
 COINS = ["0", "1", "2", "3", "4"]
 SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
@@ -26,9 +26,8 @@ def raw_prices(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price_usd"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("market_cap_usd"),
         F.col("l_extendedprice").alias("volume_usd"),
-        F.col("l_orderkey").alias("k1"),
-        F.col("l_linenumber").alias("k2"),
-        F.col("l_partkey").alias("k3"),
+        # order, line (1 to 7), part
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1048576 + F.col("l_partkey") % 1048576).alias("seq"),
     )
 
 
