@@ -19,22 +19,23 @@ VOLUME_PERIOD = 20
 MIN_HISTORY = 30
 
 
-def _ema_weight(span: int, back: Column, first: Column) -> Column:
-    """Weight of the value ``back`` rows ago in an EMA seeded with the first row."""
-    a = 2.0 / (span + 1)
-    return F.when(first, 1.0).otherwise(a) * F.pow(F.lit(1.0 - a), back)
+def _ema_weight(span: int, power: Column, first: Column) -> Column:
+    """Weight of a value in an EMA seeded with the first row.
+
+    ``power`` is (1 - 2/(span+1)) to the number of rows the value lies back.
+    """
+    return F.when(first, power).otherwise(power * (2.0 / (span + 1)))
 
 
-def _ema_of_ema_weight(inner: int, outer: int, back: Column, first: Column) -> Column:
-    """Weight of a value in the EMA (span ``outer``) of an EMA (span ``inner``)."""
+def _ema_of_ema_weight(inner: int, outer: int, pk: Column, qk: Column, first: Column) -> Column:
+    """Weight of a value in the EMA (span ``outer``) of an EMA (span ``inner``).
+
+    ``pk`` and ``qk`` are the powers of the inner and the outer EMA; the spans differ.
+    """
     a, b = 2.0 / (inner + 1), 2.0 / (outer + 1)
     p, q = 1.0 - a, 1.0 - b
-    if inner == outer:
-        decay = F.pow(F.lit(p), back)
-        return F.when(first, (1 + a * back) * decay).otherwise(a * a * (back + 1) * decay)
-    qk, pk = F.pow(F.lit(q), back), F.pow(F.lit(p), back)
-    seeded = qk + b * p * (qk - pk) / (q - p)
-    later = a * b * (q * qk - p * pk) / (q - p)
+    seeded = qk + (qk - pk) * (b * p / (q - p))
+    later = (qk * q - pk * p) * (a * b / (q - p))
     return F.when(first, seeded).otherwise(later)
 
 
@@ -55,7 +56,6 @@ def raw_indicators(facts: DataFrame) -> DataFrame:
     """
     w = series.by_time("coin_id", "date")
     whole = Window.partitionBy("coin_id")
-    x = F.col("price_usd")
     gain, loss = series.gain_loss("price_usd", w)
     rows = facts.select(
         "coin_id", "date", "price_usd", "market_cap_usd", "volume_usd", "daily_return",
@@ -67,16 +67,29 @@ def raw_indicators(facts: DataFrame) -> DataFrame:
     ).where(F.col("last") + 1 >= MIN_HISTORY)
 
     back = F.col("last") - F.col("j")
-    first = F.col("j") == 0
-    y = x - F.col("base")
+    spans = {"_fast": MACD_FAST, "_slow": MACD_SLOW, "_outer": MACD_SIGNAL}
+    keep = {name: 1.0 - 2.0 / (span + 1) for name, span in spans.items()}
+    # the powers are computed once per row, the weights below only scale them
+    rows = rows.withColumns({
+        "back": back, "y": F.col("price_usd") - F.col("base"),
+        **{name: F.pow(F.lit(k), back) for name, k in keep.items()},
+        "_wilder": F.pow(F.lit(1.0 - 1.0 / RSI_PERIOD), back),
+    })
+    back, first, y = F.col("back"), F.col("j") == 0, F.col("y")
 
-    def line_weight(k: Column) -> Column:
-        return _ema_weight(MACD_FAST, k, first) - _ema_weight(MACD_SLOW, k, first)
+    def power(name: str, earlier: int) -> Column:
+        return F.col(name) * (keep[name] ** -earlier)
 
-    def signal_weight(k: Column) -> Column:
-        return _ema_of_ema_weight(MACD_FAST, MACD_SIGNAL, k, first) - _ema_of_ema_weight(
-            MACD_SLOW, MACD_SIGNAL, k, first
-        )
+    def line_weight(earlier: int = 0) -> Column:
+        """Weight in the MACD line ``earlier`` rows before the end."""
+        return _ema_weight(MACD_FAST, power("_fast", earlier), first) - _ema_weight(
+            MACD_SLOW, power("_slow", earlier), first)
+
+    def signal_weight(earlier: int = 0) -> Column:
+        outer = power("_outer", earlier)
+        return _ema_of_ema_weight(
+            MACD_FAST, MACD_SIGNAL, power("_fast", earlier), outer, first
+        ) - _ema_of_ema_weight(MACD_SLOW, MACD_SIGNAL, power("_slow", earlier), outer, first)
 
     def recent(value: str, n: int, agg) -> Column:
         inside = F.when(back < n, F.col(value))
@@ -85,7 +98,6 @@ def raw_indicators(facts: DataFrame) -> DataFrame:
     def at_end(value: str) -> Column:
         return F.max(F.when(back == 0, F.col(value)))
 
-    wilder = F.pow(F.lit(1.0 - 1.0 / RSI_PERIOD), back)
     earlier = back >= 1
     r = missing_as_null("daily_return")
     sign = F.when(r > 0, 1).when(r < 0, -1).otherwise(0)
@@ -93,12 +105,12 @@ def raw_indicators(facts: DataFrame) -> DataFrame:
         (F.max("last") + 1).alias("n"),
         F.max("date").alias("date"),
         *[at_end(c).alias(c) for c in ("price_usd", "market_cap_usd", "volume_usd", "daily_return")],
-        F.sum(y * line_weight(back)).alias("macd_line"),
-        F.sum(y * signal_weight(back)).alias("macd_signal"),
-        F.sum(F.when(earlier, y * line_weight(back - 1))).alias("_line_before"),
-        F.sum(F.when(earlier, y * signal_weight(back - 1))).alias("_signal_before"),
-        F.sum(F.col("gain") * wilder).alias("_gain"),
-        F.sum(F.col("loss") * wilder).alias("_loss"),
+        F.sum(y * line_weight()).alias("macd_line"),
+        F.sum(y * signal_weight()).alias("macd_signal"),
+        F.sum(F.when(earlier, y * line_weight(1))).alias("_line_before"),
+        F.sum(F.when(earlier, y * signal_weight(1))).alias("_signal_before"),
+        F.sum(F.col("gain") * F.col("_wilder")).alias("_gain"),
+        F.sum(F.col("loss") * F.col("_wilder")).alias("_loss"),
         recent("price_usd", SMA_SHORT, F.avg).alias("sma_20"),
         recent("price_usd", SMA_LONG, F.avg).alias("sma_50"),
         recent("price_usd", BAND_PERIOD, F.avg).alias("bb_middle"),

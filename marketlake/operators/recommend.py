@@ -128,7 +128,12 @@ def parse_answers(df: DataFrame, response: str = "response") -> DataFrame:
     text is parsed once and the generated code stays small.
     """
     doc = F.col("_doc")
-    read = df.withColumn("_body", answer_body(F.col(response))).withColumn("_doc", F.try_parse_json("_body"))
+    # The parser stops after the first value. Text behind it would pass, so the
+    # body has to be a valid value inside an object and inside an array.
+    in_object, in_array = _join('{"x":', F.col("_body"), "}"), _join("[", F.col("_body"), "]")
+    whole = F.when(F.try_parse_json(in_array).isNotNull(), F.try_parse_json(in_object))
+    read = df.withColumn("_body", answer_body(F.col(response))).withColumn(
+        "_doc", F.try_variant_get(whole, "$.x", "variant"))
     typed = read.withColumns({
         **{f"_{k}": F.try_variant_get(doc, f"$.{k}", "variant") for k in ANSWER_FIELDS},
         "_type": F.schema_of_variant(doc),

@@ -116,7 +116,7 @@ def similar_other(spark, d):
 def similarity_join(spark, d):
     # the way for a query side of any size
     v = testbed.vectors(spark, d)
-    out = similarity.similar_patterns(v, v, 3, exclude_self=True, small=0, chunk=64)
+    out = similarity.similar_patterns(v, v, 3, exclude_self=True, small=0, chunk=256)
     return out.withColumn("similarity", F.round("similarity", 6))
 
 

@@ -32,7 +32,7 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType, required:
     full = T.StructType([*schema.fields, T.StructField("file_path", T.StringType()), T.StructField("pos", T.IntegerType())])
     if not path_exists(spark, path):
         return _missing(spark, path, full, required)
-    text = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path)
+    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     rows = _with_origin(text).select(
         "file_path", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "_r")
     )
@@ -58,7 +58,7 @@ def read_arrays(
     if not path_exists(spark, path):
         empty = spark.createDataFrame([], f"items {element}, file_path string")
         return _missing(spark, path, empty.schema, required)
-    text = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path)
+    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return _with_origin(text).select(F.from_json("value", element).alias("items"), "file_path")
 
 
