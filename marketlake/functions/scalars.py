@@ -65,27 +65,43 @@ def fixed(value: Column | str, places: int, comma: bool = False, plus: bool = Fa
         raise ValueError("0 to 6 places")
     x = col(value).cast("double")
     size = F.abs(x)
-    whole = F.floor(size)
-    shifted = (size - whole) * F.lit(float(_HIGH))
-    high = F.floor(shifted)
-    low = F.floor((shifted - high) * F.lit(float(_LOW)))
-    bits = high.cast("decimal(10,0)") * F.lit(_LOW).cast("decimal(14,0)") + low.cast("decimal(14,0)")
-    scaled = bits * F.lit(10**places).cast("decimal(8,0)")
     step = F.lit(Decimal(_HIGH * _LOW))
-    rest = scaled % step
-    units = ((scaled - rest) / step).cast("bigint")
-    twice = rest * F.lit(2).cast("decimal(1,0)")
-    odd = (units % 2 == 1) if places else (whole % 2 == 1)
-    digits = units + F.when((twice > step) | ((twice == step) & odd), 1).otherwise(0)
-    carry = F.when(digits >= 10**places, 1).otherwise(0)
-    text = F.format_string("%,d" if comma else "%d", whole + carry)
-    if places:
-        text = F.concat(
-            text, F.lit("."), F.lpad((digits - carry * 10**places).cast("string"), places, "0")
-        )
+
+    def scale(s: Column) -> Column:
+        shifted = (s["size"] - s["whole"]) * F.lit(float(_HIGH))
+        low = F.floor((shifted - F.floor(shifted)) * F.lit(float(_LOW)))
+        bits = F.floor(shifted).cast("decimal(10,0)") * F.lit(_LOW).cast("decimal(14,0)") + low.cast("decimal(14,0)")
+        scaled = bits * F.lit(10**places).cast("decimal(8,0)")
+        return F.struct(s["whole"].alias("whole"), scaled.alias("scaled"))
+
+    def divide(s: Column) -> Column:
+        rest = s["scaled"] % step
+        units = ((s["scaled"] - rest) / step).cast("bigint")
+        return F.struct(s["whole"].alias("whole"), units.alias("units"), (rest * F.lit(2).cast("decimal(1,0)")).alias("twice"))
+
+    def round_even(s: Column) -> Column:
+        odd = (s["units"] % 2 == 1) if places else (s["whole"] % 2 == 1)
+        up = (s["twice"] > step) | ((s["twice"] == step) & odd)
+        return F.struct(s["whole"].alias("whole"), (s["units"] + F.when(up, 1).otherwise(0)).alias("digits"))
+
+    def write(s: Column) -> Column:
+        full = s["digits"] >= 10**places
+        text = F.format_string("%,d" if comma else "%d", s["whole"] + F.when(full, 1).otherwise(0))
+        if not places:
+            return text
+        return F.concat(text, F.lit("."), F.lpad((s["digits"] % 10**places).cast("string"), places, "0"))
+
+    out = F.struct(size.alias("size"), F.floor(size).alias("whole"))
+    for stage in (scale, divide, round_even, write):
+        out = _bind(out, stage)
     # a negative number that rounds to zero keeps its minus sign
     negative = (x < 0) | (x.cast("string") == "-0.0")
-    return F.concat(F.when(negative, "-").otherwise("+" if plus else ""), text)
+    return F.when(x.isNotNull(), F.concat(F.when(negative, "-").otherwise("+" if plus else ""), out))
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def plain_number(value: Column | str) -> Column:

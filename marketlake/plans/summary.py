@@ -156,16 +156,17 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """
     value = F.col(column)
     kept = df.where(value.isNotNull())
-    bounds = kept.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    width = (F.col("hi") - F.col("lo")) / bins
-    place = F.when(F.col("hi") > F.col("lo"), F.floor((value - F.col("lo")) / F.nullif(width, F.lit(0.0)))).otherwise(0)
+    bounds = kept.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("b")).scalar()
+    width = (F.col("b.hi") - F.col("b.lo")) / bins
+    place = F.when(
+        F.col("b.hi") > F.col("b.lo"), F.floor((value - F.col("b.lo")) / F.nullif(width, F.lit(0.0)))
+    ).otherwise(0)
     return (
-        kept.select(value.alias(column), lo.alias("lo"), hi.alias("hi"))
-        .select("lo", "hi", F.least(F.lit(bins), place + 1).cast("int").alias("bin"))
+        kept.select(value.alias(column), bounds.alias("b"))
+        .select("b.lo", "b.hi", F.least(F.lit(bins), place + 1).cast("int").alias("bin"))
         .groupBy("bin", "lo", "hi")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_start"), "n")
+        .select("bin", (F.col("lo") + (F.col("bin") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_start"), "n")
     )
 
 

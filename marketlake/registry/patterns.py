@@ -1,5 +1,7 @@
 """Patterns, recommendations and summary marts (PAT-*, REC-*, SUM-*, FLT-15..18)."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from marketlake.operators import indicators, recommend, similarity
@@ -15,10 +17,22 @@ def snapshots(spark, d):
     return indicators.snapshots(testbed.facts(spark, d), testbed.coins(spark, d))
 
 
+def stored_snapshots(spark, d):
+    """Snapshots as the table later steps read; they need them more than once."""
+    path = shared_folder(spark, "snapshots")
+    tables.write_gold(snapshots(spark, d), path)
+    return tables.read_table(spark, path)
+
+
 def recs(spark, d):
-    """Rule-based records; the place in the run is the numeric coin id."""
-    out = recommend.fallback(snapshots(spark, d), at=F.lit(AT))
-    return out.withColumn("pos", F.col("coin_id").cast("int"))
+    """Rule-based records of the coins."""
+    return recommend.fallback(snapshots(spark, d), at=F.lit(AT))
+
+
+def answered(spark, d):
+    """One record per model answer, in the order of the events."""
+    out = recommend.decide(answers(spark, d), at=F.lit(AT))
+    return out.withColumn("pos", F.col("coin_id").cast("bigint"))
 
 
 # ---- text -------------------------------------------------------------------
@@ -72,7 +86,7 @@ vectors AS (
 SELECT id, i AS place, round_even(v[i] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS weight
 FROM (SELECT id, v, CAST(unnest(range(1, 10)) AS INTEGER) AS i FROM vectors)""", "snapshot", extra=_VECTORS))
 def pattern_vectors(spark, d):
-    out = similarity.pattern_vectors(snapshots(spark, d))
+    out = similarity.pattern_vectors(stored_snapshots(spark, d))
     return out.select("id", F.posexplode("embedding").alias("place", "weight")).select(
         "id", (F.col("place") + 1).alias("place"), F.bround("weight", 6).alias("weight"))
 
@@ -82,7 +96,7 @@ SELECT id, coin_id, price_usd FROM (
   SELECT coin_id || '_' || CAST("date" AS VARCHAR) AS id, coin_id,
     CASE WHEN signal = 'neutral' THEN price_usd ELSE price_usd * 2 END AS price_usd FROM snapshot)""", "snapshot"))
 def upsert(spark, d):
-    first = similarity.pattern_vectors(snapshots(spark, d))
+    first = similarity.pattern_vectors(stored_snapshots(spark, d))
     text = recommend.snapshot_text()
     stored = first.withColumn("document", text)
     again = first.where("signal <> 'neutral'").withColumn("price_usd", F.col("price_usd") * 2)
@@ -255,26 +269,52 @@ def with_fallback(spark, d):
 def _matched(spark, d):
     """The 20 best-ranked coins matched against the stored collection."""
     path = shared_folder(spark, "patterns")
-    tables.write_gold(similarity.pattern_vectors(snapshots(spark, d)), path)
+    tables.write_gold(similarity.pattern_vectors(stored_snapshots(spark, d)), path)
     patterns = tables.read_table(spark, path)
     top = gold.ranked(testbed.coins(spark, d).where("market_cap_rank IS NOT NULL"), 20)
     asked = patterns.join(F.broadcast(top.select("coin_id")), "coin_id", "left_semi")
     return asked, similarity.similar_patterns(asked, patterns, 5), patterns
 
 
-@query("rec_04_recommend")
+_FOUND = _VECTORS + """,
+asked AS (
+  SELECT coin_id FROM coins WHERE market_cap_rank IS NOT NULL ORDER BY market_cap_rank LIMIT 20),
+near AS (
+  SELECT q.coin_id, p.coin_id AS other, round(list_cosine_similarity(q.v, p.v), 9) AS similarity,
+    row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(q.v, p.v), 9) DESC, p.id) AS rank
+  FROM vectors q JOIN asked USING (coin_id), vectors p QUALIFY rank <= 5),
+listed AS (
+  SELECT n.coin_id, count(*) AS similar_patterns, string_agg('Pattern ' || n.rank || ' (similarity: ' || format('{:.2f}', n.similarity)
+    || '):' || chr(10) || '  ' || s.symbol || ' on ' || CAST(s."date" AS VARCHAR) || ' — RSI: ' || CAST(s.rsi_14 AS VARCHAR)
+    || ', MACD hist: ' || CAST(s.macd_histogram AS VARCHAR) || ', Signal: ' || s.signal || ', Daily return: '
+    || format('{:+.2f}', s.daily_return * 100) || '%' || chr(10) || '  Volume ratio: ' || format('{:.2f}', s.volume_ratio) || 'x',
+    chr(10) ORDER BY n.rank) AS patterns_text
+  FROM near n JOIN snapshot s ON s.coin_id = n.other GROUP BY n.coin_id)"""
+
+
+@query("rec_04_recommend", sql(f"""
+SELECT coin_id, symbol, name, action, CAST(confidence AS INTEGER) AS confidence, reasoning, risk_level, timeframe,
+  CAST(similar_patterns AS INTEGER) AS similar_patterns, '{AT}' AS generated_at FROM recs JOIN listed USING (coin_id)""",
+    "recs", extra=_FOUND))
 def recommend_all(spark, d):
     top, matches, patterns = _matched(spark, d)
     return recommend.recommend(top, matches, patterns, at=F.lit(AT))
 
 
-@query("flt_17_patterns_text")
+@query("flt_17_patterns_text", sql("SELECT coin_id, patterns_text FROM listed", "snapshot", extra=_FOUND))
 def patterns_text(spark, d):
     top, matches, patterns = _matched(spark, d)
     return recommend.with_patterns(top, matches, patterns).select("coin_id", "patterns_text")
 
 
-@query("flt_18_prompt")
+_PROMPT_SQL = " || ".join(
+    {"snapshot": f"({_TEXT})", "patterns": "patterns_text", "symbol": "upper(symbol)"}.get(
+        part, "'" + part.replace("'", "''") + "'")
+    for part in re.split(r"[{}]", recommend.PROMPT))
+
+
+@query("flt_18_prompt", sql(
+    f"SELECT coin_id, {_PROMPT_SQL} AS prompt FROM snapshot JOIN listed USING (coin_id)", "snapshot", extra=_FOUND))
 def prompt(spark, d):
     top, matches, patterns = _matched(spark, d)
     return recommend.with_patterns(top, matches, patterns).select("coin_id", "prompt")
@@ -282,26 +322,37 @@ def prompt(spark, d):
 
 # ---- summary ----------------------------------------------------------------
 
-_COUNTS = """
+_FINAL = """
+final AS (
+  SELECT event_id,
+    CASE WHEN usable THEN action WHEN rsi_14 < 30 THEN 'BUY' WHEN rsi_14 > 70 THEN 'SELL' ELSE 'HOLD' END AS action,
+    CASE WHEN usable THEN confidence WHEN rsi_14 < 30 OR rsi_14 > 70 THEN 55 ELSE 40 END AS confidence
+  FROM decided),
 counts AS (
   SELECT count(*) FILTER (WHERE action = 'BUY') AS buy, count(*) FILTER (WHERE action = 'SELL') AS sell,
-    count(*) FILTER (WHERE action = 'HOLD') AS hold, count(*) AS total_coins FROM recs),
+    count(*) FILTER (WHERE action = 'HOLD') AS hold, count(*) AS total_coins FROM final),
 felt AS (
   SELECT *, CASE WHEN buy > sell * 2 THEN 'BULLISH' WHEN sell > buy * 2 THEN 'BEARISH' ELSE 'NEUTRAL' END AS market_sentiment
   FROM counts)"""
+_RUN = ",".join([_ANSWERS.strip(), _PARSED, _FINAL])
 
 
 def _top_sql(action):
     return sql(f"""
-SELECT coin_id, symbol, action, CAST(confidence AS INTEGER) AS confidence, risk_level, reasoning, CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (ORDER BY confidence DESC, CAST(coin_id AS INTEGER)) AS rank FROM recs
-  WHERE action = '{action}') WHERE rank <= 3""", "recs")
+SELECT CAST(event_id AS VARCHAR) AS coin_id, action, CAST(confidence AS INTEGER) AS confidence, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (ORDER BY confidence DESC, event_id) AS rank FROM final WHERE action = '{action}')
+WHERE rank <= 3""", extra=_RUN)
 
 
 @query("sum_01_market_summary", sql(f"""
-SELECT market_sentiment, buy, sell, hold, total_coins, '{AT}' AS generated_at FROM felt""", "recs", extra=_COUNTS))
+SELECT market_sentiment, buy, sell, hold, total_coins, '{AT}' AS generated_at FROM felt""", extra=_RUN))
 def market_summary(spark, d):
-    return summary.signal_counts(recs(spark, d))
+    return summary.signal_counts(answered(spark, d))
+
+
+@query("agg_05_conditional_counts", sql("SELECT buy, sell, hold FROM counts", extra=_RUN))
+def conditional_counts(spark, d):
+    return summary.signal_counts(answered(spark, d)).select("buy", "sell", "hold")
 
 
 @query("sum_02_recommendations", sql(f"""
@@ -321,7 +372,7 @@ def indicators_table(spark, d):
 for _name, _action in (("buys", "BUY"), ("sells", "SELL")):
     @query(f"sum_04_top_{_name}", _top_sql(_action))
     def top_actions(spark, d, action=_action):
-        return summary.top_actions(recs(spark, d), action)
+        return summary.top_actions(answered(spark, d), action).select("coin_id", "action", "confidence", "rank")
 
 
 @query("sum_05_metrics", sql("""
@@ -329,15 +380,15 @@ SELECT 'market_sentiment' AS target, market_sentiment AS "value" FROM felt
 UNION ALL SELECT 'total_coins', CAST(total_coins AS VARCHAR) FROM felt
 UNION ALL SELECT 'signal_counts.buy', CAST(buy AS VARCHAR) FROM felt
 UNION ALL SELECT 'signal_counts.sell', CAST(sell AS VARCHAR) FROM felt
-UNION ALL SELECT 'signal_counts.hold', CAST(hold AS VARCHAR) FROM felt""", "recs", extra=_COUNTS))
+UNION ALL SELECT 'signal_counts.hold', CAST(hold AS VARCHAR) FROM felt""", extra=_RUN))
 def metrics(spark, d):
-    return summary.metrics(summary.market_summary(recs(spark, d)))
+    return summary.metrics(summary.market_summary(answered(spark, d)))
 
 
 @query("flt_10_dotted_path", sql(
-    "SELECT 'signal_counts.buy' AS target, CAST(buy AS VARCHAR) AS \"value\" FROM felt", "recs", extra=_COUNTS))
+    "SELECT 'signal_counts.buy' AS target, CAST(buy AS VARCHAR) AS \"value\" FROM felt", extra=_RUN))
 def dotted(spark, d):
-    return summary.metric(summary.market_summary(recs(spark, d)), "signal_counts.buy")
+    return summary.metric(summary.market_summary(answered(spark, d)), "signal_counts.buy")
 
 
 @query("sum_06_tag_values", sql("""

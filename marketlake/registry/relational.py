@@ -161,15 +161,6 @@ def avg_by_name(spark, d):
     return named.agg(F.bround(F.try_divide(F.sum("s"), F.sum("n")), 4).alias("avg_volume"))
 
 
-@query("agg_05_conditional_counts", sql("""
-SELECT count(*) FILTER (WHERE action = 'BUY') AS buy, count(*) FILTER (WHERE action = 'SELL') AS sell,
-       count(*) FILTER (WHERE action = 'HOLD') AS hold FROM recs""", "recs"))
-def conditional_counts(spark, d):
-    from marketlake.operators import recommend
-    recs = recommend.fallback(indicators.snapshots(testbed.facts(spark, d)))
-    return recs.agg(*[F.count_if(F.col("action") == a).alias(a.lower()) for a in ("BUY", "SELL", "HOLD")])
-
-
 @query("agg_06_value_counts", sql("SELECT symbol, count(*) AS n FROM trades GROUP BY symbol ORDER BY n DESC", "trades"))
 def value_counts(spark, d):
     counts = testbed.trades(spark, d).groupBy("symbol").agg(F.count("*").alias("n"))
@@ -177,10 +168,10 @@ def value_counts(spark, d):
 
 
 @query("agg_07_rsi_histogram", sql("""
-SELECT bin, lo + (bin - 1) * width AS bin_start, count(*) AS n FROM (
-  SELECT lo, width, CAST(least(20, 1 + CAST(floor((rsi_14 - lo) / width) AS INTEGER)) AS INTEGER) AS bin
-  FROM snapshot, (SELECT min(rsi_14) AS lo, (max(rsi_14) - min(rsi_14)) / 20 AS width FROM snapshot))
-GROUP BY bin, lo, width""", "snapshot"))
+SELECT bin, lo + (bin - 1) * span / 20 AS bin_start, count(*) AS n FROM (
+  SELECT lo, span, CAST(least(20, 1 + CAST(floor((rsi_14 - lo) / (span / 20)) AS INTEGER)) AS INTEGER) AS bin
+  FROM snapshot, (SELECT min(rsi_14) AS lo, max(rsi_14) - min(rsi_14) AS span FROM snapshot))
+GROUP BY bin, lo, span""", "snapshot"))
 def rsi_histogram(spark, d):
     from marketlake.plans import summary
     return summary.histogram(indicators.snapshots(testbed.facts(spark, d)), "rsi_14", 20)

@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # top-k per group is cut down in each task first, also for a large k
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # numeric-looking ids in partition folders must stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
