@@ -19,7 +19,11 @@ def _clock(ingestion_time: Column | None) -> Column:
 
 
 def markets(spark: SparkSession, path: str, ingestion_time: Column | None = None, schema: T.StructType = schemas.MARKET) -> DataFrame:
-    """All pages of every date, nested fields dotted; partition ``snapshot_date``."""
+    """All pages of every date, nested fields dotted; partition ``snapshot_date``.
+
+    ``file_path`` and ``pos`` stay: only they tell which of two rows of a coin,
+    converted by the same run, was fetched later.
+    """
     rows = bronze.read_records(spark, path, schema).withColumn("snapshot_date", bronze.fetch_date())
     return flatten.flatten_records(rows, _clock(ingestion_time))
 
@@ -78,7 +82,7 @@ def convert_all(
     Returns the names of the feeds written. A feed without raw data is skipped.
     """
     build = {
-        "markets": lambda p: markets(spark, p, ingestion_time).drop("file_path", "pos"),
+        "markets": lambda p: markets(spark, p, ingestion_time),
         "global_market": lambda p: global_market(spark, p, global_schema, ingestion_time),
         "market_chart": lambda p: market_chart(spark, p, ingestion_time),
         "ohlc": lambda p: ohlc(spark, p, ingestion_time),
