@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # top-k per group is cut down in each task first, also for a large k
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # state of the trade stream may outgrow the executors' memory
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # numeric-looking ids in partition folders must stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
