@@ -92,11 +92,15 @@ def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = Non
     )
 
 
-def cut(df: DataFrame, halo: int, stretch: int, size: int = BLOCK) -> DataFrame:
+def cut(df: DataFrame, halo: int, stretch: int, size: int | None = None) -> DataFrame:
     """Add ``block``, ``ghost`` and ``stretch``; needs ``pos``.
 
-    A stretch is a run of rows short enough for one scaled running sum.
+    A stretch is a run of rows short enough for one scaled running sum. Without
+    ``size`` a block is at least twice as long as its halo, so that at most
+    every second row is copied.
     """
+    if size is None:
+        size = max(BLOCK, 2 * halo)
     homes = F.transform(
         F.sequence(F.lit(0), F.lit(-(-halo // size))), lambda i: F.floor(F.col("pos") / size) + i
     )

@@ -231,7 +231,7 @@ def snapshots(facts: DataFrame, coins: DataFrame | None = None) -> DataFrame:
 
 def ema_series(
     df: DataFrame, key: str, order: str, value: str, spans: list[int], bucket: Column | None = None,
-    size: int = blocks.BLOCK,
+    size: int | None = None,
 ) -> DataFrame:
     """EMA of a whole series, one column ``ema_<span>`` per span (WIN-07)."""
     keeps = [blocks.ema_keep(s) for s in spans]
@@ -265,7 +265,7 @@ def _macd(rows: DataFrame, key: str, value: str, fast: int, slow: int, signal: i
 
 def macd_series(
     df: DataFrame, key: str, order: str, value: str, fast: int = MACD_FAST, slow: int = MACD_SLOW,
-    signal: int = MACD_SIGNAL, bucket: Column | None = None, size: int = blocks.BLOCK,
+    signal: int = MACD_SIGNAL, bucket: Column | None = None, size: int | None = None,
 ) -> DataFrame:
     """MACD line, signal line and histogram for every row (WIN-08)."""
     halo, stretch = _macd_plan(fast, slow, signal)
@@ -287,7 +287,7 @@ def _rsi(period: int) -> Column:
 
 def rsi_series(
     df: DataFrame, key: str, order: str, value: str, period: int = RSI_PERIOD,
-    bucket: Column | None = None, size: int = blocks.BLOCK,
+    bucket: Column | None = None, size: int | None = None,
 ) -> DataFrame:
     """RSI for every row, null before ``period`` rows or without any loss (WIN-09)."""
     keep = blocks.wilder_keep(period)
@@ -301,7 +301,7 @@ def rsi_series(
 
 def indicator_series(
     df: DataFrame, key: str = "coin_id", order: str = "date", price: str = "price_usd",
-    volume: str = "volume_usd", bucket: Column | None = None, size: int = blocks.BLOCK,
+    volume: str = "volume_usd", bucket: Column | None = None, size: int | None = None,
 ) -> DataFrame:
     """Every indicator for every row of every series (WIN-17).
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -176,12 +177,23 @@ recs AS (
     'MEDIUM' AS risk_level, 'short-term' AS timeframe
   FROM snapshot)""",
 }
+# the same series blocks over minute candles instead of daily facts
+_PARTS["candle_fact"] = """
+candle_fact AS (
+  SELECT symbol AS coin_id, window_start AS "date", "close" AS price_usd, volume AS volume_usd,
+         CAST(NULL AS DOUBLE) AS daily_return
+  FROM candles)"""
+for _name, _source in (("numbered", "fact"), ("walk", "numbered"), ("series", "numbered")):
+    _text = re.sub(rf"\b{_source}\b", f"candle_{_source}", _PARTS[_name])
+    _PARTS[f"candle_{_name}"] = re.sub(r"(?<!candle_)\b(numbered|walk|series)\b", r"candle_\1", _text)
+
 # what each block needs before it
 _CHAINS = {
     "raw": [], "daily": ["raw"], "fact": ["raw", "daily"], "coins": [], "markets": [],
     "latest_market": ["markets"], "trades": [], "candles": ["trades"],
     "numbered": ["raw", "daily", "fact"],
 }
+_CHAINS["candle_series"] = ["trades", "candles", "candle_fact", "candle_numbered", "candle_walk"]
 _CHAINS["walk"] = [*_CHAINS["numbered"], "numbered"]
 _CHAINS["series"] = [*_CHAINS["walk"], "walk"]
 _CHAINS["streaks"] = [*_CHAINS["series"], "series"]

@@ -7,12 +7,13 @@ back, so the readers see real files.
 from pyspark.sql import functions as F
 
 from marketlake.functions import flatten, scalars
-from marketlake.operators import indicators, keyed
-from marketlake.plans import gold, silver
+from marketlake.operators import indicators
+from marketlake.plans import silver
 from marketlake.registry.core import query, sql
 from marketlake.schemas import FACT_DAILY_PRICES, MARKET
 from marketlake.session import shared_folder
 from marketlake.sources import bronze, tables, testbed
+from marketlake.streaming import trades
 
 AT = "2001-12-01 06:00:00"
 
@@ -330,8 +331,6 @@ def catalog_table(spark, d):
 
 @query("snk_08_partition_discovery", sql("SELECT symbol, count(*) AS n FROM candles GROUP BY symbol", "candles"))
 def partition_discovery(spark, d):
-    from marketlake.streaming import trades
-
     path = shared_folder(spark, "discovery")
     tables.create_database(spark)
     tables.create_table(spark, "fact_ohlcv_1m", path)

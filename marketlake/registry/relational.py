@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import scalars
 from marketlake.operators import indicators, keyed
-from marketlake.plans import dashboards, gold
+from marketlake.plans import dashboards, gold, summary
 from marketlake.registry.core import query, sql
 from marketlake.sources import tables, testbed
 
@@ -173,7 +173,6 @@ SELECT bin, lo + (bin - 1) * span / 20 AS bin_start, count(*) AS n FROM (
   FROM snapshot, (SELECT min(rsi_14) AS lo, max(rsi_14) - min(rsi_14) AS span FROM snapshot))
 GROUP BY bin, lo, span""", "snapshot"))
 def rsi_histogram(spark, d):
-    from marketlake.plans import summary
     return summary.histogram(indicators.snapshots(testbed.facts(spark, d)), "rsi_14", 20)
 
 
@@ -272,7 +271,6 @@ def top_per_action(spark, d):
 @query("top_08_sort_column", sql("""
 SELECT id, name, current_price FROM latest_market ORDER BY current_price""", "latest_market"))
 def sort_column(spark, d):
-    from marketlake.plans import summary
     rows = keyed.keep_last(testbed.markets(spark, d), ["id"], testbed.MARKET_ORDER)
     return summary.sort_by(rows, "current_price", ["id", "current_price"]).select("id", "name", "current_price")
 
@@ -321,7 +319,6 @@ def history_and_snapshot(spark, d):
 SELECT 'coin_id' AS kind, coin_id AS text FROM coins UNION SELECT 'coin_id', id FROM markets
 UNION SELECT 'signal', symbol FROM markets""", "coins", "markets"))
 def tag_values(spark, d):
-    from marketlake.plans import summary
     markets = testbed.markets(spark, d)
     return summary.tag_values(
         markets.select(F.col("id").alias("coin_id"), F.col("symbol").alias("signal")), testbed.coins(spark, d))

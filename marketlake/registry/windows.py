@@ -6,7 +6,9 @@ from marketlake.functions.scalars import rsi_band
 from marketlake.operators import indicators, series
 from marketlake.operators.keyed import keep_last
 from marketlake.registry.core import query, sql
-from marketlake.sources import testbed
+from marketlake.session import shared_folder
+from marketlake.sources import tables, testbed
+from marketlake.streaming import trades
 
 def w():
     return series.by_time("coin_id", "date")
@@ -154,6 +156,23 @@ def indicator_series(spark, d):
     return out.select("coin_id", "date", *[F.bround(c, 4).alias(c) for c in names])
 
 
+@query("win_17_candle_series", sql("""
+SELECT coin_id AS symbol, "date" AS window_start, round_even(rsi, 4) AS rsi_14, round_even(macd_line, 6) AS macd_line,
+  round_even(hist, 6) AS macd_histogram, round_even(sma_20, 4) AS sma_20, round_even(sma_50, 4) AS sma_50,
+  round_even(vr, 4) AS volume_ratio FROM candle_series""", "candle_series"))
+def candle_series(spark, d):
+    """Few symbols hold all candles: numbered by day, cut into blocks."""
+    path = shared_folder(spark, "candles")
+    tables.write_gold(trades.candles(testbed.trades(spark, d)), path)
+    out = indicators.indicator_series(
+        tables.read_table(spark, path), "symbol", "window_start", "close", "volume",
+        bucket=F.to_date("window_start"), size=2048)
+    return out.select(
+        "symbol", "window_start", F.bround("rsi_14", 4).alias("rsi_14"), r6("macd_line").alias("macd_line"),
+        r6("macd_histogram").alias("macd_histogram"),
+        *[F.bround(c, 4).alias(c) for c in ("sma_20", "sma_50", "volume_ratio")])
+
+
 @query("fil_06_min_history", sql(
     "SELECT coin_id, count(*) AS n FROM daily GROUP BY coin_id HAVING count(*) >= 30", "daily"))
 def min_history(spark, d):

@@ -69,7 +69,7 @@ def prices(spark):
     return frame(), spark.createDataFrame(frame())
 
 
-@pytest.mark.parametrize("size", [blocks.BLOCK, 256])
+@pytest.mark.parametrize("size", [None, 256])
 def test_whole_series(prices, size):
     pdf, df = prices
     want = pd.concat(expected(g) for _, g in pdf.groupby("coin_id"))
@@ -98,10 +98,10 @@ def test_a_block_never_holds_more_than_its_share(spark):
     assert rows.where("not ghost").count() == 5000
 
 
-@pytest.mark.parametrize("spans", [[1], [2, 3], [200], [1, 12, 500]])
-def test_ema_spans(prices, spans):
+@pytest.mark.parametrize("spans,size", [([1], 256), ([2, 3], 256), ([200], 256), ([1, 12, 500], 1024), ([5000], None)])
+def test_ema_spans(prices, spans, size):
     pdf, df = prices
-    out = indicators.ema_series(df, "coin_id", "date", "price_usd", spans, size=256).toPandas()
+    out = indicators.ema_series(df, "coin_id", "date", "price_usd", spans, size=size).toPandas()
     for s in spans:
         want = pdf.assign(**{f"ema_{s}": pdf.groupby("coin_id")["price_usd"].transform(
             lambda x, s=s: x.ewm(span=s, adjust=False).mean())})
