@@ -29,12 +29,17 @@ def markets(spark: SparkSession, path: str, ingestion_time: Column | None = None
 
 
 def global_market(spark: SparkSession, path: str, inner: T.StructType, ingestion_time: Column | None = None) -> DataFrame:
-    """One row of plain fields per response; partition ``snapshot_date`` is the fetch date."""
-    wrapped = T.StructType([T.StructField("data", inner)])
-    rows = bronze.read_objects(spark, path, wrapped)
-    flat = flatten.flatten_wrapped(
-        rows.select(F.struct("data.*", "file_path").alias("data")), _clock(ingestion_time)
-    )
+    """One row of plain fields per response; partition ``snapshot_date`` is the fetch date.
+
+    A response without the ``data`` wrapper is taken as the object itself.
+    """
+    both = T.StructType([T.StructField("data", inner), *inner.fields])
+    rows = bronze.read_objects(spark, path, both)
+    wrapped = F.col("data").isNotNull()
+    fields = [
+        F.when(wrapped, F.col("data")[f.name]).otherwise(F.col(f"`{f.name}`")).alias(f.name) for f in inner.fields
+    ]
+    flat = flatten.flatten_wrapped(rows.select(*fields, "file_path"), _clock(ingestion_time))
     return flat.withColumn("snapshot_date", bronze.fetch_date()).drop("file_path")
 
 

@@ -85,6 +85,12 @@ def test_approximate_recall(data):
     assert len(got & want) / len(want) > 0.85
 
 
+def test_cosine_expression(spark):
+    df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([1.0, 0.0], [0.0, 0.0])], "a array<double>, b array<double>")
+    got = [r[0] for r in df.select(similarity.cosine(F.col("a"), F.col("b"))).collect()]
+    assert got == pytest.approx([0.96, 0.0])
+
+
 def test_vectors_store_and_errors(spark):
     fields = {c: 1.0 for c in similarity.FEATURES + similarity.META}
     snapshots = pd.DataFrame([

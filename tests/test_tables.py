@@ -39,6 +39,7 @@ def raw(tmp_path):
     put(base / "exchanges/2024-01-01/response_1.json", [{"id": "e", "name": "old", "trust": {"score": 1, "rank": 2}}])
     put(base / "exchanges/2024-01-01/response_2.json", [{"id": "e", "name": "new", "trust": {"score": 3, "rank": 4}}])
     put(base / "global_market/2024-01-01/response_1.json", {"data": {"active_coins": 5, "top_price": 1.5, "total_market_cap": {"usd": 1, "eur": 2}}})
+    put(base / "global_market/2024-01-02/response_1.json", {"active_coins": 6, "total_market_cap": {"usd": 1}})
     return base
 
 
@@ -65,7 +66,7 @@ def test_silver_conversion_and_rerun(spark, raw, tmp_path):
         e = tables.read_table(spark, f"{out}/exchanges").collect()
         assert [(r["name"], r["trust.score"]) for r in e] == [("new", 3)]
         g = tables.read_table(spark, f"{out}/global_market").drop("ingestion_time").collect()
-        assert [tuple(r) for r in g] == [(5, 1.5, "2024-01-01")]
+        assert sorted(tuple(r) for r in g) == [(5, 1.5, "2024-01-01"), (6, None, "2024-01-02")]
 
 
 def test_missing_feeds(spark, raw, tmp_path):
