@@ -221,7 +221,9 @@ def decide(
 def with_patterns(snapshots: DataFrame, matches: DataFrame, patterns: DataFrame) -> DataFrame:
     """Attach each snapshot's matches as one ranked array plus text and prompt (REC-04).
 
-    ``matches`` holds at most k rows per snapshot, so the arrays are short.
+    ``matches`` holds at most k rows per snapshot, so the arrays are short. Hand
+    it in as a stored table: then Spark knows that it is the small side of the
+    join with the collection.
     """
     meta = ["symbol", "date", "rsi_14", "macd_histogram", "signal", "daily_return", "volume_ratio"]
     found = matches.join(patterns.select(F.col("id").alias("match_id"), *meta), "match_id")

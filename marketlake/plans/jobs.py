@@ -130,17 +130,25 @@ def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: s
     return good.count()
 
 
+def stored_matches(spark: SparkSession, matches: DataFrame) -> DataFrame:
+    """Matches as a table: its known size lets Spark choose how to join the collection to it."""
+    path = shared_folder(spark, "matches")
+    tables.write_gold(matches, path)
+    return tables.read_table(spark, path)
+
+
 def recommend_top(
     spark: SparkSession, gold_path: str, out: str, as_of: str, n: int = TOP_COINS, answer=None, at: Column | None = None,
 ) -> None:
     """Recommendations for the best-ranked coins, saved as a dated run (REC-04)."""
     coins = tables.read_table(spark, f"{gold_path}/dim_coins")
-    # bounded by its limit
+    # bounded by its limit, and so is the run cut down to it: one row per coin
     top = F.broadcast(gold.ranked(coins.where("market_cap_rank IS NOT NULL"), n).select("coin_id"))
-    patterns = spark.read.parquet(f"{out}/patterns")
     run = _run_of(spark, f"{out}/indicators", as_of).join(top, "coin_id", "left_semi")
-    asked = run.withColumn("id", similarity.pattern_id()).join(patterns.select("id", "embedding"), "id")
-    matches = similarity.similar_patterns(asked, patterns, NEIGHBOURS)
+    patterns = spark.read.parquet(f"{out}/patterns")
+    ids = F.broadcast(run.withColumn("id", similarity.pattern_id()))
+    asked = patterns.select("id", "embedding").join(ids, "id")
+    matches = stored_matches(spark, similarity.similar_patterns(asked, patterns, NEIGHBOURS))
     records = recommend.recommend(asked, matches, patterns, answer, at)
     tables.write_run(records, f"{out}/recommendations", F.lit(as_of), "parquet")
 

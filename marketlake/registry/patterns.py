@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from marketlake.operators import indicators, recommend, similarity
-from marketlake.plans import gold, summary
+from marketlake.plans import gold, jobs, summary
 from marketlake.registry.core import query, sql
 from marketlake.session import shared_folder
 from marketlake.sources import tables, testbed
@@ -273,7 +273,7 @@ def _matched(spark, d):
     patterns = tables.read_table(spark, path)
     top = gold.ranked(testbed.coins(spark, d).where("market_cap_rank IS NOT NULL"), 20)
     asked = patterns.join(F.broadcast(top.select("coin_id")), "coin_id", "left_semi")
-    return asked, similarity.similar_patterns(asked, patterns, 5), patterns
+    return asked, jobs.stored_matches(spark, similarity.similar_patterns(asked, patterns, 5)), patterns
 
 
 _FOUND = _VECTORS + """,

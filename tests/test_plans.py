@@ -1,8 +1,9 @@
 """What the plans must look like at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from marketlake.operators import indicators
+from marketlake.operators import indicators, recommend
 from marketlake.plans import dashboards, gold
 from marketlake.registry import QUERIES
 from marketlake.sources import tables, testbed
@@ -43,6 +44,36 @@ def test_fact_and_indicators_shuffle_twice(spark):
     assert shuffles(plan(indicators.indicator_series(testbed.daily_prices(spark, SF)))) == 2
 
 
+def test_candles_are_a_partial_hash_aggregate(spark):
+    text = plan(QUERIES["agg_16_candles_1m"](spark, SF))
+    assert "partial_min_by" in text and "SortAggregate" not in text and shuffles(text) == 1
+
+
+def test_long_series_are_windowed_by_block(spark):
+    text = plan(QUERIES["win_17_candle_series"](spark, SF))
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    by_symbol_alone = [w for w in windows if "[symbol#" in w and "block#" not in w and "_bucket#" not in w]
+    assert windows and not by_symbol_alone
+    assert "Exchange hashpartitioning(symbol#" in text and ", block#" in text
+
+
+def test_matches_are_the_broadcast_side(spark, tmp_path):
+    """The collection is joined to the few matches without being shuffled."""
+    ids = [f"c{i}_2024-01-01" for i in range(50)]
+    meta = {"symbol": "s", "date": "2024-01-01", "signal": "neutral"}
+    rows = [(i, i.split("_")[0]) for i in ids]
+    numbers = {c: F.lit(1.0) for c in ("rsi_14", "macd_histogram", "daily_return", "volume_ratio", "price_usd", "macd_line",
+                                       "macd_signal", "sma_20", "sma_50", "price_vs_sma20", "price_vs_sma50", "bb_position")}
+    patterns = spark.createDataFrame(rows, "id string, coin_id string").withColumns(
+        {**{k: F.lit(v) for k, v in meta.items()}, **numbers, "name": F.lit("n"), "confidence": F.lit(1), "return_streak": F.lit(1)})
+    patterns.write.parquet(str(tmp_path / "p"))
+    spark.createDataFrame([(ids[0], ids[1], 0.9, 1)], "query_id string, match_id string, similarity double, rank int").write.parquet(
+        str(tmp_path / "m"))
+    p, m = (spark.read.parquet(str(tmp_path / n)) for n in "pm")
+    text = plan(recommend.with_patterns(p.limit(1), m, p))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text.split("HashAggregate")[-1]
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "fact")
     tables.write_gold(testbed.facts(spark, SF), path, ["coin_id"])
