@@ -80,7 +80,11 @@ def latest_value(df: DataFrame, value: str, order: str, keys: Sequence[str] = ()
 
 
 def page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> DataFrame:
-    """Page ``number`` (from 1) of a ranked list (TOP-09); an ordered take, no global window."""
+    """Page ``number`` (from 1) of a ranked list (TOP-09).
+
+    An ordered take without a global window. It holds all rows up to the end of
+    the page, so it is meant for leading pages; walk a long list by its key.
+    """
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
