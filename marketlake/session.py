@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,7 +30,7 @@ RUNTIME_SETTINGS = {
 # times faster when no call sites are recorded.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-_local_folders: dict[str, str] = {}
+_folders: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -51,19 +52,40 @@ def build_session(
     return prepare(builder.getOrCreate())
 
 
+def _working_folder(spark: SparkSession) -> str:
+    """The folder of this application below the shared one; gone when the application ends."""
+    context = spark.sparkContext
+    known = _folders.get(context.applicationId)
+    if known:
+        return known
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="marketlake-", dir="/tmp")
+    folder = f"{base.rstrip('/')}/marketlake-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    _folders[context.applicationId] = folder
+    return folder
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that all executors share.
 
     The cluster names that folder in ``spark.checkpoint.dir``. Only a local
     session, whose single machine is the whole cluster, may fall back to a
-    temporary folder of its own.
+    temporary folder of its own. What is still there when the application
+    ends is deleted then.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folders.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="marketlake-", dir="/tmp")
-        )
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_working_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a table staged in ``shared_folder`` before the application ends."""
+    if not folder.startswith(_working_folder(spark)):
+        raise ValueError(f"{folder} is not a staged table")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
