@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketlake.llm.mixing import op7_mixing
+from marketlake.llm.secrets import op10_secrets
 from marketlake.llm.sharding import op5_sharding
 from marketlake.session import prepare
 
@@ -11,5 +12,5 @@ def _prepared(query):
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-QUERIES = {q.__name__: _prepared(q) for q in (op5_sharding, op7_mixing)}
+QUERIES = {q.__name__: _prepared(q) for q in (op5_sharding, op7_mixing, op10_secrets)}
 ORACLES: dict[str, str] = {}
