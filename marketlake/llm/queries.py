@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from marketlake.llm.langid import op3_langid
 from marketlake.llm.mixing import op7_mixing
 from marketlake.llm.secrets import op10_secrets
 from marketlake.llm.sharding import op5_sharding
+from marketlake.llm.simhash import op2_simhash
 from marketlake.session import prepare
 
 
@@ -12,5 +14,5 @@ def _prepared(query):
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-QUERIES = {q.__name__: _prepared(q) for q in (op5_sharding, op7_mixing, op10_secrets)}
+QUERIES = {q.__name__: _prepared(q) for q in (op2_simhash, op3_langid, op5_sharding, op7_mixing, op10_secrets)}
 ORACLES: dict[str, str] = {}
