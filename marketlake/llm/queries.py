@@ -7,6 +7,7 @@ from marketlake.llm.mixing import op7_mixing
 from marketlake.llm.secrets import op10_secrets
 from marketlake.llm.sharding import op5_sharding
 from marketlake.llm.simhash import op2_simhash
+from marketlake.llm.vafile import OP1_SQL, op1_vafile
 from marketlake.session import prepare
 
 
@@ -14,5 +15,5 @@ def _prepared(query):
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-QUERIES = {q.__name__: _prepared(q) for q in (op2_simhash, op3_langid, op5_sharding, op7_mixing, op10_secrets)}
-ORACLES: dict[str, str] = {}
+QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op5_sharding, op7_mixing, op10_secrets)}
+ORACLES = {"op1_vafile": OP1_SQL}
