@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marketlake.llm.langid import op3_langid
 from marketlake.llm.mixing import op7_mixing
+from marketlake.llm.repeats import OP6_SQL, op6_repeats
 from marketlake.llm.secrets import op10_secrets
 from marketlake.llm.sharding import op5_sharding
 from marketlake.llm.simhash import op2_simhash
@@ -15,5 +16,5 @@ def _prepared(query):
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op5_sharding, op7_mixing, op10_secrets)}
-ORACLES = {"op1_vafile": OP1_SQL}
+QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op5_sharding, op6_repeats, op7_mixing, op10_secrets)}
+ORACLES = {"op1_vafile": OP1_SQL, "op6_repeats": OP6_SQL}
