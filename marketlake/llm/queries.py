@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketlake.llm.decontaminate import op4_decontaminate
 from marketlake.llm.langid import op3_langid
 from marketlake.llm.mixing import op7_mixing
 from marketlake.llm.repeats import OP6_SQL, op6_repeats
@@ -16,5 +17,5 @@ def _prepared(query):
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op5_sharding, op6_repeats, op7_mixing, op10_secrets)}
+QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op4_decontaminate, op5_sharding, op6_repeats, op7_mixing, op10_secrets)}
 ORACLES = {"op1_vafile": OP1_SQL, "op6_repeats": OP6_SQL}
