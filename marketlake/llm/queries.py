@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from marketlake.llm.decontaminate import op4_decontaminate
+from marketlake.llm.katz import op8_katz
 from marketlake.llm.langid import op3_langid
 from marketlake.llm.mixing import op7_mixing
 from marketlake.llm.repeats import OP6_SQL, op6_repeats
 from marketlake.llm.secrets import op10_secrets
 from marketlake.llm.sharding import op5_sharding
 from marketlake.llm.simhash import op2_simhash
+from marketlake.llm.tokencounts import op9_token_counts
 from marketlake.llm.vafile import OP1_SQL, op1_vafile
 from marketlake.session import prepare
 
@@ -17,5 +19,6 @@ def _prepared(query):
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op4_decontaminate, op5_sharding, op6_repeats, op7_mixing, op10_secrets)}
+QUERIES = {q.__name__: _prepared(q) for q in (op1_vafile, op2_simhash, op3_langid, op4_decontaminate, op5_sharding, op6_repeats, op7_mixing, op8_katz,
+                                                 op9_token_counts, op10_secrets)}
 ORACLES = {"op1_vafile": OP1_SQL, "op6_repeats": OP6_SQL}
