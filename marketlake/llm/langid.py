@@ -43,6 +43,7 @@ LANGUAGES = 200
 WIDTH = 16
 EPOCHS = 12
 BATCH = 32
+STEPS = 600           # at least so many, however small the sample
 RATE = 0.5
 REJECT = 0.5
 TARGET = 0.999
@@ -116,7 +117,8 @@ def train(counts: list[np.ndarray], labels: list[str], held: np.ndarray, seed: i
     layer = rng.uniform(-0.5, 0.5, (WIDTH, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
     rows = np.flatnonzero(~held)
-    steps, step = EPOCHS * -(-len(rows) // BATCH), 0
+    batches = max(1, -(-len(rows) // BATCH))
+    epochs, step = max(EPOCHS, -(-STEPS // batches)), 0
 
     def dense(chosen):
         x = np.zeros((len(chosen), BUCKETS), dtype=np.float32)
@@ -124,11 +126,11 @@ def train(counts: list[np.ndarray], labels: list[str], held: np.ndarray, seed: i
             x[i, counts[r][0]] = counts[r][1]
         return x / np.maximum(x.sum(axis=1, keepdims=True), 1)
 
-    for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(rows), max(1, -(-len(rows) // BATCH))):
+    for _ in range(epochs):
+        for batch in np.array_split(rng.permutation(rows), batches):
             if not len(batch):
                 continue
-            rate, step = RATE * (1 - step / steps), step + 1
+            rate, step = RATE * (1 - step / (epochs * batches)), step + 1
             x = dense(batch)
             hidden = x @ table
             z = hidden @ layer + bias
