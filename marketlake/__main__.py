@@ -42,6 +42,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze", required=True)
     p.add_argument("--candles", required=True)
     p.add_argument("--checkpoints", required=True)
+    p.add_argument("--undecodable", help="folder of the messages that cannot be decoded; default: beside bronze")
+    p.add_argument("--rows-per-file", type=int, default=trades.FLUSH_ROWS, help="most rows of a bronze file, 0 for no limit")
+    p.add_argument("--final", help="the feed ends here: folder for the candles still open")
     p.add_argument("--seconds", type=int, help="stop after this long; without it drain what is there")
     return top
 
@@ -63,15 +66,20 @@ def run(args: argparse.Namespace) -> None:
         messages = trades.read_messages(spark, args.messages)
         feed = trades.normalise(trades.parse_messages(messages))
         bounded = args.seconds is None
+        bad = args.undecodable or f"{args.bronze.rstrip('/')}_undecodable"
         running = [
-            trades.land_bronze(messages, args.bronze, f"{args.checkpoints}/bronze", bounded),
+            trades.land_bronze(messages, args.bronze, f"{args.checkpoints}/bronze", bounded, args.rows_per_file),
+            trades.land_undecodable(messages, bad, f"{args.checkpoints}/undecodable", bounded),
             trades.land_candles(feed, args.candles, f"{args.checkpoints}/candles", bounded=bounded),
         ]
         for query in running:
             query.awaitTermination(args.seconds) if args.seconds else query.awaitTermination()
-            totals = trades.progress_totals(query)
             query.stop()
-            print(totals)
+        print(trades.landed(spark, args.bronze, bad))
+        if args.final:
+            rows = spark.read.schema("value string").text(args.bronze)
+            landed = trades.parse_messages(rows.select(F.concat(F.lit('{"data":'), "value", F.lit("}")).alias("value")))
+            trades.finish_candles(trades.normalise(landed), args.candles, args.final)
 
 
 if __name__ == "__main__":

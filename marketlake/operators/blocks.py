@@ -4,8 +4,11 @@ A series is numbered 0..n per key and cut into blocks, so one long series is
 spread over many tasks. What a row needs from before its block comes in as
 *ghost* rows, copies of the last ``halo`` rows of the block before. Rolling
 frames need a few of them; a recursive average needs as many as still matter
-in double precision. A daily series of less than ``BLOCK`` days is one block
-and has no ghosts.
+in double precision. Where two decayed sums are divided, what matters has no
+such limit: both may have shrunk alike over a long flat stretch. Such sums
+(``exact``) take no part of their state from ghosts but the whole of it from
+the totals of all earlier blocks, one row per (key, block). A daily series of
+less than ``BLOCK`` days is one block and has no ghosts.
 
 Everything is window expressions over (key, block): no self-join, no gathering
 of a key, and one sort shared by all of them.
@@ -14,7 +17,7 @@ of a key, and one sort shared by all of them.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,6 +37,7 @@ class Decay:
     first: Column
     term: Column
     keep: float
+    exact: bool = False
 
     @property
     def memory(self) -> int:
@@ -61,7 +65,33 @@ def ema_decay(name: str, value: Column, span: int) -> Decay:
 
 def wilder_decay(name: str, value: Column, period: int) -> Decay:
     """Decayed sum with factor 1 - 1/period; its normaliser cancels in a ratio."""
-    return Decay(name, value, value, wilder_keep(period))
+    return Decay(name, value, value, wilder_keep(period), exact=True)
+
+
+def with_state(df: DataFrame, key: str, decays: list[Decay], size: int) -> DataFrame:
+    """Add to the rows of each block what earlier blocks leave to the exact decays, as ``<name>_in``.
+
+    A block's total is a grouped sum with a map-side partial; the totals of a key,
+    one row per block, are run through in order. Terms older than the double
+    range are zero here as in the row by row recursion.
+    """
+    exact = [d for d in decays if d.exact]
+    far = F.lit(size - 1) - F.pmod("pos", F.lit(size))
+    totals = df.where(~F.col("ghost")).groupBy(key, "block").agg(*[
+        F.sum(d.term * F.pow(F.lit(d.keep), far)).alias(d.name) for d in exact])
+    state = []
+    for d in exact:
+        # earlier blocks whose weight is not zero in a double
+        back = max(1, math.ceil(745 / (-math.log(d.keep) * size)))
+        before = F.collect_list(F.coalesce(d.name, F.lit(0.0))).over(
+            Window.partitionBy(key).orderBy("block").rowsBetween(-back, -1))
+        factor = d.keep**size
+        state.append(_run_through(before, factor).alias(f"{d.name}_in"))
+    return df.join(totals.select(key, "block", *state), [key, "block"])
+
+
+def _run_through(totals: Column, factor: float) -> Column:
+    return F.aggregate(totals, F.lit(0.0), lambda state, total: state * factor + total)
 
 
 def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = None) -> DataFrame:
@@ -92,6 +122,10 @@ def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = Non
     )
 
 
+def size_for(halo: int, size: int | None = None) -> int:
+    return max(BLOCK, 2 * halo) if size is None else size
+
+
 def cut(df: DataFrame, halo: int, stretch: int, size: int | None = None) -> DataFrame:
     """Add ``block``, ``ghost`` and ``stretch``; needs ``pos``.
 
@@ -99,8 +133,7 @@ def cut(df: DataFrame, halo: int, stretch: int, size: int | None = None) -> Data
     ``size`` a block is at least twice as long as its halo, so that at most
     every second row is copied.
     """
-    if size is None:
-        size = max(BLOCK, 2 * halo)
+    size = size_for(halo, size)
     homes = F.transform(
         F.sequence(F.lit(0), F.lit(-(-halo // size))), lambda i: F.floor(F.col("pos") / size) + i
     )
@@ -124,8 +157,8 @@ def stretch_for(keeps: list[float]) -> int:
     return max(1, int(math.log(LARGEST_SCALE) / -math.log(fastest)))
 
 
-def decayed(df: DataFrame, key: str, decays: list[Decay], stretch: int) -> DataFrame:
-    """Add one column per decay to rows from ``cut``.
+def decayed(df: DataFrame, key: str, decays: list[Decay], stretch: int, size: int | None = None) -> DataFrame:
+    """Add one column per decay to rows from ``cut`` (of blocks of ``size``, which exact decays need).
 
     Within a stretch the sum is a running sum of ``term * keep**-offset``,
     scaled back by ``keep**offset``. What earlier stretches of the block still
@@ -137,6 +170,11 @@ def decayed(df: DataFrame, key: str, decays: list[Decay], stretch: int) -> DataF
     running = (
         Window.partitionBy(key, "block", "stretch").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     )
+    if any(d.exact for d in decays):
+        df = with_state(df, key, decays, size)
+        own = ~F.col("ghost")
+        decays = [replace(d, term=F.when(own, d.term).otherwise(0.0), first=F.when(own, d.first).otherwise(0.0)) if d.exact else d
+                  for d in decays]
     moving = [d for d in decays if d.keep > 0]
     scanned = df.withColumns({
         **{d.name: d.first for d in decays if d.keep <= 0},
@@ -152,14 +190,22 @@ def decayed(df: DataFrame, key: str, decays: list[Decay], stretch: int) -> DataF
     def carried(d: Decay) -> Column:
         last = F.when(offset == stretch - 1, F.col(d.name))
         total = F.lit(0.0)
-        for back in range(1, max(1, -(-d.memory // stretch)) + 1):
+        # an exact decay looks back to the start of its block
+        reach = size + stretch if d.exact else d.memory
+        for back in range(1, max(1, -(-reach // stretch)) + 1):
             frame = Window.partitionBy(key, "block").orderBy("stretch").rangeBetween(-back, -back)
             total = total + F.coalesce(F.sum(last).over(frame), F.lit(0.0)) * (d.keep**stretch) ** (back - 1)
         return total
 
-    return scanned.withColumns({
-        d.name: F.col(d.name) + carried(d) * F.pow(F.lit(d.keep), offset + 1) for d in moving
+    def handed_on(d: Decay) -> Column:
+        if not d.exact:
+            return F.lit(0.0)
+        return F.col(f"{d.name}_in") * F.pow(F.lit(d.keep), F.pmod("pos", F.lit(size)) + 1)
+
+    full = scanned.withColumns({
+        d.name: F.col(d.name) + carried(d) * F.pow(F.lit(d.keep), offset + 1) + handed_on(d) for d in moving
     })
+    return full.drop(*[f"{d.name}_in" for d in moving if d.exact])
 
 
 def own_rows(df: DataFrame) -> DataFrame:

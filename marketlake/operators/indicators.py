@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.scalars import missing_as_null, title_case
 from marketlake.operators import blocks, series
-from marketlake.operators.keyed import keep_last
 from marketlake.schemas import SNAPSHOT_FIELDS
 
 # fixed values: indicator periods
@@ -40,10 +39,17 @@ def _ema_of_ema_weight(inner: int, outer: int, pk: Column, qk: Column, first: Co
 
 
 def daily_series(prices: DataFrame) -> DataFrame:
-    """One row per (coin, date), missing prices removed (NaN counts as missing)."""
-    order = [c for c in ("ingestion_time",) if c in prices.columns]
+    """One row per (coin, date), missing prices removed (NaN counts as missing).
+
+    Of several rows of a date the last ingested stays, of equals the one with the
+    highest price. Tables without ``ingestion_time`` are hashed by coin once, for
+    this and all that follows.
+    """
     clean = prices.withColumn("price_usd", missing_as_null("price_usd")).where("price_usd IS NOT NULL")
-    return keep_last(clean, ["coin_id", "date"], order) if order else clean
+    order = [c for c in ("ingestion_time", "price_usd") if c in prices.columns]
+    w = Window.partitionBy("coin_id").orderBy("date", *order)
+    following = F.lead("date").over(w)
+    return clean.withColumn("_next", following).where(F.col("_next").isNull() | (F.col("_next") != F.col("date"))).drop("_next")
 
 
 def raw_indicators(facts: DataFrame) -> DataFrame:
@@ -250,11 +256,11 @@ def _macd_plan(fast: int, slow: int, signal: int, *more: float) -> tuple[int, in
 
 
 def _macd(rows: DataFrame, key: str, value: str, fast: int, slow: int, signal: int, stretch: int,
-          more: list[blocks.Decay] | None = None) -> DataFrame:
+          more: list[blocks.Decay] | None = None, size: int | None = None) -> DataFrame:
     x = F.col(value)
     averaged = blocks.decayed(
         rows, key,
-        [blocks.ema_decay("_fast", x, fast), blocks.ema_decay("_slow", x, slow), *(more or [])], stretch,
+        [blocks.ema_decay("_fast", x, fast), blocks.ema_decay("_slow", x, slow), *(more or [])], stretch, size,
     ).withColumn("macd_line", F.col("_fast") - F.col("_slow"))
     signalled = blocks.decayed(
         averaged, key, [blocks.ema_decay("macd_signal", F.col("macd_line"), signal)], stretch)
@@ -292,10 +298,11 @@ def rsi_series(
     """RSI for every row, null before ``period`` rows or without any loss (WIN-09)."""
     keep = blocks.wilder_keep(period)
     stretch = blocks.stretch_for([keep])
-    # one row more: the first ghost has no row before it to take a difference from
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), blocks.memory(keep) + 1, stretch, size)
+    # one ghost: the first row of a block needs the row before it to take a difference from
+    size = blocks.size_for(1, size)
+    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), 1, stretch, size)
     stepped, decays = _gain_loss_decays(rows, key, value, period)
-    moved = blocks.decayed(stepped, key, decays, stretch).withColumn("rsi", _rsi(period))
+    moved = blocks.decayed(stepped, key, decays, stretch, size).withColumn("rsi", _rsi(period))
     return blocks.own_rows(moved).drop("_g", "_l", "_gain", "_loss")
 
 
@@ -309,8 +316,9 @@ def indicator_series(
     Pass ``bucket`` for series that are not bounded by the calendar.
     """
     halo, stretch = _macd_plan(MACD_FAST, MACD_SLOW, MACD_SIGNAL, blocks.wilder_keep(RSI_PERIOD))
-    rows = blocks.cut(
-        blocks.number_rows(df, key, order, bucket), max(halo + 1, SMA_LONG, VOLUME_PERIOD), stretch, size)
+    halo = max(halo + 1, SMA_LONG, VOLUME_PERIOD)
+    size = blocks.size_for(halo, size)
+    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), halo, stretch, size)
     w = blocks.in_block(key)
     upper, middle, lower = series.bollinger(price, w, BAND_PERIOD, BAND_WIDTH)
     stepped, decays = _gain_loss_decays(rows, key, price, RSI_PERIOD)
@@ -320,7 +328,7 @@ def indicator_series(
         "bb_upper": upper, "bb_middle": middle, "bb_lower": lower,
         "volume_ratio": series.volume_ratio(volume, w, VOLUME_PERIOD),
     })
-    scanned = _macd(framed, key, price, MACD_FAST, MACD_SLOW, MACD_SIGNAL, stretch, decays)
+    scanned = _macd(framed, key, price, MACD_FAST, MACD_SLOW, MACD_SIGNAL, stretch, decays, size)
     full = scanned.withColumns({
         "rsi_14": _rsi(RSI_PERIOD),
         "price_vs_sma20": series.gap_percent(price, "sma_20"),

@@ -58,9 +58,13 @@ def first_seen(df: DataFrame, key: str, order: Sequence[str], n: int | None = No
 
 
 def latest_with_ties(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows whose ``order`` equals the greatest of their key, ties kept (JN-04)."""
-    rank = F.rank().over(Window.partitionBy(key).orderBy(F.col(order).desc()))
-    return df.withColumn("_rank", rank).where("_rank <= 1").drop("_rank")
+    """Rows whose ``order`` equals the greatest of their key, ties kept (JN-04).
+
+    A hash aggregate finds the greatest; no task sorts its rows. The frame is
+    read twice, the first time for two columns.
+    """
+    newest = df.groupBy(key).agg(F.max(order).alias(order))
+    return df.join(newest, [key, order], "left_semi")
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -98,6 +102,13 @@ def mark_done(done: DataFrame, more: DataFrame, key: str) -> DataFrame:
     return done.select(key).union(more.select(key)).distinct()
 
 
+def reset_done(done: DataFrame, keys: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """The manifest after taking keys back: all of them, or those in ``keys`` (SET-05)."""
+    if keys is None:
+        return done.select(key).limit(0)
+    return done.select(key).join(keys.select(key).distinct(), key, "left_anti")
+
+
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Union with the changes winning on equal keys (SET-02, PAT-02)."""
     tagged = base.withColumn("_turn", F.lit(0)).unionByName(

@@ -15,7 +15,7 @@ from marketlake.operators import indicators, recommend, similarity
 from marketlake.operators.keyed import keep_last
 from marketlake.plans import gold, summary
 from marketlake.schemas import GOLD_TABLES
-from marketlake.session import shared_folder
+from marketlake.session import remove_folder, shared_folder
 from marketlake.sources import tables
 from marketlake.sources.bronze import path_exists
 
@@ -62,22 +62,25 @@ def build_gold(
         frames = [gold.merge_snapshot(frames[0], today) if frames else today]
 
     # the merged prices feed both the date dimension and the fact
-    staged = shared_folder(spark, "daily")
-    tables.write_gold(frames[0], staged)
-    daily = tables.read_table(spark, staged)
+    staged = [shared_folder(spark, "daily")]
+    tables.write_gold(frames[0], staged[0])
+    daily = tables.read_table(spark, staged[0])
     dates = gold.dim_date(daily)
     if mode == "incremental" and path_exists(spark, f"{out}/dim_date"):
         known = tables.read_table(spark, f"{out}/dim_date")
         dates = known.union(dates.select(*known.columns)).distinct()
-        kept = shared_folder(spark, "dates")
-        tables.write_gold(dates, kept)
-        dates = tables.read_table(spark, kept)
+        staged.append(shared_folder(spark, "dates"))
+        tables.write_gold(dates, staged[1])
+        dates = tables.read_table(spark, staged[1])
     tables.write_gold(dates.orderBy("date"), f"{out}/dim_date")
     fact = gold.fact_daily_prices(daily, dates)
     if flat:
         tables.write_flat(fact, f"{out}/fact_daily_prices")
     else:
-        tables.write_gold(fact, f"{out}/fact_daily_prices", ["coin_id"])
+        # a full build drops the coins that are gone; an incremental one leaves other coins alone
+        tables.write_gold(fact, f"{out}/fact_daily_prices", ["coin_id"], replace=mode == "full")
+    for folder in staged:
+        remove_folder(spark, folder)
 
 
 def register_gold(spark: SparkSession, out: str, database: str = "gold", flat: bool = False) -> DataFrame:
@@ -99,23 +102,30 @@ def register_gold(spark: SparkSession, out: str, database: str = "gold", flat: b
 def analyse(spark: SparkSession, gold_path: str, out: str, as_of: str) -> int:
     """Snapshots of all coins, saved as a dated run and added to the pattern collection.
 
-    Returns the number of patterns stored (PAT-06).
+    Returns the number of patterns stored (PAT-06); what could not be stored is in
+    ``out``/patterns_failed with its reason.
     """
     facts = tables.read_table(spark, f"{gold_path}/fact_daily_prices")
     coins = tables.read_table(spark, f"{gold_path}/dim_coins")
     tables.write_run(indicators.snapshots(facts, coins), f"{out}/indicators", F.lit(as_of), "parquet")
-    return store_patterns(spark, f"{out}/indicators", f"{out}/patterns", as_of)
+    return store_patterns(spark, f"{out}/indicators", f"{out}/patterns", as_of, f"{out}/patterns_failed")["stored"]
 
 
 def _run_of(spark: SparkSession, path: str, as_of: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("as_of") == as_of).drop("as_of")
 
 
-def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: str) -> int:
-    """Upsert a run into the collection, rewriting only the dates it touches (PAT-02)."""
-    checked = similarity.split_storable(
-        similarity.pattern_vectors(_run_of(spark, snapshots_path, as_of))
-    )
+def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: str, failed: str) -> dict[str, int]:
+    """Upsert a run into the collection, rewriting only the dates it touches (PAT-02).
+
+    Records that cannot be stored go to ``failed`` as this run's rows (id, coin_id,
+    date, error). Returns how many were stored and failed (PAT-06).
+    """
+    judged = shared_folder(spark, "judged")
+    tables.write_gold(similarity.split_storable(similarity.pattern_vectors(_run_of(spark, snapshots_path, as_of))), judged)
+    checked = spark.read.parquet(judged)
+    bad = checked.where("error IS NOT NULL").select("id", "coin_id", F.col("date").cast("string").alias("date"), "error")
+    tables.write_run(bad, failed, F.lit(as_of), "parquet")
     good = checked.where("error IS NULL").drop("error").withColumn("date", F.col("date").cast("string"))
     fresh = good.withColumn("document", recommend.snapshot_text()).select(
         "id", "embedding", "document", *similarity.META)
@@ -127,7 +137,10 @@ def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: s
     # the table being replaced is also read, hence the stage in between
     tables.write_gold(fresh, staged, ["date"])
     tables.write_gold(spark.read.parquet(staged), path, ["date"])
-    return good.count()
+    counts = checked.agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())).head()
+    for folder in (judged, staged):
+        remove_folder(spark, folder)
+    return {"stored": counts[0], "failed": counts[1]}
 
 
 def stored_matches(spark: SparkSession, matches: DataFrame) -> DataFrame:
@@ -139,21 +152,22 @@ def stored_matches(spark: SparkSession, matches: DataFrame) -> DataFrame:
 
 def recommend_top(
     spark: SparkSession, gold_path: str, out: str, as_of: str, n: int = TOP_COINS, answer=None, at: Column | None = None,
+    neighbours: int = NEIGHBOURS,
 ) -> None:
     """Recommendations for the best-ranked coins, saved as a dated run (REC-04)."""
     coins = tables.read_table(spark, f"{gold_path}/dim_coins")
-    # bounded by its limit, and so is the run cut down to it: one row per coin
-    top = F.broadcast(gold.ranked(coins.where("market_cap_rank IS NOT NULL"), n).select("coin_id"))
+    # the size of either side is known to Spark: the list is bounded by its limit
+    top = gold.ranked(coins.where("market_cap_rank IS NOT NULL"), n).select("coin_id")
     run = _run_of(spark, f"{out}/indicators", as_of).join(top, "coin_id", "left_semi")
     patterns = spark.read.parquet(f"{out}/patterns")
-    ids = F.broadcast(run.withColumn("id", similarity.pattern_id()))
+    ids = run.withColumn("id", similarity.pattern_id())
     asked = patterns.select("id", "embedding").join(ids, "id")
-    matches = stored_matches(spark, similarity.similar_patterns(asked, patterns, NEIGHBOURS))
+    matches = stored_matches(spark, similarity.similar_patterns(asked, patterns, neighbours, ship=True))
     records = recommend.recommend(asked, matches, patterns, answer, at)
     tables.write_run(records, f"{out}/recommendations", F.lit(as_of), "parquet")
 
 
 def summarise(spark: SparkSession, out: str) -> DataFrame:
     """Summary of the newest run (SUM-01); records are in order of their coin id."""
-    records = tables.latest_run(spark.read.parquet(f"{out}/recommendations"))
+    records = tables.latest_run(spark, f"{out}/recommendations")
     return summary.market_summary(records.withColumn("pos", F.col("coin_id")))

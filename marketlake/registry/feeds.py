@@ -5,6 +5,7 @@ back, so the readers see real files.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.functions import flatten, scalars
 from marketlake.operators import indicators
@@ -86,7 +87,7 @@ def latest_run(spark, d):
     path = shared_folder(spark, "runs")
     rows = testbed.markets(spark, d).select("id", "name", "current_price", "ingestion_time")
     tables.write_run(rows, path, F.trunc("ingestion_time", "month").cast("string"), "parquet")
-    return tables.latest_run(spark.read.parquet(path)).select("id", "name", "current_price")
+    return tables.latest_run(spark, path).select("id", "name", "current_price")
 
 
 @query("src_07_ordered_scan", sql("""
@@ -346,11 +347,9 @@ def table_check(spark, d):
     return tables.check_table(tables.read_table(spark, path))
 
 
-@query("snk_10_dated_run", sql("SELECT coin_id, symbol, rsi_14, signal, confidence FROM snapshot", "snapshot"))
+@query("snk_10_dated_run", sql("SELECT * FROM snapshot", "snapshot"))
 def dated_run(spark, d):
     path = shared_folder(spark, "indicators")
     rows = indicators.snapshots(testbed.facts(spark, d), testbed.coins(spark, d))
     tables.write_run(rows, path, F.lit(testbed.AS_OF))
-    back = spark.read.schema(
-        "coin_id string, symbol string, rsi_14 double, signal string, confidence int, as_of string").json(path)
-    return tables.latest_run(back).drop("as_of")
+    return tables.latest_run(spark, path, T.StructType([*rows.schema.fields, T.StructField("as_of", T.StringType())]), form="json").drop("as_of")

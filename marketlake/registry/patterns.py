@@ -70,15 +70,15 @@ def pattern_text(spark, d):
 _VECTORS = """
 vectors AS (
   SELECT coin_id, coin_id || '_' || CAST("date" AS VARCHAR) AS id, [
-    (rsi_14 - avg(rsi_14) OVER ()) / stddev_samp(rsi_14) OVER (),
-    (macd_histogram - avg(macd_histogram) OVER ()) / stddev_samp(macd_histogram) OVER (),
-    (price_vs_sma20 - avg(price_vs_sma20) OVER ()) / stddev_samp(price_vs_sma20) OVER (),
-    (price_vs_sma50 - avg(price_vs_sma50) OVER ()) / stddev_samp(price_vs_sma50) OVER (),
-    (bb_position - avg(bb_position) OVER ()) / stddev_samp(bb_position) OVER (),
-    (volume_ratio - avg(volume_ratio) OVER ()) / stddev_samp(volume_ratio) OVER (),
-    (return_streak - avg(return_streak) OVER ()) / stddev_samp(return_streak) OVER (),
-    (code - avg(code) OVER ()) / stddev_samp(code) OVER (),
-    (daily_return - avg(daily_return) OVER ()) / stddev_samp(daily_return) OVER ()] AS v
+    coalesce(greatest(-4.0, least(4.0, (rsi_14 - 50) / 15.0)), 0),
+    coalesce(greatest(-4.0, least(4.0, macd_histogram * 100 / nullif(price_usd, 0))), 0),
+    greatest(-4.0, least(4.0, price_vs_sma20 / 10.0)),
+    greatest(-4.0, least(4.0, price_vs_sma50 / 15.0)),
+    greatest(-4.0, least(4.0, (bb_position - 0.5) / 0.3)),
+    greatest(-4.0, least(4.0, (volume_ratio - 1) / 0.5)),
+    greatest(-4.0, least(4.0, return_streak / 3.0)),
+    code,
+    coalesce(greatest(-4.0, least(4.0, daily_return / 0.05)), 0)] AS v
   FROM (SELECT *, CASE signal WHEN 'bullish' THEN 1.0 WHEN 'bearish' THEN -1.0 ELSE 0.0 END AS code FROM snapshot))"""
 
 
@@ -116,13 +116,13 @@ WHERE rank <= {k}"""
 @query("pat_03_similar", _knn_sql(5, "true"))
 def similar(spark, d):
     v = testbed.vectors(spark, d)
-    return similarity.similar_patterns(v, v, 5).withColumn("similarity", F.round("similarity", 6))
+    return similarity.similar_patterns(v, v, 5, ship=True).withColumn("similarity", F.round("similarity", 6))
 
 
 @query("pat_03_similar_other_coin", _knn_sql(5, "q.coin_id <> p.coin_id"))
 def similar_other(spark, d):
     v = testbed.vectors(spark, d)
-    out = similarity.similar_patterns(v, v, 5, exclude_same_coin=True)
+    out = similarity.similar_patterns(v, v, 5, exclude_same_coin=True, ship=True)
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
@@ -130,21 +130,34 @@ def similar_other(spark, d):
 def similarity_join(spark, d):
     # the way for a query side of any size
     v = testbed.vectors(spark, d)
-    out = similarity.similar_patterns(v, v, 3, exclude_self=True, small=0, chunk=256)
+    out = similarity.similar_patterns(v, v, 3, exclude_self=True, chunk=256)
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
 @query("top_07_top_match", _knn_sql(1, "q.coin_id <> p.coin_id"))
 def top_match(spark, d):
     v = testbed.vectors(spark, d)
-    out = similarity.similar_patterns(v, v, 1, exclude_same_coin=True, small=0)
+    out = similarity.similar_patterns(v, v, 1, exclude_same_coin=True)
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
-@query("pat_04_approximate")
+@query("pat_04_approximate", """
+SELECT CAST(vec_id AS VARCHAR) AS query_id, least(5, (SELECT count(*) FROM embeddings)) AS matches, true AS itself_first,
+  true AS recalled FROM embeddings""")
 def approximate(spark, d):
+    """Every query finds k, itself first, and the share of the exact matches found is above one half."""
     v = testbed.vectors(spark, d)
-    return similarity.similar_patterns(v, v, 5, probe=3, chunk=64)
+    near = staged_matches(spark, similarity.similar_patterns(v, v, 5, probe=3, chunk=64))
+    exact = similarity.similar_patterns(v, v, 5, ship=True)
+    share = exact.join(near.select("query_id", "match_id", F.lit(1).alias("hit")), ["query_id", "match_id"], "left").agg(
+        F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
+    own = F.max((F.col("rank") == 1) & (F.col("match_id") == F.col("query_id")))
+    return near.groupBy("query_id").agg(F.count("*").alias("matches"), own.alias("itself_first")).withColumn(
+        "recalled", share.scalar() > 0.5)
+
+
+def staged_matches(spark, matches):
+    return jobs.stored_matches(spark, matches)
 
 
 @query("pat_05_count", "SELECT count(*) AS patterns FROM embeddings")
@@ -267,22 +280,18 @@ def with_fallback(spark, d):
 
 
 def _matched(spark, d):
-    """The 20 best-ranked coins matched against the stored collection."""
+    """All coins matched against the stored collection."""
     path = shared_folder(spark, "patterns")
     tables.write_gold(similarity.pattern_vectors(stored_snapshots(spark, d)), path)
     patterns = tables.read_table(spark, path)
-    top = gold.ranked(testbed.coins(spark, d).where("market_cap_rank IS NOT NULL"), 20)
-    asked = patterns.join(F.broadcast(top.select("coin_id")), "coin_id", "left_semi")
-    return asked, jobs.stored_matches(spark, similarity.similar_patterns(asked, patterns, 5)), patterns
+    return patterns, jobs.stored_matches(spark, similarity.similar_patterns(patterns, patterns, 5, ship=True)), patterns
 
 
 _FOUND = _VECTORS + """,
-asked AS (
-  SELECT coin_id FROM coins WHERE market_cap_rank IS NOT NULL ORDER BY market_cap_rank LIMIT 20),
 near AS (
   SELECT q.coin_id, p.coin_id AS other, round(list_cosine_similarity(q.v, p.v), 9) AS similarity,
     row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(q.v, p.v), 9) DESC, p.id) AS rank
-  FROM vectors q JOIN asked USING (coin_id), vectors p QUALIFY rank <= 5),
+  FROM vectors q, vectors p QUALIFY rank <= 5),
 listed AS (
   SELECT n.coin_id, count(*) AS similar_patterns, string_agg('Pattern ' || n.rank || ' (similarity: ' || format('{:.2f}', n.similarity)
     || '):' || chr(10) || '  ' || s.symbol || ' on ' || CAST(s."date" AS VARCHAR) || ' — RSI: ' || CAST(s.rsi_14 AS VARCHAR)

@@ -88,7 +88,7 @@ def _self_join_sql(coins, measure):
 
 @query("jn_03_self_join", _self_join_sql(testbed.COINS, "price_usd"))
 def self_join(spark, d):
-    return dashboards.multi_coin_self_join(testbed.facts(spark, d), testbed.COINS, "price_usd")
+    return dashboards.multi_coin_series(testbed.facts(spark, d), testbed.COINS, "price_usd")
 
 
 @query("jn_04_latest_tuples", sql("""
@@ -340,6 +340,13 @@ def mark_done(spark, d):
         testbed.coins(spark, d), testbed.markets(spark, d).select(F.col("id").alias("coin_id")), "coin_id")
 
 
+@query("set_05_reset", sql("""
+SELECT coin_id FROM coins EXCEPT SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-11-03'""", "coins"))
+def reset_done(spark, d):
+    again = testbed.raw_prices(spark, d).where("date >= '2001-11-03'").select("coin_id")
+    return keyed.reset_done(testbed.coins(spark, d), again, "coin_id")
+
+
 # ---- gold -------------------------------------------------------------------
 
 

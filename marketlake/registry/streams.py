@@ -21,7 +21,18 @@ def messages(spark, d, extra=None):
 
 def drain(job):
     job.awaitTermination()
-    return trades.progress_totals(job)
+
+
+BAD = ["{broken", "[1]", "nope"]
+
+
+def land_all(spark, d):
+    """Both folders of a drained run with some undecodable messages, and what they hold."""
+    bronze, bad = shared_folder(spark, "bronze"), shared_folder(spark, "undecodable")
+    feed = messages(spark, d, spark.createDataFrame([(m,) for m in BAD], "value string"))
+    drain(trades.land_bronze(feed, bronze, shared_folder(spark, "offsets"), bounded=True))
+    drain(trades.land_undecodable(feed, bad, shared_folder(spark, "offsets"), bounded=True))
+    return bronze, bad, trades.landed(spark, bronze, bad)
 
 
 @query("str_03_bronze_by_symbol", sql("""
@@ -34,28 +45,35 @@ def bronze_by_symbol(spark, d):
 
 
 @query("str_04_stream_candles", sql("""
-SELECT c.symbol, c.window_start, c.window_end, c."open", c.high, c.low, c."close", c.volume, c.trade_count FROM candles c
-WHERE c.window_end <= (SELECT date_trunc('millisecond', max(trade_time)) - INTERVAL '2 minutes' FROM trades)""", "candles"))
+SELECT c.symbol, c.window_start, c.window_end, c."open", c.high, c.low, c."close", c.volume, c.trade_count FROM candles c""", "candles"))
 def stream_candles(spark, d):
-    # the windows the final watermark has closed
+    # the windows the watermark has closed, then those left open at the end of the feed
     out = shared_folder(spark, "candles")
     feed = trades.normalise(trades.parse_messages(messages(spark, d)))
     drain(trades.land_candles(feed, out, shared_folder(spark, "state"), bounded=True))
-    return spark.read.schema(CANDLES).parquet(out)
+    rest = shared_folder(spark, "open")
+    trades.finish_candles(trades.normalise(trades.parse_messages(testbed.trade_messages(spark, d))), out, rest)
+    return spark.read.schema(CANDLES).parquet(out).unionByName(spark.read.schema(CANDLES).parquet(rest))
 
 
-@query("str_05_counters", sql("SELECT count(*) + 1 AS received, count(*) AS written, CAST(1 AS BIGINT) AS undecodable FROM trades", "trades"))
+@query("str_05_counters", sql("SELECT count(*) + 3 AS received, count(*) AS written, CAST(3 AS BIGINT) AS undecodable FROM trades", "trades"))
 def counters(spark, d):
-    broken = spark.createDataFrame([("{broken",)], "value string")
-    parsed = trades.parse_messages(testbed.trade_messages(spark, d).union(broken))
-    return parsed.agg(*trades.counters())
+    totals = land_all(spark, d)[2]
+    return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{k} bigint" for k in totals))
 
 
-@query("str_06_bounded_run", sql("SELECT count(*) AS received FROM trades", "trades"))
+@query("str_06_bounded_run", sql("""
+SELECT 'undecodable' AS folder, message, CAST(1 AS BIGINT) AS n FROM (VALUES ('{broken'), ('[1]'), ('nope')) v(message)
+UNION ALL SELECT 'bronze', lower(symbol), count(*) FROM trades GROUP BY symbol""", "trades"))
 def bounded_run(spark, d):
-    totals = drain(trades.land_bronze(
-        messages(spark, d), shared_folder(spark, "bronze"), shared_folder(spark, "offsets"), bounded=True))
-    return spark.createDataFrame([(totals["received"],)], "received bigint")
+    bronze, bad, _ = land_all(spark, d)
+    rows = spark.read.schema("value string, symbol string, date string").text(bronze)
+    return (
+        spark.read.schema("value string").text(bad).groupBy(F.col("value").alias("message")).agg(F.count("*").alias("n"))
+        .select(F.lit("undecodable").alias("folder"), "message", "n")
+        .unionByName(rows.groupBy(F.col("symbol").alias("message")).agg(F.count("*").alias("n")).select(
+            F.lit("bronze").alias("folder"), "message", "n"))
+    )
 
 
 @query("str_02_flush_files", sql("""

@@ -17,6 +17,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``: one listing, nothing is read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return [f.getPath().getName() for f in listed if f.isDirectory()]
+
+
 def _with_origin(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("file_path"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from marketlake.functions.scalars import strip_prefix
 from marketlake.schemas import GOLD_TABLES
-from marketlake.sources.bronze import path_exists
+from marketlake.sources.bronze import child_folders, path_exists
 
 # ---- readers --------------------------------------------------------------
 
@@ -34,13 +35,18 @@ def with_id_from_path(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, strip_prefix(folder, f"{column}="))
 
 
-def latest_run(df: DataFrame, run: str = "as_of") -> DataFrame:
-    """Rows of the newest run (SRC-06).
+def latest_run(spark: SparkSession, path: str, schema: T.StructType | str | None = None, run: str = "as_of", form: str = "parquet") -> DataFrame:
+    """Rows of the newest run of a table partitioned by ``run`` (SRC-06).
 
-    The newest run is looked up in partition values alone and then prunes the scan.
+    The newest run comes from a listing of the run folders; no file of another
+    run is opened. Equal to reading all and keeping the greatest ``run``.
     """
-    newest = df.agg(F.max(run).alias("_newest"))
-    return df.where(F.col(run) == newest.scalar())
+    folders = [f for f in child_folders(spark, path) if f.startswith(f"{run}=") and not f.endswith("__HIVE_DEFAULT_PARTITION__")]
+    if not folders:
+        raise FileNotFoundError(f"no run at {path}")
+    newest = max(folders, key=lambda f: unquote(f))
+    reader = spark.read.format(form).option("basePath", path)
+    return (reader.schema(schema) if schema is not None else reader).load(f"{path}/{newest}")
 
 
 def scan(df: DataFrame, columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -62,8 +68,8 @@ def write_silver(df: DataFrame, path: str, partition: str) -> None:
     write_gold(df, path, [partition])
 
 
-def write_gold(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
-    """Overwrite a gold table (SNK-03).
+def write_gold(df: DataFrame, path: str, partitions: Sequence[str] = (), replace: bool = False) -> None:
+    """Overwrite a gold table (SNK-03): the partitions present, or with ``replace`` the whole table.
 
     Partitioned tables are laid out with REBALANCE: rows of a partition value
     meet in few files, and a value that holds far more than its share is split
@@ -72,7 +78,7 @@ def write_gold(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None
     out = df.hint("rebalance", *[F.col(p) for p in partitions]) if partitions else df
     writer = out.write.mode("overwrite").option("compression", "snappy")
     if partitions:
-        writer = writer.partitionBy(*partitions).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partitions).option("partitionOverwriteMode", "static" if replace else "dynamic")
     writer.parquet(path)
 
 

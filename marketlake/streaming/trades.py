@@ -15,11 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas
 from marketlake.functions.scalars import epoch_ms
+from marketlake.operators.keyed import keep_first
+from marketlake.sources.bronze import path_exists
 
 # fixed values: flush every 10 s or 500 messages
 FLUSH_SECONDS = 10
 FLUSH_ROWS = 500
 LATENESS = "2 minutes"
+CANDLE_COLUMNS = ["open", "high", "low", "close", "volume", "trade_count", "window_start", "window_end", "symbol"]
 
 
 def read_messages(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -78,7 +81,8 @@ def distinct_trades(trades: DataFrame, lateness: str = LATENESS) -> DataFrame:
     keys = ["symbol", "trade_id"]
     if trades.isStreaming:
         return trades.withWatermark("trade_time", lateness).dropDuplicatesWithinWatermark(keys)
-    return trades.dropDuplicates(keys)
+    # of differing copies the earliest, as in a stream read in time order; trades without a time stay
+    return keep_first(trades.withColumn("_at", F.coalesce(F.unix_micros("trade_time"), F.lit(0))), keys, ["_at"]).select(*trades.columns)
 
 
 def candles(trades: DataFrame, width: str = "1 minute", quote_volume: bool = False) -> DataFrame:
@@ -114,17 +118,28 @@ def candles(trades: DataFrame, width: str = "1 minute", quote_volume: bool = Fal
     )
 
 
-def late_rows(trades: DataFrame, newest: Column, lateness: str = LATENESS) -> DataFrame:
-    """Rows a watermark at ``newest - lateness`` would drop, for counting."""
-    return trades.where(F.col("trade_time") < newest - F.expr(f"INTERVAL {lateness}"))
+def late_counts(trades: DataFrame, stored: DataFrame, width: str = "1 minute") -> DataFrame:
+    """Trades of finished candles that came too late to be in them: symbol, window_start, late.
 
+    ``trades`` is a batch of all trades landed (they are in bronze whatever became
+    of them), ``stored`` the candle table.
+    """
+    all_ = candles(distinct_trades(trades), width).select("symbol", "window_start", F.col("trade_count").alias("_all"))
+    return (
+        all_.join(stored.select("symbol", "window_start", "trade_count"), ["symbol", "window_start"])
+        .where("_all > trade_count")
+        .select("symbol", "window_start", (F.col("_all") - F.col("trade_count")).alias("late"))
+    )
 
-def _write(df: DataFrame, path: str, checkpoint: str, partitions: list[str], form: str, bounded: bool) -> StreamingQuery:
+
+def _write(
+    df: DataFrame, path: str, checkpoint: str, partitions: list[str], form: str, bounded: bool, rows_per_file: int = 0,
+) -> StreamingQuery:
     writer = (
         df.writeStream.format(form)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", FLUSH_ROWS if form == "text" else 0)
+        .option("maxRecordsPerFile", rows_per_file)
         .outputMode("append")
     )
     if partitions:
@@ -136,20 +151,35 @@ def _write(df: DataFrame, path: str, checkpoint: str, partitions: list[str], for
     return writer.start()
 
 
-def land_bronze(messages: DataFrame, path: str, checkpoint: str, bounded: bool = False) -> StreamingQuery:
-    """Write raw trades per symbol and date every 10 s, at most 500 rows per file (STR-02, STR-03).
+def land_bronze(
+    messages: DataFrame, path: str, checkpoint: str, bounded: bool = False, rows_per_file: int = FLUSH_ROWS,
+) -> StreamingQuery:
+    """Write raw trades per symbol and date every 10 s, at most ``rows_per_file`` rows per file (STR-02, STR-03).
 
     ``bounded`` drains what is there and stops (STR-06); otherwise the caller
-    ends the run with ``awaitTermination(seconds)`` and ``stop()``.
+    ends the run with ``awaitTermination(seconds)`` and ``stop()``. The default
+    file size suits a small feed; give millions of rows (0: no limit) for a large one.
     """
-    return _write(bronze_trades(parse_messages(messages)), path, checkpoint, ["symbol", "date"], "text", bounded)
+    return _write(
+        bronze_trades(parse_messages(messages)), path, checkpoint, ["symbol", "date"], "text", bounded, rows_per_file)
+
+
+def land_undecodable(messages: DataFrame, path: str, checkpoint: str, bounded: bool = False) -> StreamingQuery:
+    """Write the messages that ``land_bronze`` cannot decode to a folder of their own (SRC-09)."""
+    return _write(quarantine(parse_messages(messages)), path, checkpoint, [], "text", bounded)
 
 
 def land_candles(
     trades: DataFrame, path: str, checkpoint: str, width: str = "1 minute", lateness: str = LATENESS,
     bounded: bool = False,
 ) -> StreamingQuery:
-    """Append finished candles to a table folder partitioned by symbol (STR-04)."""
+    """Append finished candles to a table folder partitioned by symbol (STR-04).
+
+    A window is written once the watermark has passed it: a bounded run keeps the
+    windows of the last ``lateness`` in its state for the next run over the same
+    checkpoint. ``finish_candles`` writes them at the end of a feed; trades behind
+    the watermark are in bronze and counted by ``late_counts``.
+    """
     out = candles(distinct_trades(trades, lateness), width)
     return _write(out, path, checkpoint, ["symbol"], "parquet", bounded)
 
@@ -176,10 +206,33 @@ def counted(messages: DataFrame, name: str = "trades") -> tuple[DataFrame, Obser
     return parsed.observe(seen, *counters()), seen
 
 
-def progress_totals(query: StreamingQuery) -> dict[str, int]:
-    """Rows received and written over the kept progress reports of a query."""
-    reports = query.recentProgress
-    return {
-        "received": sum(p.numInputRows for p in reports),
-        "written": sum(max(p.sink.numOutputRows, 0) for p in reports),
-    }
+def landed(spark: SparkSession, bronze: str, undecodable: str) -> dict[str, int]:
+    """Messages received, written and undecodable, counted in the folders themselves (STR-05, STR-06).
+
+    Exact for any number of triggers, runs and restarts: a file counts once the
+    sink has committed it.
+    """
+    def rows(path: str) -> int:
+        if not path_exists(spark, path):
+            return 0
+        # the sink's log, which batch reads follow, names the committed files
+        return spark.read.schema("value string").text(path).count()
+
+    written, bad = rows(bronze), rows(undecodable)
+    return {"received": written + bad, "written": written, "undecodable": bad}
+
+
+def finish_candles(trades: DataFrame, path: str, rest: str, width: str = "1 minute") -> None:
+    """Write the candles whose windows no watermark has closed (the final flush of STR-06).
+
+    ``trades`` is a batch of all trades landed, ``path`` the stream's table. The
+    candles go to a table of their own, ``rest``: readers of a stream's folder see
+    what the stream has committed only. A resumed stream writes these windows to
+    ``path`` after all; delete ``rest`` then.
+    """
+    spark = trades.sparkSession
+    out = candles(distinct_trades(trades), width)
+    if path_exists(spark, path):
+        known = spark.read.schema("symbol string, window_start timestamp").parquet(path)
+        out = out.join(known, ["symbol", "window_start"], "left_anti")
+    out.select(*CANDLE_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("symbol").parquet(rest)

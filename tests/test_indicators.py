@@ -216,3 +216,28 @@ def test_keep_last_by_ingestion_time(spark):
     })
     row = indicators.daily_series(spark.createDataFrame(pdf)).collect()
     assert [r["price_usd"] for r in row] == [3.0]
+
+
+def test_rsi_after_a_long_flat_stretch(spark):
+    """Both decayed sums shrink alike over more than two blocks; their ratio must not change."""
+    rng = np.random.default_rng(4)
+    price = np.concatenate([100 + np.cumsum(rng.normal(0, 1, 700)), np.zeros(1500)])
+    price[700:] = price[699]
+    rows = pd.DataFrame({"coin_id": "a", "date": pd.date_range("2000-01-01", periods=len(price)).date, "price_usd": price,
+                         "volume_usd": 1.0, "market_cap_usd": 1.0, "daily_return": 0.0})
+    df = spark.createDataFrame(rows)
+    last = indicators.raw_indicators(df).first()["rsi_14"]
+    for out, name in ((indicators.rsi_series(df, "coin_id", "date", "price_usd", size=512), "rsi"),
+                      (indicators.rsi_series(df, "coin_id", "date", "price_usd", bucket=F.trunc("date", "year"), size=64), "rsi"),
+                      (indicators.indicator_series(df, size=512), "rsi_14")):
+        got = {r["date"]: r[name] for r in out.collect()}
+        flat = [got[d] for d in rows["date"][700:]]
+        assert flat == pytest.approx([last] * len(flat)) and 0 < last < 100
+
+
+def test_one_row_per_coin_and_date(spark):
+    rows = [("a", dt.date(2024, 1, 1) + dt.timedelta(days=i), 100.0 + i % 7) for i in range(40)]
+    doubled = rows + [(c, d, p - 50) for c, d, p in rows[::3]]
+    one, two = (spark.createDataFrame(r, "coin_id string, date date, price_usd double").withColumns(
+        {"volume_usd": F.lit(1.0), "market_cap_usd": F.lit(1.0), "daily_return": F.lit(0.01)}) for r in (rows, doubled))
+    assert indicators.snapshots(one).collect() == indicators.snapshots(two).collect()

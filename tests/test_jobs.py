@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketlake.__main__ import parser, run
+from marketlake.operators import similarity
 from marketlake.plans import jobs, silver
 from marketlake.sources import tables
 
@@ -99,6 +101,28 @@ def test_incremental_equals_full(spark, raw, tmp_path):
         jobs.build_gold(spark, sil, one, "incremental")
 
 
+def test_full_build_drops_what_is_gone(spark, raw, tmp_path):
+    sil, out = str(tmp_path / "silver"), str(tmp_path / "gold")
+    convert(spark, raw, sil, "2024-03-01 06:00:00")
+    jobs.build_gold(spark, sil, out, "full")
+    shutil.rmtree(f"{sil}/market_chart/coin_id=delta")
+    jobs.build_gold(spark, sil, out, "full")
+    assert {r[0] for r in fact_rows(spark, out)} == {"alpha", "beta-coin", "gamma"}
+
+
+def test_records_that_cannot_be_stored(spark, tmp_path):
+    fields = {c: 1.0 for c in [*similarity.FEATURES, *similarity.META, "macd_line", "macd_signal", "sma_20", "sma_50", "bb_upper",
+                               "bb_middle", "bb_lower"]}
+    rows = [{**fields, "coin_id": c, "symbol": "s", "name": "n", "date": "2024-01-01", "signal": "neutral", "confidence": 5,
+             "return_streak": 1, "as_of": "r"} for c in ("a", None, "b")]
+    schema = ", ".join(f"{k} {'string' if k in ('coin_id', 'symbol', 'name', 'date', 'signal', 'as_of') else 'int' if k in ('confidence', 'return_streak') else 'double'}"
+                       for k in rows[0])
+    spark.createDataFrame(rows, schema).write.partitionBy("as_of").parquet(str(tmp_path / "run"))
+    counts = jobs.store_patterns(spark, str(tmp_path / "run"), str(tmp_path / "patterns"), "r", str(tmp_path / "failed"))
+    assert counts == {"stored": 2, "failed": 1}
+    assert [r["error"] for r in spark.read.parquet(str(tmp_path / "failed")).collect()] == ["no id"]
+
+
 def test_snapshot_of_the_day(spark, raw, tmp_path):
     sil, out = str(tmp_path / "silver"), str(tmp_path / "gold")
     convert(spark, raw, sil, "2024-03-01 06:00:00")

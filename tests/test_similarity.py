@@ -48,10 +48,11 @@ def rows(df):
 
 
 @pytest.mark.parametrize("options", [{}, {"exclude_same_coin": True}, {"exclude_self": True}])
-@pytest.mark.parametrize("small", [10_000, 0])
-def test_exact_search(data, options, small):
+@pytest.mark.parametrize("ship", [True, False])
+def test_exact_search(data, options, ship, monkeypatch):
+    monkeypatch.setattr(similarity, "SHIPPED", 400)  # several blocks
     pdf, df = data
-    got = rows(similarity.similar_patterns(df, df, 4, small=small, chunk=64, **options))
+    got = rows(similarity.similar_patterns(df, df, 4, ship=ship, chunk=64, **options))
     want = brute(pdf, pdf, 4, options.get("exclude_same_coin", False), options.get("exclude_self", False))
     assert [g[:3] for g in got] == [w[:3] for w in want]
     np.testing.assert_allclose([g[3] for g in got], [w[3] for w in want], atol=1e-8)
@@ -73,8 +74,8 @@ def test_fewer_patterns_than_k(data, spark):
     assert similarity.similar_patterns(df, few, 5).groupBy("query_id").count().agg(F.max("count")).first()[0] == 2
     none = df.where("id = 'absent'")
     assert similarity.similar_patterns(df, none, 5).count() == 0
-    assert similarity.similar_patterns(df, none, 5, small=0).count() == 0
-    assert similarity.similar_patterns(none, df, 5, small=0).count() == 0
+    assert similarity.similar_patterns(df, none, 5, ship=True).count() == 0
+    assert similarity.similar_patterns(none, df, 5, ship=True).count() == 0
 
 
 def test_approximate_recall(data):
@@ -85,6 +86,28 @@ def test_approximate_recall(data):
     assert len(got & want) / len(want) > 0.85
 
 
+def test_approximate_always_finds_k(data):
+    """Cells too small for k are not the end of the search."""
+    pdf, df = data
+    few = df.where("cast(substring(id, 2) as int) < 300")
+    found = similarity.similar_patterns(few, few, 20, exclude_same_coin=True, probe=1, chunk=16)
+    assert found.groupBy("query_id").count().where("count < 20").count() == 0
+
+
+def test_query_copies_come_in_slices(data, monkeypatch):
+    pdf, _ = data
+    pivots = unit(np.stack(pdf["embedding"][100:130]))
+    cells = pd.concat(similarity._nearest(iter([pdf]), pivots)).groupby("cell").agg(rows=("id", "size"), radius=("gap", "max")).reset_index()
+    cells["chunks"] = 3
+    whole = pd.concat(similarity._cells_for(iter([pdf]), pivots, cells, 4, None))
+    monkeypatch.setattr(similarity, "COPIES", 700)
+    parts = list(similarity._cells_for(iter([pdf]), pivots, cells, 4, None))
+    assert max(map(len, parts)) <= 700
+    key = ["id", "cell", "chunk"]
+    pd.testing.assert_frame_equal(pd.concat(parts)[key].reset_index(drop=True), whole[key].reset_index(drop=True))
+    assert not whole.duplicated(key).any() and set(whole["chunk"]) == {0, 1, 2}
+
+
 def test_cosine_expression(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([1.0, 0.0], [0.0, 0.0])], "a array<double>, b array<double>")
     got = [r[0] for r in df.select(similarity.cosine(F.col("a"), F.col("b"))).collect()]
@@ -92,17 +115,19 @@ def test_cosine_expression(spark):
 
 
 def test_vectors_store_and_errors(spark):
-    fields = {c: 1.0 for c in similarity.FEATURES + similarity.META}
+    fields = {c: 1.0 for c in [*similarity.FEATURES, *similarity.META]}
     snapshots = pd.DataFrame([
         {**fields, "coin_id": c, "symbol": c, "name": c, "date": "2024-01-01", "signal": s, "rsi_14": r, "confidence": 50}
         for c, s, r in (("a", "bullish", 10.0), ("b", "bearish", 20.0), ("c", "neutral", 40.0))
-    ]).drop(columns="signal_code")
+    ]).drop(columns=["signal_code", "macd_histogram_percent"])
     df = similarity.pattern_vectors(spark.createDataFrame(snapshots))
     m = np.stack([r["embedding"] for r in df.orderBy("id").collect()])
-    raw = np.array([[10.0, 1], [20, -1], [40, 0]])
-    want = unit((raw - raw.mean(axis=0)) / raw.std(axis=0, ddof=1))
-    np.testing.assert_allclose(m[:, [0, 7]], want, atol=1e-12)
-    assert np.count_nonzero(m[:, [1, 2, 3, 4, 5, 6, 8]]) == 0
+    # 1 for all other fields: 100 percent and a daily return of 1 are cut at 4
+    want = unit(np.array([[(r - 50) / 15, 4, 0.1, 1 / 15, 0.5 / 0.3, 0, 1 / 3, s, 4] for r, s in ((10, 1), (20, -1), (40, 0))]))
+    np.testing.assert_allclose(m, want, atol=1e-12)
+    # the same state has the same vector in any other run
+    alone = similarity.pattern_vectors(spark.createDataFrame(snapshots[:1])).first()["embedding"]
+    np.testing.assert_allclose(alone, m[0], atol=1e-12)
 
     stored = df.withColumn("document", F.lit("old"))
     again = df.where("coin_id = 'a'").withColumn("price_usd", F.lit(9.0))

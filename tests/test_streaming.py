@@ -71,9 +71,13 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
     run_candles(spark, src, out, state)
     closed = {r["window_start"]: r["high"] for r in spark.read.parquet(str(out)).collect()}
     assert sorted(closed.values()) == [10.0, 11.0]
+    # the window that the late trade belongs to was closed without it
     rows = parsed(spark.read.text(str(src)))
-    newest = F.lit("2024-01-01 00:30:00").cast("timestamp")
-    assert trades.late_rows(rows, newest).where("trade_id = 3").count() == 1
+    late = trades.late_counts(rows, spark.read.parquet(str(out))).collect()
+    assert [(r["symbol"], r["late"]) for r in late] == [("X", 1)]
+    # the end of the feed: the window of the last trade is still open
+    trades.finish_candles(rows, str(out), str(tmp_path / "rest"))
+    assert [r["high"] for r in spark.read.parquet(str(tmp_path / "rest")).collect()] == [12.0]
 
 
 def test_bronze_keeps_messages_as_received(spark, tmp_path):
@@ -81,15 +85,25 @@ def test_bronze_keeps_messages_as_received(spark, tmp_path):
     put(src, "a.json", [*feed(), "{broken", "[1]", '{"stream": "x"}'])
     query = trades.land_bronze(trades.read_messages(spark, str(src)), str(out), str(state), bounded=True)
     query.awaitTermination()
-    assert trades.progress_totals(query)["received"] == 303
     rows = spark.read.text(str(out))
     assert {r[0] for r in rows.select("symbol").distinct().collect()} == {"btcusdt", "ethusdt", "unknown"}
     got = sorted(json.loads(r["value"]).get("t", -1) for r in rows.collect())
     assert got == [-1, *range(300)]
     one = json.loads(rows.where("symbol = 'btcusdt'").first()["value"])
     assert set(one) == {"e", "E", "s", "t", "p", "q", "T", "m"} and isinstance(one["p"], str)
-    bad = trades.quarantine(trades.parse_messages(spark.read.text(str(src))))
-    assert sorted(r[0] for r in bad.collect()) == ["[1]", "{broken"]
+    trades.land_undecodable(trades.read_messages(spark, str(src)), str(tmp_path / "bad"), str(tmp_path / "bad_state"), bounded=True).awaitTermination()
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "bad")).collect()) == ["[1]", "{broken"]
+    assert trades.landed(spark, str(out), str(tmp_path / "bad")) == {"received": 303, "written": 301, "undecodable": 2}
+
+
+def test_totals_of_many_triggers(spark, tmp_path):
+    src, out, bad = tmp_path / "in", tmp_path / "out", tmp_path / "bad"
+    for i in range(105):
+        put(src, f"{i:03}.json", [message("X", i, START + i, 1), *(["{broken"] if i % 10 == 0 else [])])
+    feed_ = trades.read_messages(spark, str(src), files_per_trigger=1)
+    for land, to in ((trades.land_bronze, out), (trades.land_undecodable, bad)):
+        land(feed_, str(to), str(tmp_path / f"{to.name}_state"), bounded=True).awaitTermination()
+    assert trades.landed(spark, str(out), str(bad)) == {"received": 116, "written": 105, "undecodable": 11}
 
 
 def test_counters(spark):

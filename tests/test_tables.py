@@ -152,7 +152,7 @@ def test_latest_run_and_ties(spark, tmp_path):
     tables.write_run(df.limit(1), path, F.lit("2024-01-02"))
     tables.write_run(df, path, F.lit("2024-01-02"))
     runs = spark.read.schema("coin_id string, confidence int, as_of string").json(path)
-    assert runs.count() == 4 and tables.latest_run(runs).count() == 2
+    assert runs.count() == 4 and tables.latest_run(spark, path, form="json").count() == 2
     rows = spark.createDataFrame([("x", 1, 5), ("x", 2, 5), ("x", 3, 4), ("y", 4, 1)], "k string, v int, t int")
     assert sorted(r["v"] for r in keyed.latest_with_ties(rows, "k", "t").collect()) == [1, 2, 4]
 
