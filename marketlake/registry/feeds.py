@@ -128,23 +128,23 @@ def global_market(spark, d):
 
 
 @query("flt_03_market_chart", sql("""
-SELECT coin_id, CAST(epoch_ms("timestamp") AS BIGINT) AS ms, price_usd, volume_usd FROM chart""", "daily", extra=_CHART))
+SELECT coin_id, CAST(epoch_ms("timestamp") AS BIGINT) AS ms, price_usd, market_cap_usd, volume_usd FROM chart""", "daily", extra=_CHART))
 def market_chart(spark, d):
     bodies = testbed.chart_bodies(spark, d)
     parsed = bodies.select("coin_id", F.from_json(
         "value", "prices array<array<double>>, market_caps array<array<double>>, total_volumes array<array<double>>"
     ).alias("j")).select("coin_id", "j.*")
     rows = flatten.flatten_chart(parsed, ["coin_id"], at())
-    return rows.select("coin_id", F.unix_millis("timestamp").alias("ms"), "price_usd", "volume_usd")
+    return rows.select("coin_id", F.unix_millis("timestamp").alias("ms"), "price_usd", "market_cap_usd", "volume_usd")
 
 
 @query("flt_04_ohlc", sql("""
-SELECT coin_id, "date", price_usd + 1 AS high, price_usd + 0.5 AS "close" FROM daily""", "daily"))
+SELECT coin_id, "date", price_usd AS "open", price_usd + 1 AS high, price_usd - 1 AS low, price_usd + 0.5 AS "close" FROM daily""", "daily"))
 def ohlc(spark, d):
     parsed = testbed.candle_bodies(spark, d).select(
         "coin_id", F.from_json("value", "array<array<double>>").alias("items"))
     rows = flatten.flatten_candles(parsed, "items", ["coin_id"], at())
-    return rows.select("coin_id", F.to_date("timestamp").alias("date"), "high", "close")
+    return rows.select("coin_id", F.to_date("timestamp").alias("date"), "open", "high", "low", "close")
 
 
 @query("flt_05_exchanges", """
@@ -208,12 +208,16 @@ def short(spark, d):
 
 
 @query("flt_14_strip_prefix", """
-SELECT s_suppkey, CAST(s_suppkey AS VARCHAR) AS a, replace(s_name, 'coin_id=', '') AS b FROM supplier""")
+SELECT 'n' || s_nationkey AS coin_id, s_suppkey, replace(s_name, 'coin_id=', '') AS name FROM supplier""")
 def strip(spark, d):
-    s = testbed.table(spark, d, "supplier")
-    folder = F.concat(F.lit("coin_id="), F.col("s_suppkey").cast("string"))
-    return s.select("s_suppkey", scalars.strip_prefix(folder, "coin_id=").alias("a"),
-                    scalars.strip_prefix("s_name", "coin_id=").alias("b"))
+    """Files in id folders that lack the id: it comes from the folder's name."""
+    path = shared_folder(spark, "prefixed")
+    s = testbed.table(spark, d, "supplier").select(
+        "s_suppkey", "s_name", F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("coin_id"))
+    s.write.partitionBy("coin_id").parquet(path)
+    files = spark.read.option("recursiveFileLookup", "true").schema("s_suppkey bigint, s_name string").parquet(path)
+    return tables.with_id_from_path(files, "coin_id").select(
+        "coin_id", "s_suppkey", scalars.strip_prefix("s_name", "coin_id=").alias("name"))
 
 
 @query("flt_19_rounding", """

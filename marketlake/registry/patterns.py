@@ -189,7 +189,7 @@ def rule(spark, d):
 _FENCE = "'```'"
 _ANSWERS = """
 answers AS (
-  SELECT event_id, "value" AS rsi_14, CASE event_id % 12
+  SELECT event_id, event_type, "value" AS rsi_14, CASE event_id % 12
     WHEN 0 THEN '```json' || chr(10) || body || chr(10) || '```'
     WHEN 1 THEN 'Here it is: ```' || body || '``` done'
     WHEN 2 THEN body
@@ -333,7 +333,11 @@ def prompt(spark, d):
 
 _FINAL = """
 final AS (
-  SELECT event_id,
+  SELECT event_id, upper(event_type) AS symbol, CASE WHEN usable THEN risk_level ELSE 'MEDIUM' END AS risk_level,
+    CASE WHEN usable THEN reasoning
+         WHEN rsi_14 < 30 THEN 'RSI at ' || format('{:.0f}', rsi_14) || ' indicates oversold conditions.'
+         WHEN rsi_14 > 70 THEN 'RSI at ' || format('{:.0f}', rsi_14) || ' indicates overbought conditions.'
+         ELSE 'LLM unavailable — using rule-based fallback.' END AS reasoning,
     CASE WHEN usable THEN action WHEN rsi_14 < 30 THEN 'BUY' WHEN rsi_14 > 70 THEN 'SELL' ELSE 'HOLD' END AS action,
     CASE WHEN usable THEN confidence WHEN rsi_14 < 30 OR rsi_14 > 70 THEN 55 ELSE 40 END AS confidence
   FROM decided),
@@ -348,15 +352,29 @@ _RUN = ",".join([_ANSWERS.strip(), _PARSED, _FINAL])
 
 def _top_sql(action):
     return sql(f"""
-SELECT CAST(event_id AS VARCHAR) AS coin_id, action, CAST(confidence AS INTEGER) AS confidence, CAST(rank AS INTEGER) AS rank
+SELECT CAST(event_id AS VARCHAR) AS coin_id, symbol, action, CAST(confidence AS INTEGER) AS confidence, risk_level, reasoning,
+  CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (ORDER BY confidence DESC, event_id) AS rank FROM final WHERE action = '{action}')
 WHERE rank <= 3""", extra=_RUN)
 
 
+def _listed_sql(action):
+    """The three records of a top list as text."""
+    return f"""(SELECT coalesce(string_agg(concat_ws('|', rank, event_id, symbol, action, confidence, risk_level, coalesce(reasoning, '')),
+    ';' ORDER BY rank), '') FROM (SELECT *, row_number() OVER (ORDER BY confidence DESC, event_id) AS rank FROM final WHERE action = '{action}')
+    WHERE rank <= 3)"""
+
+
 @query("sum_01_market_summary", sql(f"""
-SELECT market_sentiment, buy, sell, hold, total_coins, '{AT}' AS generated_at FROM felt""", extra=_RUN))
+SELECT market_sentiment, buy, sell, hold, total_coins, '{AT}' AS generated_at,
+  {_listed_sql("BUY")} AS top_buys, {_listed_sql("SELL")} AS top_sells FROM felt""", extra=_RUN))
 def market_summary(spark, d):
-    return summary.signal_counts(answered(spark, d))
+    def listed(name):
+        fields = ["rank", *summary.TOP_COLUMNS]
+        return F.array_join(F.transform(name, lambda x: F.concat_ws("|", *[F.coalesce(x[f].cast("string"), F.lit("")) for f in fields])), ";").alias(name)
+
+    return summary.market_summary(answered(spark, d)).select(
+        "market_sentiment", "signal_counts.*", "total_coins", "generated_at", listed("top_buys"), listed("top_sells"))
 
 
 @query("agg_05_conditional_counts", sql("SELECT buy, sell, hold FROM counts", extra=_RUN))
@@ -381,7 +399,7 @@ def indicators_table(spark, d):
 for _name, _action in (("buys", "BUY"), ("sells", "SELL")):
     @query(f"sum_04_top_{_name}", _top_sql(_action))
     def top_actions(spark, d, action=_action):
-        return summary.top_actions(answered(spark, d), action).select("coin_id", "action", "confidence", "rank")
+        return summary.top_actions(answered(spark, d), action)
 
 
 @query("sum_05_metrics", sql("""
@@ -406,6 +424,15 @@ def tags(spark, d):
     return summary.tag_values(snapshots(spark, d), recs(spark, d))
 
 
+@query("sum_06_tag_keys", sql("""
+SELECT 'coin_id' AS text, 'string' AS type, count(DISTINCT coin_id) AS n FROM snapshot
+UNION ALL SELECT 'signal', 'string', count(DISTINCT signal) FROM snapshot""", "snapshot"))
+def tag_keys(spark, d):
+    rows = snapshots(spark, d)
+    found = summary.tag_values(rows, recs(spark, d)).groupBy(F.col("kind").alias("text")).agg(F.count("*").alias("n"))
+    return summary.tag_keys(rows).join(found, "text")
+
+
 @query("sum_07_health", sql("""
 SELECT 'ok' AS status, (SELECT count(*) FROM recs) AS recommendations_loaded, (SELECT count(*) FROM snapshot) AS indicators_loaded""",
     "recs"))

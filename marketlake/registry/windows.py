@@ -147,12 +147,14 @@ def snapshot(spark, d):
 SELECT coin_id, "date", round_even(rsi, 4) AS rsi_14, round_even(macd_line, 4) AS macd_line,
   round_even(macd_signal, 4) AS macd_signal, round_even(hist, 4) AS macd_histogram,
   round_even(sma_20, 4) AS sma_20, round_even(sma_50, 4) AS sma_50, round_even(sma_20 + 2 * sd, 4) AS bb_upper,
-  round_even(sma_20 - 2 * sd, 4) AS bb_lower, round_even(vr, 4) AS volume_ratio
+  round_even(sma_20 - 2 * sd, 4) AS bb_lower, round_even(sma_20, 4) AS bb_middle, round_even(vr, 4) AS volume_ratio,
+  round_even((price_usd / sma_20 - 1) * 100, 4) AS price_vs_sma20, round_even((price_usd / sma_50 - 1) * 100, 4) AS price_vs_sma50,
+  round_even(CASE WHEN sd > 0 THEN (price_usd - (sma_20 - 2 * sd)) / (4 * sd) ELSE 0.5 END, 4) AS bb_position
 FROM series""", "series"))
 def indicator_series(spark, d):
     out = indicators.indicator_series(testbed.daily_prices(spark, d))
     names = ["rsi_14", "macd_line", "macd_signal", "macd_histogram", "sma_20", "sma_50", "bb_upper", "bb_lower",
-             "volume_ratio"]
+             "bb_middle", "volume_ratio", "price_vs_sma20", "price_vs_sma50", "bb_position"]
     return out.select("coin_id", "date", *[F.bround(c, 4).alias(c) for c in names])
 
 
