@@ -173,6 +173,16 @@ def apply_edits(text: str, tree: Tree, edits: list[tuple[int, int, str]], counte
     return text, tree, again, applied
 
 
+def _wanted(edits) -> list[tuple[int, int, str]]:
+    """The edits that have a start, by start; pandas gives a missing number as NaN."""
+    found = []
+    for e in edits:
+        if e is not None and pd.notna(e["start"]) and e["start"] >= 0:
+            start = int(e["start"])
+            found.append((start, int(e["stop"]) if pd.notna(e["stop"]) else start, e["text"] or ""))
+    return sorted(found, key=lambda e: e[:2])
+
+
 def _ranks(vocabulary: str) -> bytes:
     with open(vocabulary, "rb") as file:
         return file.read()
@@ -210,9 +220,7 @@ def with_edits(docs: DataFrame, edits: Column, vocabulary: str = VOCABULARY, pat
         for texts, trees, lists in batches:
             out = []
             for text, chars, tokens, own in zip(texts, trees["chars"], trees["tokens"], lists):
-                own = sorted(((e["start"], e["stop"] if e["stop"] is not None else e["start"], e["text"] or "")
-                              for e in (own if own is not None else []) if e is not None and e["start"] is not None and e["start"] >= 0),
-                             key=lambda e: e[:2])
+                own = _wanted(own if own is not None else [])
                 tree = Tree(np.array(chars, dtype=np.int64), np.array(tokens, dtype=np.int64))
                 new, tree, again, applied = apply_edits(text or "", tree, own, counter)
                 out.append((new if keep_text else None, {"chars": tree.chars.astype(np.int32), "tokens": tree.tokens.astype(np.int32)},
