@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,18 +43,35 @@ def global_market(spark: SparkSession, path: str, inner: T.StructType, ingestion
     return flat.withColumn("snapshot_date", bronze.fetch_date()).drop("file_path")
 
 
+def _numbered(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Add ``file_no``, the place of a response among those of its id by path.
+
+    The places come from a listing alone: no content is read for them. ``rows``
+    has one row per file still, so the join is small.
+    """
+    order = Window.partitionBy(bronze.dataset_folder()).orderBy("file_path")
+    listed = bronze.list_files(spark, path).withColumn("file_no", F.row_number().over(order).cast("bigint"))
+    return rows.join(listed, "file_path")
+
+
+def _first_copy(flat: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row of each key by file and place: one number, so a hash aggregate without a sort."""
+    at = F.col("file_no") * F.lit(1 << 32) + F.col("pos")
+    return keep_first(flat.withColumn("_at", at).drop("file_no", "pos"), keys, ["_at"]).drop("_at")
+
+
 def market_chart(spark: SparkSession, path: str, ingestion_time: Column | None = None) -> DataFrame:
     """Price history per coin, first copy of a (coin, timestamp) kept; partition ``coin_id``."""
     rows = bronze.read_objects(spark, path, schemas.MARKET_CHART).withColumn("coin_id", bronze.dataset_folder())
-    flat = flatten.flatten_chart(rows, ["coin_id", "file_path"], _clock(ingestion_time))
-    return keep_first(flat, ["coin_id", "timestamp"], ["file_path", "pos"]).drop("file_path", "pos")
+    flat = flatten.flatten_chart(_numbered(spark, path, rows), ["coin_id", "file_no"], _clock(ingestion_time))
+    return _first_copy(flat, ["coin_id", "timestamp"])
 
 
 def ohlc(spark: SparkSession, path: str, ingestion_time: Column | None = None) -> DataFrame:
     """Candles per coin, first copy kept; partition ``coin_id``."""
     rows = bronze.read_arrays(spark, path).withColumn("coin_id", bronze.dataset_folder())
-    flat = flatten.flatten_candles(rows, "items", ["coin_id", "file_path"], _clock(ingestion_time))
-    return keep_first(flat, ["coin_id", "timestamp"], ["file_path", "pos"]).drop("file_path", "pos")
+    flat = flatten.flatten_candles(_numbered(spark, path, rows), "items", ["coin_id", "file_no"], _clock(ingestion_time))
+    return _first_copy(flat, ["coin_id", "timestamp"])
 
 
 def exchanges(spark: SparkSession, path: str, ingestion_time: Column | None = None, schema: T.StructType = schemas.EXCHANGE) -> DataFrame:

@@ -24,6 +24,14 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in listed if f.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path`` of every file below a folder; empty without the folder. No file is opened."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "file_path string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("_metadata.file_path").alias("file_path"))
+
+
 def _with_origin(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("file_path"))
 
