@@ -116,6 +116,7 @@ def answer_body(response: Column) -> Column:
     return F.regexp_replace(body, r"(?U)^\s+|\s+$", "")
 
 
+BODY_END = "end of the answer"
 ANSWER_FIELDS = ["action", "confidence", "reasoning", "risk_level", "timeframe"]
 
 
@@ -128,12 +129,15 @@ def parse_answers(df: DataFrame, response: str = "response") -> DataFrame:
     text is parsed once and the generated code stays small.
     """
     doc = F.col("_doc")
-    # The parser stops after the first value. Text behind it would pass, so the
-    # body has to be a valid value inside an object and inside an array.
-    in_object, in_array = _join('{"x":', F.col("_body"), "}"), _join("[", F.col("_body"), "]")
-    whole = F.when(F.try_parse_json(in_array).isNotNull(), F.try_parse_json(in_object))
-    read = df.withColumn("_body", answer_body(F.col(response))).withColumn(
-        "_doc", F.try_variant_get(whole, "$.x", "variant"))
+    # The parser stops after the first value, so text behind the body would pass.
+    # In front of a mark in an array the body has to be one whole value.
+    listed = _join("[", F.col("_body"), f',"{BODY_END}"]')
+    read = (
+        df.withColumn("_body", answer_body(F.col(response)))
+        .withColumn("_listed", F.try_parse_json(listed))
+        .withColumn("_doc", F.when(F.try_variant_get("_listed", "$[1]", "string") == BODY_END,
+                                   F.try_variant_get("_listed", "$[0]", "variant")))
+    )
     typed = read.withColumns({
         **{f"_{k}": F.try_variant_get(doc, f"$.{k}", "variant") for k in ANSWER_FIELDS},
         "_type": F.schema_of_variant(doc),
