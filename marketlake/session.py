@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     # state of the trade stream may outgrow the executors' memory
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # rows handed to Python at once; they may hold long texts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # numeric-looking ids in partition folders must stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
