@@ -92,6 +92,16 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> Data
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def page_after(df: DataFrame, order: Sequence[str], last: Sequence, size: int) -> DataFrame:
+    """The page that follows the row whose ``order`` columns are ``last`` (TOP-09).
+
+    The order is ascending, unique and without nulls. Each task keeps ``size`` rows
+    however deep the page is.
+    """
+    beyond = F.struct(*[F.col(c) for c in order]) > F.struct(*[F.lit(v).alias(c) for c, v in zip(order, last)])
+    return df.where(beyond).orderBy(*order).limit(size)
+
+
 def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the completed manifest (JN-06, SET-04)."""
     return todo.join(done.select(key).where(F.col(key).isNotNull()), key, "left_anti")

@@ -98,10 +98,15 @@ def refresh(
     ``changed``, to be written with dynamic partition overwrite on ``coin_id``;
     the other partitions stay untouched, so the table equals a full rebuild.
     """
-    if mode == "incremental":
-        if changed is None:
-            raise ValueError("incremental needs the changed coins")
-        chart = chart.join(changed.select("coin_id").distinct(), "coin_id", "left_semi")
-    elif mode != "full":
+    return fact_daily_prices(daily_prices(rows_to_build(chart, mode, changed), order))
+
+
+def rows_to_build(chart: DataFrame, mode: str = "full", changed: DataFrame | None = None) -> DataFrame:
+    """The history rows that a build of this mode reads (GLD-05)."""
+    if mode == "full":
+        return chart
+    if mode != "incremental":
         raise ValueError(f"unknown mode {mode!r}")
-    return fact_daily_prices(daily_prices(chart, order))
+    if changed is None:
+        raise ValueError("incremental needs the changed coins")
+    return chart.join(changed.select("coin_id").distinct(), "coin_id", "left_semi")

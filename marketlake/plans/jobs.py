@@ -47,14 +47,14 @@ def build_gold(
     frames = []
     if has_history:
         chart = tables.read_table(spark, history).withColumn("date", F.to_date("timestamp"))
+        changed = None
         if mode == "incremental":
             if since is None:
                 raise ValueError("incremental needs the time of the last run")
             changed = chart.where(F.col("ingestion_time") > F.lit(since).cast("timestamp")).select("coin_id").distinct()
             if snapshot_date is not None:
                 changed = changed.union(coins.select("coin_id")).distinct()
-            chart = chart.join(changed, "coin_id", "left_semi")
-        frames.append(gold.daily_prices(chart, ["timestamp"]))
+        frames.append(gold.daily_prices(gold.rows_to_build(chart, mode, changed), ["timestamp"]))
     if snapshot_date is not None:
         wanted = ["id", "current_price", "market_cap", "total_volume", *MARKET_ORDER]
         latest = keep_last(markets.select(*wanted), ["id"], MARKET_ORDER)

@@ -282,6 +282,15 @@ def ranked_page(spark, d):
     return keyed.page(rows, [F.col("market_cap").desc(), F.col("o_orderkey")], number=2, size=250)
 
 
+@query("top_09_page_after", sql("""
+SELECT id, o_orderkey, o_orderkey AS place FROM markets ORDER BY o_orderkey LIMIT 250 OFFSET 250""", "markets"))
+def page_after(spark, d):
+    """The second page, from the key of the first one's last row."""
+    rows = testbed.markets(spark, d).select("id", "o_orderkey", F.col("o_orderkey").alias("place"))
+    last = keyed.page(rows, [F.col("place")], number=1, size=250).agg(F.max("place")).head()[0]
+    return keyed.page_after(rows, ["place"], [last], 250)
+
+
 # ---- set operations ---------------------------------------------------------
 
 
