@@ -43,7 +43,7 @@ MAP_BITS = 27              # the bitmap of anchors has 2 ** MAP_BITS bits
 FLUSH = 2_000_000          # hashes that a task sorts at once
 STRETCH = 400_000          # words that are hashed at once
 RANGE_WORDS = 4_000_000    # hashes of one range, on average
-CHUNK_WORDS = 2_000_000    # words of one chunk, on average
+CHUNK_WORDS = 1_000_000    # words of one chunk, on average
 WORD_BYTES = 6             # assumed, to size ranges and chunks only
 
 
@@ -243,8 +243,7 @@ def remove_repeats(docs: DataFrame, keep: str, window: int = WINDOW, digest: boo
     words = near.agg(F.coalesce(F.sum("n_words"), F.lit(0))).head()[0]
     chunks = max(1, math.ceil(words / CHUNK_WORDS))
     near = near.select("keep", "n_words", "text", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int").alias("chunk"))
-    asked = near.groupBy("chunk").applyInPandas(_ask(window, max(1, math.ceil(words / RANGE_WORDS))),
-                                                "chunk int, part int, keys binary, flags binary")
+    asked = near.groupBy("chunk").applyInPandas(_ask(window, parts), "chunk int, part int, keys binary, flags binary")
     answers = asked.groupBy("part").applyInPandas(_answer, "chunk int, keys binary")
     done = near.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         _finish(window, digest), f"keep string, n_words long, kept string, spans {SPANS}")
