@@ -40,6 +40,7 @@ BITS = 14
 BUCKETS = 1 << BITS
 SAMPLE = 4000
 LANGUAGES = 200
+MARGIN, HASHES = 2, 1 << 40
 WIDTH = 16
 EPOCHS = 12
 BATCH = 32
@@ -163,12 +164,15 @@ def train(counts: list[np.ndarray], labels: list[str], held: np.ndarray, seed: i
 def fit(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model | None:
     """Train on a bounded sample of the labelled rows outside the held-out fold; None without any."""
     learn = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != 0))
-    known = [r["lang"] for r in learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    known = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if not known:
         return None
     per = max(2, sample // len(known))
-    pick = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = (learn.where(F.col("lang").isin(known)).select("lang", "doc_id").withColumn("pick", pick)
+    # hashes low enough that about MARGIN times the rows wanted are left, so that few rows are ever put in order
+    low = F.create_map(*[F.lit(x) for lang, n in known.items() for x in (lang, min(1.0, MARGIN * per / n) * HASHES)])
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
+    pick = F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id"))
+    ids = (learn.where(F.col("lang").isin(list(known)) & (hashed < low[F.col("lang")])).select("lang", "doc_id").withColumn("pick", pick)
            .where(F.col("pick") <= per).select(F.col("doc_id").alias("picked")).distinct())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
