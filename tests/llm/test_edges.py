@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marketlake.llm import katz, queries, simhash
+from marketlake.llm.common import staged
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, id long, key string, row string, size int, rank string, "
           "shard string, slot string, hash string, part int, hits string, keep string, marks string, `group` string, class int, "
@@ -164,7 +165,7 @@ def test_pipeline_keeps_columns(spark, folder):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, folder)
         assert docs.columns == [c.strip("`") for c in [x.split(" ")[0] if "`" not in x else x.rsplit(" ", 1)[0] for x in SCHEMA.split(", ")]]
-        docs = docs.transform(lambda d: corpus_pipeline.staged(d, "edge"))
+        docs = docs.transform(lambda d: staged(d, "edge"))
     last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert {"shard", "slot"} <= set(last.columns) and last.count() == docs.count()
     assert docs.where(F.col("doc_id").isin(3, 4, 5, 6)).count() == 0
