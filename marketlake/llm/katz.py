@@ -33,6 +33,7 @@ result; other columns are not touched. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
@@ -45,7 +46,7 @@ from marketlake.llm.common import documents, remainder, staged
 from marketlake.llm.packed import by_partition, expand, pack_sorted, squeeze, unpack_sorted, word_hashes
 
 CUT = 5
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 RANGE_TOKENS = 4_000_000    # tokens to a range, on average
 HOT = 4
 FOLDS, HELD = 7, 2
@@ -160,26 +161,30 @@ def _pairs(offsets, vocabulary, total, types, parts):
         answers = right.sort_values("part")     # the chunk's words are sorted by range already
         ids = np.concatenate([unpack_sorted(p) + np.uint64(offsets[n]) for n, p in zip(answers["part"], answers["places"])])
         count = np.concatenate([expand(c, np.uint64) for c in answers["counts"]])
-        tokens, sizes = expand(row["tokens"], np.uint32).astype(np.int64), expand(row["sizes"], np.uint64).astype(np.int64)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
+        # a chunk has far fewer than 2**31 tokens: small numbers keep the arrays small
+        tokens, sizes = expand(row["tokens"], np.uint32).view(np.int32), expand(row["sizes"], np.uint64).astype(np.int64)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         stop = np.cumsum(sizes)
-        history = np.r_[np.int64(0), tokens[:-1]]
+        history = np.r_[np.int32(0), tokens[:-1]]
         history[stop - sizes] = tokens[stop - 1]    # the end mark stands before a text too
         seen = count[tokens]
         base = np.bincount(doc, weights=np.log10((seen + 1.0) / (total + 1.0 * (types + 1))), minlength=len(sizes))
-        known = np.bincount(doc, weights=seen > 0, minlength=len(sizes)).astype(np.int64)
+        known = np.bincount(doc[seen > 0], minlength=len(sizes))
+        del seen
         out = [(-1 - int(row["chunk"]) % parts, row["chunk"], len(sizes), False, *_EMPTY, list(row["ids"]), list(row["held"]),
                 sizes.tolist(), known.tolist(), base.tolist())]
 
         pair = ids[history] << np.uint64(32) | ids[tokens]
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair, kind="stable").astype(np.int32)
         pair, doc_of = pair[order], doc[order]
+        del doc
         start = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
         occurs = np.diff(np.r_[start, len(pair)])
         train = ~np.array(row["held"], dtype=bool)
         trained = np.add.reduceat(train[doc_of].astype(np.int64), start)
         first = order[start]
         pair, word_count, history_count = pair[start], count[tokens[first]], count[history[first]]
+        del order, tokens, history
         hot = history_count > hot_count
         mixed = pair * np.uint64(0x9E3779B97F4A7C15)
         part = np.where(hot, (mixed >> np.uint64(32)) % np.uint64(parts), (pair >> np.uint64(32)) * np.uint64(parts) // np.uint64(vocabulary))
@@ -262,7 +267,7 @@ def _score(unigrams):
         names = ["chunk", "scores", "ids", "held", "n_tokens", "n_known", "base"]
         if rows["part"].iloc[0] < 0:
             return rows.assign(scores=None)[names]
-        model = {m["id"]: np.array(m["sums"]) for m in rows["model"].iloc[0]}
+        model = {m["id"]: np.array(m["sums"]) for m in json.loads(rows["model"].iloc[0])}
         d = discounts([int(x) for x in model[-1][:CUT + 1]])
         scores: dict[int, np.ndarray] = {}
         for is_hot, own in rows.groupby("hot"):
@@ -302,7 +307,7 @@ def score_documents(docs: DataFrame, keep: str, held: str) -> DataFrame:
     # read twice by one query, so the exchange of the pairs is made once
     sums = (pairs.groupBy("part").applyInPandas(_statistics(unigrams), "id long, sums array<double>")
             .groupBy("id").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(CUT + 2)])
-            .agg(F.collect_list(F.struct("id", F.array(*[f"s{i}" for i in range(CUT + 2)]).alias("sums"))).alias("model")))
+            .agg(F.to_json(F.collect_list(F.struct("id", F.array(*[f"s{i}" for i in range(CUT + 2)]).alias("sums")))).alias("model")))
     scored = pairs.withColumn("model", sums.scalar()).groupBy("part").applyInPandas(_score(unigrams), SCORED)
     per_doc = scored.groupBy("chunk").applyInPandas(
         _per_document, "id string, held boolean, n_tokens long, n_known long, base double, score double")
