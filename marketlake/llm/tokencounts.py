@@ -42,7 +42,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 CONTEXT = 4
 LEAF = 64
 GROW = 8
-CACHE = 300_000      # pre-tokens a task remembers at once
+CACHE = 100_000      # pre-tokens a task remembers at once
 TREE = "struct<chars:array<int>,tokens:array<int>>"
 EDITS = "array<struct<start:int,stop:int,text:string>>"
 
