@@ -32,7 +32,7 @@ from marketlake.llm.common import documents, staged, word_count
 SHARDS = 24
 UNITS = 8192          # hashed units of small groups
 QUANTA = 2048         # a group above 1/QUANTA of a total is split off
-PART_ROWS = 20_000    # rows numbered in one task, on average
+PART_ROWS = 4_000     # rows numbered in one task, on average
 ROW_BYTES = 8         # added to each text's bytes
 
 _UNIT = T.StructType([
