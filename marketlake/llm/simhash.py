@@ -165,16 +165,21 @@ def classes(rows: DataFrame, bits: int = BITS) -> DataFrame:
     return per_fp.join(first, "root").select("fp", "first")
 
 
-def drop_near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """One row of each class stays: that of the smallest doc_id (null ids last, then by text; one of equal rows)."""
-    rows = staged(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
-    keep = classes(rows, bits).select("first.id", "first.key").distinct()
+def first_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """``keep`` with ``row``, the row of ``docs`` of that (id, key); one of equal rows."""
     known = lambda c: F.coalesce(c, F.lit(0)).alias("k1")
-    keep = keep.select(known(F.col("id")), F.col("id").isNull().alias("k2"), F.col("key").alias("k3"))
+    others = [c for c in keep.columns if c not in ("id", "key")]
+    keep = keep.select(known(F.col("id")), F.col("id").isNull().alias("k2"), F.col("key").alias("k3"), *others)
     ids, whole = F.col("doc_id").cast("long"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     judged = docs.select(whole, known(ids), ids.isNull().alias("k2"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("k3"))
     one = F.row_number().over(Window.partitionBy("k1", "k2", "k3").orderBy("k3"))
-    return judged.join(keep, ["k1", "k2", "k3"]).withColumn("copy", one).where("copy = 1").select("row.*")
+    return judged.join(keep, ["k1", "k2", "k3"]).withColumn("copy", one).where("copy = 1").select("row", *others)
+
+
+def drop_near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each class stays: that of the smallest doc_id (null ids last, then by text; one of equal rows)."""
+    rows = staged(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
+    return first_rows(docs, classes(rows, bits).select("first.id", "first.key").distinct()).select("row.*")
 
 
 def op2_simhash(spark, folder):
