@@ -11,9 +11,9 @@ still reaches it are read after them. The result is exact.
 
 Queries are taken in blocks of about ``BLOCK``, the only thing that is shipped
 whole; each block is one scan, and its candidates are a written table. Of equal
-vectors only the k + 1 smallest ids can be in any answer, so a group of copies
-is cut to them (in each task, before the shuffle) for the candidate side; every
-query keeps its row.
+vectors only the k + 1 smallest ids can be in any answer, and of a repeated row
+only k, so a group of copies is cut to them (in each task, before the shuffle)
+for the candidate side; every query keeps its row.
 
 Defined results: a vector that is null or holds a null or non-finite component
 takes no part, nor does a null vec_id; vectors of another length than the query
@@ -110,8 +110,11 @@ def top_k(vectors: DataFrame, is_query, k: int = K, bits: int = CELL_BITS, block
     """(query_id, rank, vec_id, score): the k best of all other rows for each row where ``is_query`` (of column ``id``) holds."""
     spark = vectors.sparkSession
     whole = integer_vectors(vectors)
-    copies = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    stored = staged(whole.withColumn("copy", copies).where(F.col("copy") <= k + 1).drop("copy")
+    # a row's own number among the rows of its id, then the number of its id among those of the vector
+    again = F.row_number().over(Window.partitionBy("v", "id").orderBy("id"))
+    copies = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
+    stored = staged(whole.withColumn("again", again).where(F.col("again") <= k)
+                    .withColumn("copy", copies).where(F.col("copy") <= k + 1).drop("again", "copy")
                     .withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = staged(whole.where(is_query).distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
     asked, count = queries.count(), stored.count()
