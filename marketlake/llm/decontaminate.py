@@ -9,8 +9,11 @@ one from the rest of the item's length) is one hash; ``WALKS`` independent walks
 are repeated to reach the recall. Windows start at every ``STRIDE``-th word of a
 document and at each of the first ``STRIDE`` words of an item, so an occurrence
 always has a window that starts at the same word as one of the item. Items
-longer than ``LONG`` words have windows at every ``LONG``-th word too; items
-under ``SHORT`` words are probed at every word.
+longer than ``LONG`` words have windows at every ``LONG``-th word too.
+
+Items under ``SHORT`` words do without walks: an item that may have n edits is cut
+into n + 1 pieces, one of which is whole in every occurrence, and the pieces are
+looked up at every word. No occurrence of a short item is missed.
 
 A hit is checked at once, in the task that holds the document: bit-parallel
 approximate matching of the whole item against the words around the hit gives
@@ -38,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import documents, staged
-from marketlake.llm.packed import word_hashes
+from marketlake.llm.packed import windows, word_hashes
 
 SIMILARITY = 0.8
 WALKS = 10
 STRIDE = 4
-SHORT = 10
+SHORT = 15
 LONG = 48
 EARLY = 8                               # steps from which the first two samples come
 LENGTHS = (9, 12, 16, 24, 32, 48, 72)   # lengths of walks; an item has the longest that fits it
@@ -117,17 +120,48 @@ class Walk:
         for length, start, keys in self.walk(tokens, at, self.one, self.two):
             if length not in self.keys or not len(start):
                 continue
-            known, where = self.keys[length]
-            low, high = np.searchsorted(known, keys), np.searchsorted(known, keys, side="right")
-            count = high - low
-            if count.any():
-                n = np.repeat(np.arange(len(start)), count)
-                nth = np.arange(len(n)) - np.repeat(np.cumsum(count) - count, count)
-                yield start[n], where[low[n] + nth]
+            yield from matches(start, keys, *self.keys[length])
+
+
+def edit_limit(size: int) -> int:
+    """Words of an item of ``size`` words that may be edited."""
+    return int(size * (1 - SIMILARITY) + 1e-9)
+
+
+class Pieces:
+    """The pieces of short items: of one more than the edits allowed, at least one is whole."""
+
+    def __init__(self, tokens: np.ndarray, items: list[tuple[int, int]]):
+        starts: dict[int, list] = {}
+        for a, size in items:
+            cuts = [a + size * n // (edit_limit(size) + 1) for n in range(edit_limit(size) + 2)]
+            for begin, end in zip(cuts, cuts[1:]):
+                starts.setdefault(end - begin, []).append(begin)
+        self.keys = {}
+        for width, at in starts.items():
+            found = np.array(at, dtype=np.int64)
+            keys = windows(tokens, width)[found]
+            order = np.argsort(keys, kind="stable")
+            self.keys[width] = keys[order], found[order]
+
+    def probe(self, tokens: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(starts, item piece starts) that are equal."""
+        for width, (known, where) in self.keys.items():
+            yield from matches(at, windows(tokens, width)[at], known, where)
+
+
+def matches(start: np.ndarray, keys: np.ndarray, known: np.ndarray, where: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, places) of equal keys; ``known`` is sorted."""
+    low, high = np.searchsorted(known, keys), np.searchsorted(known, keys, side="right")
+    count = high - low
+    if count.any():
+        n = np.repeat(np.arange(len(start)), count)
+        nth = np.arange(len(n)) - np.repeat(np.cumsum(count) - count, count)
+        yield start[n], where[low[n] + nth]
 
 
 class Index:
-    """Items of one block: their words, and the walks over their windows."""
+    """Items of one block: their words, the walks over their windows and the pieces of short ones."""
 
     def __init__(self, items: list[tuple[object, str]], walks: int = WALKS, stride: int = STRIDE):
         self.ids, lists = [], []
@@ -138,28 +172,29 @@ class Index:
         self.stride, self.words = stride, [w for w in lists]
         self.first = np.cumsum([0] + [len(w) for w in lists])
         self.pad = max(LENGTHS) + 1
-        self.groups: list[tuple[int, list[Walk]]] = []
+        self.groups: list[tuple[int, list]] = []
         if not lists:
             return
         tokens = np.r_[word_hashes([x for w in lists for x in w]), np.zeros(self.pad, dtype=np.uint64)]
         long_starts: dict[int, list] = {}
-        short_starts: dict[int, list] = {}
+        short = []
         for n, words in enumerate(lists):
             a, size = int(self.first[n]), len(words)
             if size < SHORT:
-                short_starts.setdefault(size, []).append(a)
+                short.append((a, size))
                 continue
             for base in range(0, max(1, size - LONG // 2), LONG):
                 left = size - base - (stride - 1)
                 length = max((x for x in LENGTHS if x <= 1.5 * left), default=LENGTHS[0])
                 long_starts.setdefault(length, []).extend(range(a + base, a + base + stride))
-        for step, starts, early in ((stride, long_starts, EARLY), (1, short_starts, 1)):
-            if starts:
-                found = {n: np.array(s, dtype=np.int64) for n, s in starts.items()}
-                group = [Walk((SEED, step, w), early, sorted(found)) for w in range(walks if step > 1 else max(1, walks // 4))]
-                for walk in group:
-                    walk.index(tokens, found)
-                self.groups.append((step, group))
+        if long_starts:
+            found = {n: np.array(s, dtype=np.int64) for n, s in long_starts.items()}
+            group = [Walk((SEED, stride, w), EARLY, sorted(found)) for w in range(walks)]
+            for walk in group:
+                walk.index(tokens, found)
+            self.groups.append((stride, group))
+        if short:
+            self.groups.append((1, [Pieces(tokens, short)]))
 
     def hits(self, texts) -> Iterator[list[dict]]:
         """The checked hits of every text, in order."""
@@ -197,7 +232,7 @@ class Index:
 
     def _check(self, words, item, guess):
         own = self.words[item]
-        limit = int(len(own) * (1 - SIMILARITY) + 1e-9)
+        limit = edit_limit(len(own))
         slack = limit + 8
         low, high = max(0, guess - slack), min(len(words), guess + len(own) + slack + 4)
         near, wanted = words[low:high], set(own)
