@@ -1,6 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
 
-A text is a sequence of lower-cased words. CGK's random walk reads a window word
+A text is a sequence of lower-cased words; in scripts written without spaces each
+character is a word. CGK's random walk reads a window word
 by word and, by a random bit of (step, word), stays or moves on; two windows at
 a small edit distance fall back into step, so their walks read the same word at
 most steps: edit distance becomes Hamming distance. Sampling three steps of the
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
@@ -53,13 +55,27 @@ LENGTHS = (9, 12, 16, 24, 32, 48, 72)   # lengths of walks; an item has the long
 BLOCK_WORDS = 200_000
 STRETCH = 400_000                       # words walked at once
 SEED = 11
-_WORD = re.compile(rb"[0-9a-z_\x80-\xff]+")
+# Han with its iteration marks, kana, Thai, Lao, Myanmar, Khmer: written without spaces
+_UNSPACED = ("\u3005-\u3007\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff"
+             "\uff66-\uff9f\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u108f\u109a-\u109d\u1780-\u17d3")
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c)[0] == "M" and not re.match(f"[{_UNSPACED}]", c))
+_WORD = re.compile(rf"[{_UNSPACED}]|(?:[^\W{_UNSPACED}]+|[{_MARKS}]+)+")
+_RUN = re.compile(rb"[0-9a-z_\x80-\xff]+")
+_ALONE = re.compile(f"[{_UNSPACED}]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased runs of letters, digits and characters beyond ASCII."""
-    return _WORD.findall((text or "").lower().encode("utf-8", "surrogatepass"))
+    """Lower-cased runs of letters, digits and underscores with their marks; single characters of unspaced scripts."""
+    text = (text or "").lower()
+    if not text.isascii():
+        beyond = {c for c in set(text) if not c.isascii()}
+        if _ALONE.search("".join(beyond)):
+            return " ".join(found).encode().split(b" ") if (found := _WORD.findall(text)) else []
+        for c in beyond:
+            if not _WORD.match(c):
+                text = text.replace(c, " ")
+    return _RUN.findall(text.encode())
 
 
 class Walk:

@@ -43,3 +43,24 @@ def test_short_items_are_found_up_to_the_limit_and_not_beyond():
         found = next(decontaminate.Index([(0, " ".join(item))]).hits([" ".join(text)]))
         best = brute.edit_distance_within(item, text)
         assert [h["distance"] for h in found] == ([best] if best <= int(len(item) * 0.2 + 1e-9) else [])
+
+
+def test_words_end_at_unicode_separators():
+    text = "caf\u00e9\u00a0noir\u2014\u201cbl\u00e4u\u201d\u3000x_1\uff0cy e\u0301te\u0301 \u0939\u093f\u0928\u094d\u0926\u0940 \u4e2d\u6587abc\u3002"
+    got = [w.decode() for w in decontaminate.words_of(text)]
+    assert got == ["caf\u00e9", "noir", "bl\u00e4u", "x_1", "y", "e\u0301te\u0301", "\u0939\u093f\u0928\u094d\u0926\u0940", "\u4e2d", "\u6587", "abc"]
+    assert [w.decode() for w in decontaminate.words_of(text.replace("\u4e2d\u6587", ""))] == [*got[:7], "abc"]
+    assert decontaminate.words_of("Plain_Text, 12-3!") == [b"plain_text", b"12", b"3"]
+    assert decontaminate.words_of("\u3002\u2014") == decontaminate.words_of(None) == decontaminate.words_of("\ud800") == []
+
+
+@pytest.mark.parametrize("first,last", [(0x4e00, 0x5e00), (0x3041, 0x3096), (0x0e01, 0x0e2e)])
+@pytest.mark.parametrize("size", [8, 30])
+def test_passage_inside_an_unspaced_run(first, last, size):
+    rng = random.Random(first + size)
+    run = lambda n: "".join(chr(rng.randrange(first, last)) for _ in range(n))
+    item = run(size)
+    changed = item[:4] + "\u4dbf" + item[5:]
+    texts = [run(40) + item + run(40), run(40) + changed + run(40), run(60) + item + "\u3002" + run(9), run(90)]
+    found = list(decontaminate.Index([(0, item)]).hits(texts))
+    assert [[h["distance"] for h in f] for f in found] == [[0], [1], [0], []]
