@@ -122,3 +122,49 @@ class Katz:
 
     def score(self, w):
         return sum(math.log10(self.p(h, x)) for h, x in zip(["", *w[:-1]], w))
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle(rows):
+    """(doc_id, leaf, subroot, root, proof, folded root, verified) of rows of (doc_id, source, lang, n_chars, text)."""
+    def climb(nodes):
+        """Levels from the nodes up, and what remains."""
+        levels = [nodes]
+        while len(nodes) > 1:
+            nodes = [sha("".join(nodes[i:i + 16])) for i in range(0, len(nodes), 16)]
+            levels.append(nodes)
+        return levels
+
+    def walk(levels, at, digest):
+        """Siblings and the digest at the end, from a node on the lowest level."""
+        beside = ""
+        for nodes in levels[:-1]:
+            first = at // 16 * 16
+            run = nodes[first:first + 16]
+            beside += "".join(d for i, d in enumerate(run) if first + i != at)
+            run[at - first] = digest
+            digest, at = sha("".join(run)), at // 16
+        return beside, digest
+
+    by_source = defaultdict(list)
+    for row in rows:
+        leaf = sha("".join(map(field, row)))
+        new = leaf if row[0] is None or zlib.crc32(str(row[0]).encode()) % 5 else sha("".join(map(field, [*row[:4], None if row[4] is None else lower(row[4])])))
+        by_source[row[1]].append((row[0] is not None, row[0] or 0, leaf, new))
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: climb([x[2] for x in sorted(by_source[s])]) for s in order}
+    top = climb([trees[s][-1][0] for s in order])
+    out = []
+    for number, s in enumerate(order):
+        for at, (known, doc_id, leaf, new) in enumerate(sorted(by_source[s])):
+            beside, digest = walk(trees[s], at, new)
+            more, digest = walk(top, number, digest)
+            out.append((doc_id if known else None, leaf, trees[s][-1][0], top[-1][0], sha(beside + more), digest, digest == top[-1][0]))
+    return out
