@@ -168,3 +168,50 @@ def merkle(rows):
             more, digest = walk(top, number, digest)
             out.append((doc_id if known else None, leaf, trees[s][-1][0], top[-1][0], sha(beside + more), digest, digest == top[-1][0]))
     return out
+
+
+def trie(rows):
+    """Nodes (conv_id, depth, parent, convs, children, leaves, saved, ends) of rows of (conv_id, turn, role, text)."""
+    def digest(role, text):
+        return sha(f"{len((role or '').encode())}:{role or ''}{text or ''}")
+
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", digest(role, text), text or ""))
+    own = {c: [(x[2], x[4]) for x in sorted(turns)] for c, turns in own.items()}
+    nodes = defaultdict(list)
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        whole = own.get(c - int(math.fmod(c, 100)), [])[:h] + turns[h:]
+        for d in range(len(whole) + 1):
+            nodes[tuple(whole[:d])].append((c, d == len(whole)))
+    below = defaultdict(list)
+    for n in nodes:
+        if n:
+            below[n[:-1]].append(n)
+    leaves, saved = {}, {}
+    for n in sorted(nodes, key=len, reverse=True):
+        leaves[n] = sum(leaves[x] for x in below[n]) or 1
+        saved[n] = sum(saved[x] for x in below[n]) + (len(nodes[n]) - 1) * (len(n[-1][1]) if n else 0)
+    return [(min(m)[0], len(n), min(nodes[n[:-1]])[0] if n else None, len(m), len(below[n]), leaves[n], saved[n],
+             sha(",".join(str(c) for c in sorted(c for c, end in m if end)))) for n, m in nodes.items()]
+
+
+LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def licenses(text, rules, weights):
+    """(words, base places, first, last, base labels, labels, score): every pair of detections is compared."""
+    words = LICENSE_WORD.findall(lower(text))
+    base = [(i, label) for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+            for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
+    line, spans = f" {' '.join(words)} ", []
+    for number, rule in enumerate(rules):
+        for m in re.finditer(f" (?:{rule.words})(?= )", line):
+            spans.append((line.count(" ", 0, m.start()), line.count(" ", 0, m.end()), rule.tier, number, rule))
+    told = [s for s in spans if s[4].base or not any(
+        o[0] <= s[0] and o[1] >= s[1] and (o[2], s[1] - s[0] - (o[1] - o[0]), o[3]) < (s[2], 0, s[3]) for o in spans)]
+    labels = {s[4].label for s in told} | {label for _, label in base}
+    return (len(words), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None),
+            ",".join(sorted({label for _, label in base})), ",".join(sorted(labels)), max((weights[s[2]] for s in told), default=0.0))
