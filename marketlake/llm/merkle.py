@@ -110,15 +110,19 @@ def _ends(bottom: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return ends
 
 
-def _stepped(nodes: DataFrame, up: DataFrame | None, above: DataFrame) -> DataFrame:
+def _stepped(nodes: DataFrame, up: DataFrame | None, above: DataFrame | None) -> DataFrame:
     """``nodes`` of one level plus the path columns: the steps from each one up to the root.
 
     ``up`` is the level above with its own paths, ``above`` the paths of each
-    key's last node. A step is a run's children, the slot in it and the hash
-    state in front of that slot.
+    key's last node, which is the root itself without it. A step is a run's
+    children, the slot in it and the hash state in front of that slot.
     """
-    along = [c for c in above.columns if c != "key"]
-    ends = nodes.where("n = 1").join(above, "key")
+    along = list(_PATH) if above is None else [c for c in above.columns if c != "key"]
+    ends = nodes.where("n = 1")
+    if above is None:
+        ends = ends.withColumns({c: F.expr(f"cast(array() as array<{kind}>)") for c, kind in _PATH.items()})
+    else:
+        ends = ends.join(above, "key")
     if up is None:
         return ends
     parents = up.select("key", F.col("pos").alias("run"), F.col("kids").alias("up_kids"), F.col("states").alias("up_states"), *along)
@@ -129,7 +133,7 @@ def _stepped(nodes: DataFrame, up: DataFrame | None, above: DataFrame) -> DataFr
     return ends.unionByName(inner.select(ends.columns))
 
 
-def _paths(levels: list[DataFrame], above: DataFrame) -> DataFrame | None:
+def _paths(levels: list[DataFrame], above: DataFrame | None) -> DataFrame | None:
     """The lowest of ``levels`` with the path of each node."""
     up = None
     for level in reversed(levels):
@@ -239,10 +243,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fold(manifest: Manifest) -> DataFrame:
     """Each leaf's proof and the root folded from its replacement (``alt``) or itself."""
-    spark = manifest.runs.sparkSession
-    start = spark.range(1).select(F.lit("").alias("key"), *[F.expr(f"cast(array() as array<{kind}>)").alias(c) for c, kind in _PATH.items()])
     own = list(_PATH)
-    above = _stepped(manifest.subroots, _paths(manifest.tops, start), start).select(
+    above = _stepped(manifest.subroots, _paths(manifest.tops, None), None).select(
         F.col("source_key").alias("key"), F.col("digest").alias("subroot"), *own)
     runs = manifest.runs.select("key", "pos", "n", "kids", F.col("id").alias("ids"), F.col("alt").alias("alts"))
     none = F.lit(None).cast("binary").alias("states")
