@@ -1,12 +1,12 @@
 """Vector bin packing of documents into shards.
 
-Equal texts form a group. Small groups meet in hashed units; a group above one
-quantum of any load is a unit of its own, or several where it is larger (one
-group may hold a third of all rows, far more than a shard). The number of
-units is bounded by a parameter, so their loads fit on the driver, where the
-greedy rule places the heaviest unit first, always into the shard whose
-residual capacity has the highest dot product with the unit's load vector
-(bytes, words, rows, each as a share of its total).
+Equal texts form a group, which stays whole. Small groups meet in hashed units; a
+group above one quantum of any load is a unit of its own. Only a group that
+alone exceeds a shard's capacity (one may hold a third of all rows) is cut into
+pieces of a quantum. The number of units is bounded by a parameter, so their
+loads fit on the driver, where the greedy rule places the heaviest unit first,
+always into the shard whose residual capacity has the highest dot product with
+the unit's load vector (bytes, words, rows, each as a share of its total).
 
 Documents themselves are never gathered: loads are partial sums, a row finds
 its shard by two bounded look-ups, and slots come from counts per (shard,
@@ -20,6 +20,7 @@ an empty table gives an empty result. Other columns are not touched.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,7 +32,7 @@ from marketlake.llm.common import documents, staged, word_count
 
 SHARDS = 24
 UNITS = 8192          # hashed units of small groups
-QUANTA = 2048         # a group above 1/QUANTA of a total is split off
+QUANTA = 2048         # a group above 1/QUANTA of a total is a unit of its own
 PART_ROWS = 4_000     # rows numbered in one task, on average
 ROW_BYTES = 8         # added to each text's bytes
 
@@ -70,10 +71,13 @@ def pack(rows: DataFrame, loads: DataFrame, n_shards: int = SHARDS, part_rows: i
     names = ("bytes", "words", "rows")
     total = loads.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names[:2]], F.count(F.lit(1)).alias("rows")).head()
     quantum = [max(1, math.ceil(total[c] / QUANTA)) for c in names]
-    # at most 3 x QUANTA groups can exceed a quantum of any of three loads
     pieces = F.greatest(*[F.ceil(F.col(c) / q) for c, q in zip(names, quantum)])
+    # a group is whole unless no shard could hold it
+    over = reduce(Column.__or__, [F.col(c) * n_shards > total[c] for c in names])
+    # at most 3 x QUANTA groups can exceed a quantum of any of three loads
     large = (loads.groupBy("group").agg(*[F.sum(c).alias(c) for c in names[:2]], F.count(F.lit(1)).alias("rows"))
-             .where(F.col("rows") > 1).select("group", pieces.cast("int").alias("pieces")).where("pieces > 1").collect())
+             .withColumn("pieces", pieces).where("rows > 1 and pieces > 1")
+             .select("group", F.when(over, F.col("pieces")).otherwise(1).cast("int").alias("pieces")).collect())
     large_groups = F.broadcast(spark.createDataFrame(large, _UNIT))
 
     def unit(df):
