@@ -8,16 +8,18 @@ word count, so longer documents are somewhat likelier; ``lam`` is solved so that
 the expected words equal the target. floor(m) copies are certain. The rest,
 ``p = m - floor(m)``, is the inclusion probability of one more copy: documents
 are ranked by (u / (1 - u)) / (p / (1 - p)) with u a hash of the row, and the
-lowest are taken while their words fit what the target still lacks; one more
-document closes the gap if one brings the words nearer.
+lowest are taken while their words fit what the target still lacks; later ones
+of the same bin that still fit close the gap, and one more that goes beyond it
+if that brings the words nearer.
 
 Nothing is sorted globally: words are summed in bins of the rank, the bin in
 which a source reaches its target is found from the sums, and only that bin's
-documents are put in order.
+ranks are put in order. Equal rows share one rank and count as one entry of so
+many rows, of which as many are taken as fit: n of m, by their number.
 
 Defined results: a null or empty text has size 0 and takes nothing; null
-sources form one source, last in order; equal rows share one rank and are taken
-or left together up to the cut; reruns give the same rows; a table without
+sources form one source, last in order; which of equal rows are taken is
+arbitrary, how many is not, so reruns give the same rows; a table without
 words has targets of 0; an empty table gives an empty result.
 """
 
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketlake.llm.common import documents, staged, word_count
+from marketlake.llm.ranks import numbered
 
 WEIGHTS = (3, 1, 2)       # by position of the source, repeating
 SHARE = 1.5               # words of the mix per word of the input
@@ -88,11 +91,12 @@ def expected_copies(classes: DataFrame, max_repeats: float = MAX_REPEATS) -> Dat
 
 
 def plan_mix(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS,
-             bin_rows: int = BIN_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(sources, classes) that decide every document's copies, from one narrow stored row a document.
+             bin_rows: int = BIN_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sources, classes, closing) that decide every document's copies, from one narrow stored row a document.
 
     ``sizes``: source, size (words), hash. ``sources``: source, source_size,
-    target, cut (last rank taken), last (rank of the closing document). ``classes``: source, class, certain, chance.
+    target, cut (last rank taken in order). ``classes``: source, class, certain,
+    chance. ``closing``: source, rank, n of the rows of that rank beyond the cut, whole: all of them.
     """
     rows = sizes.withColumn("class", length_class(F.col("size")))
     summed = rows.groupBy("source", "class").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
@@ -117,18 +121,45 @@ def plan_mix(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat
                                                           F.max("need").alias("need")))
     edge = edge.select(F.col("source").alias("e_source"), F.col("bin").alias("e_bin"), "before", "need")
     inside = open_.join(edge, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bin") == F.col("e_bin")))
-    order = Window.partitionBy("e_source").orderBy("rank", "hash")
-    steps = inside.select(F.col("e_source").alias("source"), "rank", "size", (F.col("e_bin") / bins - 1e-15).alias("start"),
-                          (F.col("before") + F.sum("size").over(order)).alias("after"), "before", "need")
+    # equal rows are one entry
+    entries = inside.groupBy(F.col("e_source").alias("source"), "rank", "size").agg(
+        F.count(F.lit(1)).alias("m"), F.first("before").alias("before"), F.first("need").alias("need"), (F.first("e_bin") / bins - 1e-15).alias("start"))
+    order, every = Window.partitionBy("source").orderBy("rank", "size"), Window.partitionBy("source")
+    steps = entries.withColumn("after", F.col("before") + F.sum(F.col("size") * F.col("m")).over(order))
     fits = F.col("after") <= F.col("need")
-    steps = steps.withColumn("gap", F.col("need") - F.greatest(F.max(F.when(fits, F.col("after"))).over(
-        Window.partitionBy("source")), F.col("before")))
-    # all that fit in rank order, then one later document if its size brings the words nearer
-    miss = F.when(~fits, F.abs(F.col("gap") - F.col("size")))
-    cut = steps.groupBy("source").agg(
-        F.coalesce(F.max(F.when(fits, F.col("rank"))), F.max("start")).alias("cut"),
-        F.min_by("rank", F.when(miss < F.col("gap"), F.struct(miss.alias("miss"), F.col("rank")))).alias("last"))
-    return staged(join_source(lacking.drop("given"), cut, "left"), "mix-sources"), classes
+    steps = steps.withColumn("gap", F.col("need") - F.greatest(F.max(F.when(fits, F.col("after"))).over(every), F.col("before")))
+    edges = steps.groupBy("source").agg(
+        F.coalesce(F.max(F.when(fits, F.col("rank"))), F.max("start")).alias("cut"), F.max("gap").alias("gap"),
+        F.array_sort(F.collect_list(F.when(~fits, F.struct("rank", "size", "m")))).alias("late"))
+    edges = staged(edges.select("source", "cut", F.inline(F.array(_closing(F.col("late"), F.col("gap"))))), "mix-edges")
+    closing = (edges.select("source", F.inline("picks")).groupBy("source", "rank").agg(F.sum("n").alias("n"), (F.sum("n") == F.max("m")).alias("whole")))
+    return (staged(join_source(lacking.drop("given"), edges.select("source", "cut"), "left"), "mix-sources"), classes, staged(closing, "mix-closing"))
+
+
+def _closing(late: Column, gap: Column) -> Column:
+    """Struct with ``picks``: (rank, n, m) of entries behind the first one that does not fit, taken while they fit.
+
+    The gap only shrinks, so an entry that is left over does not fit later either;
+    the smallest of these is taken once more if it overshoots by less than the gap.
+    Where one entry alone comes nearer than all this, it is the only one.
+    """
+    start = F.struct(gap.cast("double").alias("gap"), F.expr("cast(array() as array<struct<rank:double,n:bigint,m:bigint>>)").alias("picks"),
+                     F.lit(None).cast("struct<size:bigint,rank:double,m:bigint>").alias("over"))
+
+    def one(state, entry):
+        n = F.least(entry["m"], F.floor(state["gap"] / entry["size"])).cast("long")
+        picked = F.concat(state["picks"], F.array(F.struct(entry["rank"].alias("rank"), n.alias("n"), entry["m"].alias("m"))))
+        left = F.struct(entry["size"].cast("long").alias("size"), entry["rank"].alias("rank"), entry["m"].alias("m"))
+        return F.struct((state["gap"] - n * entry["size"]).alias("gap"), F.when(n > 0, picked).otherwise(state["picks"]).alias("picks"),
+                        F.when(n < entry["m"], F.least(state["over"], left)).otherwise(state["over"]).alias("over"))
+
+    done = F.aggregate(late, start, one)
+    beyond = F.coalesce(done["over"]["size"] - done["gap"], F.lit(math.inf))
+    once = F.array(F.struct(done["over"]["rank"].alias("rank"), F.lit(1).cast("long").alias("n"), done["over"]["m"].alias("m")))
+    nearest = F.array_min(F.transform(late, lambda e: F.struct(F.abs(gap - e["size"]).alias("miss"), e["rank"].alias("rank"), e["m"].alias("m"))))
+    alone = F.array(F.struct(nearest["rank"].alias("rank"), F.lit(1).cast("long").alias("n"), nearest["m"].alias("m")))
+    return F.struct(F.when(nearest["miss"] < F.least(done["gap"], beyond), alone)
+                    .when(beyond < done["gap"], F.concat(done["picks"], once)).otherwise(done["picks"]).alias("picks"))
 
 
 def length_class(size: Column) -> Column:
@@ -151,12 +182,25 @@ def ranked(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.withColumn("rank", F.when(F.col("chance") > 0, odds / (1 + odds)))
 
 
-def copies_of(rows: DataFrame, sources: DataFrame, classes: DataFrame) -> DataFrame:
+def copies_of(rows: DataFrame, plan: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
     """Add ``repeats``, ``source_size`` and ``target`` to rows with source, size and hash."""
+    sources, classes, closing = plan
     found = join_source(ranked(rows.withColumn("class", length_class(F.col("size"))), classes), sources, "inner")
-    extra = F.when((F.col("size") > 0) & ((F.col("rank") <= F.col("cut")) | (F.col("rank") == F.col("last"))), 1).otherwise(0)
-    repeats = F.when(F.col("size") > 0, F.col("certain") + extra).otherwise(0)
-    return found.withColumn("repeats", repeats.cast("int")).drop("class", "certain", "chance", "rank", "cut", "last")
+    closers = closing.select(F.col("source").alias("_source"), F.col("rank").alias("_rank"), F.col("n").alias("_n"), "whole")
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("rank") == F.col("_rank"))
+    found = found.join(closers, same, "left").drop("_source", "_rank")
+
+    def repeated(df, extra):
+        repeats = F.when(F.col("size") > 0, F.col("certain") + F.when(extra, 1).otherwise(0)).otherwise(0)
+        return df.withColumn("repeats", repeats.cast("int")).drop("class", "certain", "chance", "rank", "cut", "_n", "whole")
+
+    all_or_none = repeated(found.where("whole is null or whole"), (F.col("rank") <= F.col("cut")) | F.coalesce("whole", F.lit(False)))
+    if closing.where("not whole").isEmpty():
+        return all_or_none
+    # n of m equal rows: they are numbered, in ranges
+    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    tied = numbered(staged(found.where("not whole").withColumn("_key", key), "mix-tied"), ["_key", "rank"], ["hash"])
+    return all_or_none.unionByName(repeated(tied, F.col("pos") < F.col("_n")).drop("_key", "pos", "n"))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
@@ -165,9 +209,9 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         return docs.select(*payload, F.col("source").alias("source"), word_count(F.col("text")).alias("size"),
                            row_hash(F.col("doc_id"), F.col("text")).alias("hash"))
     sizes = staged(measured([]), "mix-sizes")
-    sources, classes = plan_mix(sizes, **options)
+    plan = plan_mix(sizes, **options)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    taken = copies_of(measured([whole]), sources, classes)
+    taken = copies_of(measured([whole]), plan)
     return taken.where("repeats > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select("row.*")
 
 
@@ -177,8 +221,7 @@ def op7_mixing(spark, folder):
     sizes = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"),
                                word_count(F.col("text")).alias("size"),
                                row_hash(F.col("doc_id"), F.col("text")).alias("hash")), "mix-sizes")
-    sources, classes = plan_mix(sizes)
-    return copies_of(sizes, sources, classes).select(
+    return copies_of(sizes, plan_mix(sizes)).select(
         "doc_id", F.col("size").cast("long").alias("size"), F.col("source_size").cast("long").alias("source_size"),
         F.col("target").cast("double").alias("target"), (F.col("repeats") * F.col("size")).cast("long").alias("taken"),
         F.col("repeats"), F.col("source"))

@@ -1,6 +1,7 @@
 """The methods themselves: recall, accuracy, balance, exactness on fixtures and on the small tables."""
 
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -181,6 +182,39 @@ def test_balance_with_a_third_in_one_group(spark):
     assert (small == 1).all()
 
 
+def test_groups_stay_whole(spark):
+    """Groups of 2 to 100 equal rows are never torn; one of a third of the table is."""
+    rows, i = [], 0
+    for g in range(2, 101):
+        for _ in range(g):
+            rows.append((i, g * 7919, 10 + g))
+            i += 1
+    rows += [(i + j, 1, 50) for j in range(3000)] + [(i + 3000 + j, 10**9 + j, 8 + j % 300) for j in range(2000)]
+    df = spark.createDataFrame(rows, "id long, `group` long, bytes long").withColumn("words", F.floor(F.col("bytes") / 6))
+    got = sharding.pack(df, df, 24, part_rows=100).toPandas()
+    shards = got.groupby("group").shard.nunique()
+    assert shards[1] > 6 and (shards.drop(1) == 1).all()
+    by = got.groupby("shard").agg(bytes=("bytes", "sum"), rows=("id", "size"))
+    assert len(by) == 24 and (by.max() / by.mean() < 1.05).all() and (by.min() / by.mean() > 0.95).all()
+
+
+@pytest.mark.parametrize("name", ["sf0.001", "sf0.01"])
+def test_texts_of_the_tables_stay_whole(spark, name):
+    folder = f"/root/testdata/{name}"
+    got = queries.QUERIES["op5_sharding"](spark, folder).toPandas()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert {r.doc_id: r.size for r in got.itertuples(index=False)} and len(got) == len(texts)
+    for r in got.to_dict("records"):
+        text = (texts[r["doc_id"]] or "").encode()
+        assert r["size"] == len(text) + 8 and r["text_crc32"] == zlib.crc32(text) and 0 <= r["shard"] < 24
+    got["text"] = got.doc_id.map(texts)
+    held = got.groupby("text").agg(shards=("shard", "nunique"), size=("size", "sum"), rows=("doc_id", "size"))
+    fits = held[(held["size"] * 24 <= got["size"].sum()) & (held["rows"] * 24 <= len(got))]
+    assert (fits.shards == 1).all()
+    by = got.groupby("shard")["size"].sum()
+    assert len(by) == 24 and by.max() / by.mean() < (1.05 if name == "sf0.01" else 1.6)
+
+
 # ---- repeats --------------------------------------------------------------------------
 
 
@@ -242,8 +276,7 @@ def test_targets_and_words_taken(spark):
     for s, n in (("a", 30), ("b", 900), ("c", 400), ("d", 5), ("e", 700), (None, 300), ("f", 1500)):
         rows += [(s, rng.randrange(1, 60) if rng.random() < .98 else rng.randrange(300), rng.getrandbits(62)) for _ in range(n)]
     df = spark.createDataFrame(rows, "source string, size long, hash long")
-    sources, classes = mixing.plan_mix(df, bin_rows=200)
-    got = mixing.copies_of(df, sources, classes).groupBy("source").agg(
+    got = mixing.copies_of(df, mixing.plan_mix(df, bin_rows=200)).groupBy("source").agg(
         F.max("target").alias("target"), F.sum(F.col("repeats") * F.col("size")).alias("taken"), F.max("repeats").alias("most"),
         F.max("source_size").alias("size")).collect()
     want = plain_targets({s: sum(r[1] for r in rows if r[0] == s) for s in {r[0] for r in rows}})
@@ -252,6 +285,27 @@ def test_targets_and_words_taken(spark):
         assert abs(r["taken"] - r["target"]) <= 2 and r["size"] == sum(x[1] for x in rows if x[0] == r["source"])
 
 
+def test_equal_rows_are_taken_n_of_m(spark):
+    """A source of equal rows comes within a document of its target; reruns agree."""
+    rows = [("a", 50, i) for i in range(1000)] + [("b", 50, -1)] * 1000 + [("c", 50, 5000 + i) for i in range(1000)] + [(None, 7, -2)] * 30
+    df = spark.createDataFrame(rows, "source string, size long, hash long").repartition(5)
+
+    def taken():
+        mix = mixing.copies_of(df, mixing.plan_mix(df, bin_rows=200))
+        return sorted(map(str, mix.groupBy("source", "hash", "repeats").count().collect())), mix.groupBy("source").agg(
+            F.max("target").alias("target"), F.sum(F.col("repeats") * F.col("size")).alias("taken"), F.count("*").alias("n"), F.max("size").alias("size")).collect()
+
+    first, sums = taken()
+    assert all(abs(r["taken"] - r["target"]) <= r["size"] for r in sums) and sum(r["n"] for r in sums) == len(rows)
+    assert taken()[0] == first
+
+
+def test_every_source_of_the_table_comes_near_its_target(spark):
+    got = queries.QUERIES["op7_mixing"](spark, "/root/testdata/sf0.01").groupBy("source").agg(
+        F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= .01 * r["target"] for r in got)
+
+
 # ---- model ----------------------------------------------------------------------------
 
 
