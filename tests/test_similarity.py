@@ -58,14 +58,30 @@ def test_exact_search(data, options, ship, monkeypatch):
     np.testing.assert_allclose([g[3] for g in got], [w[3] for w in want], atol=1e-8)
 
 
-def test_cells_are_pruned_and_chunks_bounded(spark, data):
-    pdf, df = data
-    pivots = unit(np.stack(pdf["embedding"][100:130]))
-    placed = pd.concat(similarity._nearest(iter([pdf]), pivots))
-    cells = placed.groupby("cell").agg(rows=("id", "size"), radius=("gap", "max")).reset_index()
-    cells["chunks"] = 1
-    asked = pd.concat(similarity._cells_for(iter([pdf]), pivots, cells, 4, None))
-    assert len(asked) < 0.7 * len(pdf) * len(cells)
+@pytest.mark.parametrize("chunk", [16, 300])
+def test_exact_search_of_crowded_cells(spark, chunk):
+    """Copies of one vector, opposite vectors and queries that are no patterns."""
+    rng = np.random.default_rng(8)
+    m = np.concatenate([np.ones((120, 4)), -np.ones((30, 4)), rng.normal(size=(150, 4)), np.zeros((3, 4))])
+    pdf = pd.DataFrame({"id": [f"v{i}" for i in range(len(m))], "embedding": m.tolist(), "coin_id": [f"c{i % 3}" for i in range(len(m))]})
+    ask = pd.DataFrame({"id": [f"q{i}" for i in range(40)], "embedding": rng.normal(size=(40, 4)).tolist(), "coin_id": "c1"})
+    ask.at[0, "embedding"] = [0.0] * 4
+    schema = "id string, embedding array<double>, coin_id string"
+    for q in (pdf, ask):
+        got = rows(similarity.similar_patterns(spark.createDataFrame(q, schema), spark.createDataFrame(pdf, schema), 6, exclude_same_coin=True, chunk=chunk))
+        assert [g[:3] for g in got] == [w[:3] for w in brute(q, pdf, 6, other_coin=True)]
+
+
+def test_copies_of_a_query_grow_less_than_the_chunks(spark):
+    seen = {}
+    for n in (900, 3600):
+        pdf = clustered(n, 4, 3)
+        df = spark.createDataFrame(pdf, "id string, embedding array<double>, coin_id string")
+        asked, first, _, rings = similarity._routed(df, df, 4, False, False, None, 32)
+        seen[n] = asked.count() / n, rings.agg(F.sum("slices")).first()[0]
+        assert first.groupBy("query_id").count().agg(F.max("count")).first()[0] <= 4
+    assert seen[3600][1] > 2.5 * seen[900][1]
+    assert seen[3600][0] < 0.5 * seen[3600][1] and seen[3600][0] / seen[900][0] < 0.75 * seen[3600][1] / seen[900][1]
 
 
 def test_fewer_patterns_than_k(data, spark):
@@ -97,15 +113,20 @@ def test_approximate_always_finds_k(data):
 def test_query_copies_come_in_slices(data, monkeypatch):
     pdf, _ = data
     pivots = unit(np.stack(pdf["embedding"][100:130]))
-    cells = pd.concat(similarity._nearest(iter([pdf]), pivots)).groupby("cell").agg(rows=("id", "size"), radius=("gap", "max")).reset_index()
-    cells["chunks"] = 3
-    whole = pd.concat(similarity._cells_for(iter([pdf]), pivots, cells, 4, None))
+    placed = pd.concat(similarity._nearest(iter([pdf]), pivots, np.arange(30)))
+    table = placed.assign(ring=0).groupby(["cell", "ring"]).agg(rows=("id", "size"), low=("gap", "min"), high=("gap", "max")).reset_index()
+    rings = similarity._Rings(pivots, table.assign(slices=3))
+    asking = placed.assign(ring=0, met=1, bound=np.inf)
+    whole = pd.concat(rings.route(iter([asking]), 4, None))
     monkeypatch.setattr(similarity, "COPIES", 700)
-    parts = list(similarity._cells_for(iter([pdf]), pivots, cells, 4, None))
+    parts = list(rings.route(iter([asking]), 4, None))
     assert max(map(len, parts)) <= 700
-    key = ["id", "cell", "chunk"]
+    key = ["id", "cell", "slice"]
     pd.testing.assert_frame_equal(pd.concat(parts)[key].reset_index(drop=True), whole[key].reset_index(drop=True))
-    assert not whole.duplicated(key).any() and set(whole["chunk"]) == {0, 1, 2}
+    assert not whole.duplicated(key).any() and set(whole["slice"]) == {0, 1, 2}
+    # the slice of the first round is not met again
+    home = whole.merge(placed[["id", "cell"]], on=["id", "cell"])
+    assert set(home["slice"]) == {0, 2}
 
 
 def test_cosine_expression(spark):
