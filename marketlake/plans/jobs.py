@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators import indicators, recommend, similarity
+from marketlake.operators import indicators, recommend, similarity, vector_index
 from marketlake.operators.keyed import keep_last
 from marketlake.plans import gold, summary
 from marketlake.schemas import GOLD_TABLES
@@ -99,16 +99,21 @@ def register_gold(spark: SparkSession, out: str, database: str = "gold", flat: b
     return result
 
 
-def analyse(spark: SparkSession, gold_path: str, out: str, as_of: str) -> int:
+def analyse(spark: SparkSession, gold_path: str, out: str, as_of: str, index: bool = False) -> int:
     """Snapshots of all coins, saved as a dated run and added to the pattern collection.
 
     Returns the number of patterns stored (PAT-06); what could not be stored is in
-    ``out``/patterns_failed with its reason.
+    ``out``/patterns_failed with its reason. With ``index`` the vector index in
+    ``out``/patterns_index gets the run too; a new one takes the whole collection.
     """
     facts = tables.read_table(spark, f"{gold_path}/fact_daily_prices")
     coins = tables.read_table(spark, f"{gold_path}/dim_coins")
     tables.write_run(indicators.snapshots(facts, coins), f"{out}/indicators", F.lit(as_of), "parquet")
-    return store_patterns(spark, f"{out}/indicators", f"{out}/patterns", as_of, f"{out}/patterns_failed")["stored"]
+    stored = store_patterns(spark, f"{out}/indicators", f"{out}/patterns", as_of, f"{out}/patterns_failed")["stored"]
+    if index and stored:
+        dates = _run_of(spark, f"{out}/indicators", as_of).agg(F.min("date").cast("string")).first()[0]
+        vector_index.refresh_index(spark, f"{out}/patterns", f"{out}/patterns_index", since=dates)
+    return stored
 
 
 def _run_of(spark: SparkSession, path: str, as_of: str) -> DataFrame:
@@ -152,9 +157,12 @@ def stored_matches(spark: SparkSession, matches: DataFrame) -> DataFrame:
 
 def recommend_top(
     spark: SparkSession, gold_path: str, out: str, as_of: str, n: int = TOP_COINS, answer=None, at: Column | None = None,
-    neighbours: int = NEIGHBOURS,
+    neighbours: int = NEIGHBOURS, index: bool = False,
 ) -> None:
-    """Recommendations for the best-ranked coins, saved as a dated run (REC-04)."""
+    """Recommendations for the best-ranked coins, saved as a dated run (REC-04).
+
+    Similar patterns come from an exact search, or with ``index`` from the stored index.
+    """
     coins = tables.read_table(spark, f"{gold_path}/dim_coins")
     # the size of either side is known to Spark: the list is bounded by its limit
     top = gold.ranked(coins.where("market_cap_rank IS NOT NULL"), n).select("coin_id")
@@ -162,7 +170,11 @@ def recommend_top(
     patterns = spark.read.parquet(f"{out}/patterns")
     ids = run.withColumn("id", similarity.pattern_id())
     asked = patterns.select("id", "embedding").join(ids, "id")
-    matches = stored_matches(spark, similarity.similar_patterns(asked, patterns, neighbours, ship=True))
+    if index:
+        found = vector_index.search_index(asked, f"{out}/patterns_index", neighbours)
+    else:
+        found = similarity.similar_patterns(asked, patterns, neighbours, ship=True)
+    matches = stored_matches(spark, found)
     records = recommend.recommend(asked, matches, patterns, answer, at)
     tables.write_run(records, f"{out}/recommendations", F.lit(as_of), "parquet")
 

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from marketlake.operators import indicators, recommend, similarity
+from marketlake.operators import indicators, recommend, similarity, vector_index
 from marketlake.plans import gold, jobs, summary
 from marketlake.registry.core import query, sql
 from marketlake.session import shared_folder
@@ -145,15 +145,34 @@ def top_match(spark, d):
 SELECT CAST(vec_id AS VARCHAR) AS query_id, least(5, (SELECT count(*) FROM embeddings)) AS matches, true AS itself_first,
   true AS recalled FROM embeddings""")
 def approximate(spark, d):
-    """Every query finds k, itself first, and the share of the exact matches found is above one half."""
+    """Every query finds k, itself first, and at least nine tenths of the exact matches are found."""
     v = testbed.vectors(spark, d)
-    near = staged_matches(spark, similarity.similar_patterns(v, v, 5, probe=3, chunk=64))
+    near = staged_matches(spark, similarity.similar_patterns(v, v, 5, probe=8, chunk=64))
+    return judged(v, near)
+
+
+def judged(v, near):
+    """One row a query: matches, whether it is its own best match, and whether recall is at least 0.9."""
     exact = similarity.similar_patterns(v, v, 5, ship=True)
     share = exact.join(near.select("query_id", "match_id", F.lit(1).alias("hit")), ["query_id", "match_id"], "left").agg(
         F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
     own = F.max((F.col("rank") == 1) & (F.col("match_id") == F.col("query_id")))
     return near.groupBy("query_id").agg(F.count("*").alias("matches"), own.alias("itself_first")).withColumn(
-        "recalled", share.scalar() > 0.5)
+        "recalled", share.scalar() >= 0.9)
+
+
+@query("pat_04_index", """
+SELECT CAST(vec_id AS VARCHAR) AS query_id, least(5, (SELECT count(*) FROM embeddings)) AS matches, true AS itself_first,
+  true AS recalled, CASE WHEN vec_id % 4 = 0 OR vec_id % 10 = 1 THEN 2 ELSE 1 END AS run FROM embeddings""")
+def indexed(spark, d):
+    """An index of three quarters, a run of the rest and of some rows once more, and a search for every vector."""
+    v = testbed.vectors(spark, d)
+    number, folder = F.col("id").cast("bigint"), shared_folder(spark, "index")
+    vector_index.build_index(v.where(number % 4 != 0), folder)
+    vector_index.add_run(v.where((number % 4 == 0) | (number % 10 == 1)), folder)
+    near = staged_matches(spark, vector_index.search_index(v, folder, 5))
+    runs = vector_index.entries(spark, folder).select(F.col("id").alias("query_id"), "run")
+    return judged(v, near).join(runs, "query_id")
 
 
 def staged_matches(spark, matches):
