@@ -77,8 +77,8 @@ def test_copies_of_a_query_grow_less_than_the_chunks(spark):
     for n in (900, 3600):
         pdf = clustered(n, 4, 3)
         df = spark.createDataFrame(pdf, "id string, embedding array<double>, coin_id string")
-        asked, first, _, rings = similarity._routed(df, df, 4, False, False, None, 32)
-        seen[n] = asked.count() / n, rings.agg(F.sum("slices")).first()[0]
+        asked, first, placed, _ = similarity._routed(df, df, 4, False, False, None, 32)
+        seen[n] = asked.count() / n, placed.select("cell", "ring", "slice").distinct().count()
         assert first.groupBy("query_id").count().agg(F.max("count")).first()[0] <= 4
     assert seen[3600][1] > 2.5 * seen[900][1]
     assert seen[3600][0] < 0.5 * seen[3600][1] and seen[3600][0] / seen[900][0] < 0.75 * seen[3600][1] / seen[900][1]
@@ -114,7 +114,9 @@ def test_query_copies_come_in_slices(data, monkeypatch):
     pdf, _ = data
     pivots = unit(np.stack(pdf["embedding"][100:130]))
     placed = pd.concat(similarity._nearest(iter([pdf]), pivots, np.arange(30)))
-    table = placed.assign(ring=0).groupby(["cell", "ring"]).agg(rows=("id", "size"), low=("gap", "min"), high=("gap", "max")).reset_index()
+    table = placed.groupby(["cell", "bin"]).agg(n=("id", "size"), low=("gap", "min"), high=("gap", "max")).reset_index()
+    table = similarity._merged(table.assign(rows=table["n"]), 10**6)
+    assert set(table["ring"]) == {0} and set(table["slices"]) == {1}
     rings = similarity._Rings(pivots, table.assign(slices=3))
     asking = placed.assign(ring=0, met=1, bound=np.inf)
     whole = pd.concat(rings.route(iter([asking]), 4, None))
