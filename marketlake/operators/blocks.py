@@ -1,213 +1,191 @@
-"""Long series cut into blocks, and exponentially decayed sums over them.
-
-A series is numbered 0..n per key and cut into blocks, so one long series is
-spread over many tasks. What a row needs from before its block comes in as
-*ghost* rows, copies of the last ``halo`` rows of the block before. Rolling
-frames need a few of them; a recursive average needs as many as still matter
-in double precision. Where two decayed sums are divided, what matters has no
-such limit: both may have shrunk alike over a long flat stretch. Such sums
-(``exact``) take no part of their state from ghosts but the whole of it from
-the totals of all earlier blocks, one row per (key, block). A daily series of
-less than ``BLOCK`` days is one block and has no ghosts.
-
-Everything is window expressions over (key, block): no self-join, no gathering
-of a key, and one sort shared by all of them.
+"""Long series cut into blocks, recursive averages as a scan of affine maps, and blocks with rows in front for rolling frames.
+
+A recursive average turns the state in front of a run of rows into the state
+behind it by a map ``state -> a * state + b``. Such maps compose, so a series
+needs no pass in order by one task:
+
+1. rows are cut into blocks of consecutive rows of a key. A series by date is
+   cut by the calendar (dates are unique within a key, so a bucket of ``DAYS``
+   days holds at most that many rows); other orders are cut by sampled ranges of
+   (key, order), or by a bucket that the caller names;
+2. each block is scanned on its own, from a state of zero, by running sums of one
+   window; the result is written;
+3. each block's map, one row, is composed with those in front of it, which gives
+   the state that comes in, the block's place within its key, and the value in
+   front of it;
+4. the written rows take up the state of their block: an ordinary join.
+
+``a`` is a power of the factor and the number of rows, so a state in front of
+enough rows is zero in a double and the maps that matter are few.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BLOCK = 8192
-# weights below this share of the first one cannot change a double
-NEGLIGIBLE = 1e-30
-# keep**-offset must stay well inside the double range
-LARGEST_SCALE = 1e200
-
-
-@dataclass(frozen=True)
-class Decay:
-    """The recursion D(0) = first, D(t) = term + keep * D(t-1)."""
-
-    name: str
-    first: Column
-    term: Column
-    keep: float
-    exact: bool = False
-
-    @property
-    def memory(self) -> int:
-        """Rows after which a value no longer matters."""
-        return memory(self.keep)
-
+from marketlake.session import shared_folder
 
-def memory(keep: float) -> int:
-    return math.ceil(math.log(NEGLIGIBLE) / math.log(keep)) if keep > 0 else 0
+# rows of a block at most, and days of a bucket of dates
+BLOCK = 2048
+DAYS = 2048
+# factor**-rows must stay well inside the double range within a block
+LARGEST_SCALE = 1e200
+# powers of a factor below exp(-745) are zero in a double
+ZERO = 745.0
 
 
 def ema_keep(span: int) -> float:
+    """Factor of an EMA: weight 2/(span+1) on the new value (WIN-07)."""
     return 1.0 - 2.0 / (span + 1)
 
 
 def wilder_keep(period: int) -> float:
+    """Factor of Wilder's average; its normaliser cancels in a ratio."""
     return 1.0 - 1.0 / period
 
 
-def ema_decay(name: str, value: Column, span: int) -> Decay:
-    """EMA seeded with the first value: weight 2/(span+1) on the new one (WIN-07)."""
-    keep = ema_keep(span)
-    return Decay(name, value, value * (1.0 - keep), keep)
-
-
-def wilder_decay(name: str, value: Column, period: int) -> Decay:
-    """Decayed sum with factor 1 - 1/period; its normaliser cancels in a ratio."""
-    return Decay(name, value, value, wilder_keep(period), exact=True)
-
-
-def with_state(df: DataFrame, key: str, decays: list[Decay], size: int) -> DataFrame:
-    """Add to the rows of each block what earlier blocks leave to the exact decays, as ``<name>_in``.
-
-    A block's total is a grouped sum with a map-side partial; the totals of a key,
-    one row per block, are run through in order. Terms older than the double
-    range are zero here as in the row by row recursion.
+def size_for(keeps: list[float], size: int | None = None) -> int:
+    """Rows of a block: few enough that no scale factor leaves the double range."""
+    fastest = min((k for k in keeps if k > 0), default=0.5)
+    return max(1, min(BLOCK if size is None else size, int(math.log(LARGEST_SCALE) / -math.log(fastest))))
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "blocks")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _in_buckets(df: DataFrame, key: str, order: str, bucket: Column | None) -> tuple[DataFrame, bool]:
+    """``df`` with ``_bucket``, which rises with ``order`` within a key; whether it is known to hold at most ``DAYS`` rows of a key."""
+    if bucket is not None:
+        return df.withColumn("_bucket", bucket), False
+    if isinstance(df.schema[order].dataType, T.DateType):
+        return df.withColumn("_bucket", F.floor(F.unix_date(order) / DAYS)), True
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(ranges, key, order).withColumn("_bucket", F.spark_partition_id()), False
+
+
+def scan(
+    df: DataFrame, key: str, order: str, value: str, smooth: dict[str, float] | None = None,
+    steps: dict[tuple[str, str], float] | None = None, bucket: Column | None = None, size: int | None = None,
+) -> DataFrame:
+    """Decayed sums along every series, with ``pos``, the 0-based place of a row within its key, and ``base``.
+
+    ``order`` is unique within a key and not null, nor is ``value``. A column of
+    ``smooth`` (name: factor) is the sum of factor**age * (value - base) over the
+    rows up to this one, with ``base`` the first value of the key: an EMA seeded
+    with the first value is base + (1 - factor) * sum. The two columns of an entry
+    of ``steps`` are the like sums of the rises and of the falls between
+    neighbouring rows. Blocks hold at most ``size`` rows. Without a date as order
+    and without ``bucket`` the input is read twice, the first time for a sample.
     """
-    exact = [d for d in decays if d.exact]
-    far = F.lit(size - 1) - F.pmod("pos", F.lit(size))
-    totals = df.where(~F.col("ghost")).groupBy(key, "block").agg(*[
-        F.sum(d.term * F.pow(F.lit(d.keep), far)).alias(d.name) for d in exact])
-    state = []
-    for d in exact:
-        # earlier blocks whose weight is not zero in a double
-        back = max(1, math.ceil(745 / (-math.log(d.keep) * size)))
-        before = F.collect_list(F.coalesce(d.name, F.lit(0.0))).over(
-            Window.partitionBy(key).orderBy("block").rowsBetween(-back, -1))
-        factor = d.keep**size
-        state.append(_run_through(before, factor).alias(f"{d.name}_in"))
-    return df.join(totals.select(key, "block", *state), [key, "block"])
-
-
-def _run_through(totals: Column, factor: float) -> Column:
-    return F.aggregate(totals, F.lit(0.0), lambda state, total: state * factor + total)
-
-
-def number_rows(df: DataFrame, key: str, order: str, bucket: Column | None = None) -> DataFrame:
-    """Add ``pos``, the 0-based place of each row within its key.
-
-    ``order`` must be unique within a key. With ``bucket``, a coarse monotone
-    function of ``order`` (a day, a year), no task has to hold a whole key:
-    rows are counted per (key, bucket) with a map-side partial, the counts are
-    summed up over the short list of buckets, and only the rows of one bucket
-    are numbered together. The input is read twice, the first time for its key
-    and order alone, so hand in a stored table rather than a long computation.
+    smooth, steps = smooth or {}, steps or {}
+    sums = {**smooth, **{name: keep for names, keep in steps.items() for name in names}}
+    size = size_for(list(sums.values()), size)
+    columns = df.columns
+    rows, bounded = _in_buckets(df, key, order, bucket)
+    by_bucket = Window.partitionBy(key, "_bucket").orderBy(order)
+    x = F.col(value)
+    rows = rows.withColumn("_n", F.row_number().over(by_bucket) - 1)
+    if steps:
+        rows = rows.withColumn("_step", x - F.lag(x).over(by_bucket))
+    if bounded and size >= DAYS:
+        rows, block = rows.withColumn("_block", F.lit(0)), by_bucket
+    else:
+        rows = rows.withColumn("_block", F.floor(F.col("_n") / size).cast("int"))
+        block = Window.partitionBy(key, "_bucket", "_block").orderBy(order)
+    up_to = block.rowsBetween(Window.unboundedPreceding, 0)
+    # from here on _n counts within the block
+    rows = rows.withColumns({"_n": F.col("_n") - F.col("_block") * size, "_first": F.first(x).over(up_to)})
+    step = F.coalesce("_step", F.lit(0.0)) if steps else None
+    terms = {**{name: x - F.col("_first") for name in smooth},
+             **{rise: F.greatest(step, F.lit(0.0)) for rise, _ in steps}, **{fall: F.greatest(-step, F.lit(0.0)) for _, fall in steps}}
+
+    def own(name: str, keep: float) -> Column:
+        if keep <= 0:
+            return terms[name]
+        return F.pow(F.lit(keep), "_n") * F.sum(terms[name] * F.pow(F.lit(1.0 / keep), "_n")).over(up_to)
+
+    local = _staged(rows.withColumns({name: own(name, keep) for name, keep in sums.items()}).drop("_step"))
+    states = _states(local, key, value, smooth, steps, sums)
+    n = F.col("_n")
+    out = local.join(states, [key, "_bucket", "_block"])
+
+    def whole(name: str, keep: float) -> Column:
+        if keep <= 0:
+            return F.col(name) + _from_start(name, keep, n, smooth, steps)
+        return F.col(name) + _from_start(name, keep, n, smooth, steps) + F.pow(F.lit(keep), n + 1) * F.col(f"_{name}_in")
+
+    return out.select(*[F.col(f"`{c}`") for c in columns], (F.col("_start") + n).alias("pos"), F.col("_base").alias("base"),
+                      *[whole(name, keep).alias(name) for name, keep in sums.items()])
+
+
+def _from_start(name: str, keep: float, n: Column, smooth: dict, steps: dict) -> Column:
+    """What a block's own scan lacks at its row ``n``: values count from the key's base, and the first row has a step too."""
+    if name in smooth:
+        return (F.col("_first") - F.col("_base")) * (1.0 - F.pow(F.lit(keep), n + 1)) / (1.0 - keep)
+    rises = any(name == rise for rise, _ in steps)
+    entry = F.greatest(F.col("_entry") if rises else -F.col("_entry"), F.lit(0.0))
+    return entry * (F.pow(F.lit(keep), n) if keep > 0 else F.when(n == 0, 1.0).otherwise(0.0))
+
+
+def _states(local: DataFrame, key: str, value: str, smooth: dict, steps: dict, sums: dict) -> DataFrame:
+    """One row a block: its place, the key's base, the step into it, and the state that the blocks in front of it leave.
+
+    The windows run over blocks, not over rows.
     """
-    if bucket is None:
-        place = F.row_number().over(Window.partitionBy(key).orderBy(order))
-        return df.withColumn("pos", place.cast("bigint") - 1)
-    rows = df.withColumn("_bucket", bucket)
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(key, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    inside = F.row_number().over(Window.partitionBy(key, "_bucket").orderBy(order))
-    return (
-        rows.join(starts, [key, "_bucket"])
-        .withColumn("pos", F.col("_start") + inside - 1)
-        .drop("_bucket", "_start")
-    )
-
-
-def size_for(halo: int, size: int | None = None) -> int:
-    return max(BLOCK, 2 * halo) if size is None else size
-
-
-def cut(df: DataFrame, halo: int, stretch: int, size: int | None = None) -> DataFrame:
-    """Add ``block``, ``ghost`` and ``stretch``; needs ``pos``.
-
-    A stretch is a run of rows short enough for one scaled running sum. Without
-    ``size`` a block is at least twice as long as its halo, so that at most
-    every second row is copied.
+    n = F.col("_n")
+    blocks = local.groupBy(key, "_bucket", "_block").agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("_first").alias("_first"), F.max_by(value, "_n").alias("_last"),
+        *[F.max_by(name, "_n").alias(name) for name in sums])
+    order = Window.partitionBy(key).orderBy("_bucket", "_block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    # the first step of a bucket is not seen within it; that of a later block of the bucket is
+    entry = F.when(F.col("_block") == 0, F.coalesce(F.col("_first") - F.lag("_last").over(order), F.lit(0.0))).otherwise(0.0)
+    placed = blocks.withColumns({
+        "_start": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_base": F.first("_first").over(order), "_entry": entry, "_n": F.col("_rows") - 1})
+    behind = placed.withColumns({name: F.col(name) + _from_start(name, keep, n, smooth, steps) for name, keep in sums.items()})
+    moving = {name: keep for name, keep in sums.items() if keep > 0}
+    if not moving:
+        return behind.select(key, "_bucket", "_block", "_start", "_base", *(["_entry"] if steps else []))
+    # blocks whose end lies so far back that every power is zero do not count
+    reach = math.ceil(ZERO / min(-math.log(k) for k in moving.values())) + 2 * BLOCK
+    near = Window.partitionBy(key).orderBy("_start").rangeBetween(-reach, -1)
+    earlier = F.collect_list(F.struct((F.col("_start") + F.col("_rows")).alias("end"), *moving)).over(near)
+    listed = behind.withColumn("_maps", earlier)
+
+    def state(name: str, keep: float) -> Column:
+        return F.aggregate("_maps", F.lit(0.0), lambda total, m: total + m[name] * F.pow(F.lit(keep), F.col("_start") - m["end"]))
+
+    return listed.select(key, "_bucket", "_block", "_start", "_base", *(["_entry"] if steps else []),
+                         *[state(name, keep).alias(f"_{name}_in") for name, keep in moving.items()])
+
+
+# ---- blocks for rolling frames -------------------------------------------------
+
+
+def cut(df: DataFrame, halo: int, size: int = BLOCK) -> DataFrame:
+    """Add ``block`` and ``ghost``; needs ``pos``.
+
+    A rolling frame of a block's first rows reaches back into the block before:
+    copies of its last ``halo`` rows come along as ghosts.
     """
-    size = size_for(halo, size)
-    homes = F.transform(
-        F.sequence(F.lit(0), F.lit(-(-halo // size))), lambda i: F.floor(F.col("pos") / size) + i
-    )
+    own = F.floor(F.col("pos") / size)
+    homes = F.transform(F.sequence(F.lit(0), F.lit(-(-halo // size))), lambda i: own + i)
     # a row belongs to its own block and is a ghost where the block starts within reach
     near = F.filter(homes, lambda b: b * size - F.col("pos") <= halo)
-    own = F.floor(F.col("pos") / size)
-    return (
-        df.withColumn("block", F.explode(near))
-        .withColumn("ghost", F.col("block") != own)
-        .withColumn("stretch", F.floor(F.col("pos") / stretch))
-    )
+    return df.withColumn("block", F.explode(near)).withColumn("ghost", F.col("block") != own)
 
 
 def in_block(key: str) -> WindowSpec:
-    return Window.partitionBy(key, "block").orderBy("stretch", "pos")
-
-
-def stretch_for(keeps: list[float]) -> int:
-    """Longest run of rows whose scale factors stay finite for all decays."""
-    fastest = min((k for k in keeps if k > 0), default=0.5)
-    return max(1, int(math.log(LARGEST_SCALE) / -math.log(fastest)))
-
-
-def decayed(df: DataFrame, key: str, decays: list[Decay], stretch: int, size: int | None = None) -> DataFrame:
-    """Add one column per decay to rows from ``cut`` (of blocks of ``size``, which exact decays need).
-
-    Within a stretch the sum is a running sum of ``term * keep**-offset``,
-    scaled back by ``keep**offset``. What earlier stretches of the block still
-    weigh comes from their last rows, through range frames that hold one
-    stretch each. Values on ghost rows within the decay's memory of the block's
-    start are incomplete; ``halo`` must cover that memory.
-    """
-    offset = F.col("pos") % stretch
-    running = (
-        Window.partitionBy(key, "block", "stretch").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    if any(d.exact for d in decays):
-        df = with_state(df, key, decays, size)
-        own = ~F.col("ghost")
-        decays = [replace(d, term=F.when(own, d.term).otherwise(0.0), first=F.when(own, d.first).otherwise(0.0)) if d.exact else d
-                  for d in decays]
-    moving = [d for d in decays if d.keep > 0]
-    scanned = df.withColumns({
-        **{d.name: d.first for d in decays if d.keep <= 0},
-        **{
-            d.name: F.pow(F.lit(d.keep), offset)
-            * F.sum(
-                F.when(F.col("pos") == 0, d.first).otherwise(d.term) * F.pow(F.lit(1.0 / d.keep), offset)
-            ).over(running)
-            for d in moving
-        },
-    })
-
-    def carried(d: Decay) -> Column:
-        last = F.when(offset == stretch - 1, F.col(d.name))
-        total = F.lit(0.0)
-        # an exact decay looks back to the start of its block
-        reach = size + stretch if d.exact else d.memory
-        for back in range(1, max(1, -(-reach // stretch)) + 1):
-            frame = Window.partitionBy(key, "block").orderBy("stretch").rangeBetween(-back, -back)
-            total = total + F.coalesce(F.sum(last).over(frame), F.lit(0.0)) * (d.keep**stretch) ** (back - 1)
-        return total
-
-    def handed_on(d: Decay) -> Column:
-        if not d.exact:
-            return F.lit(0.0)
-        return F.col(f"{d.name}_in") * F.pow(F.lit(d.keep), F.pmod("pos", F.lit(size)) + 1)
-
-    full = scanned.withColumns({
-        d.name: F.col(d.name) + carried(d) * F.pow(F.lit(d.keep), offset + 1) + handed_on(d) for d in moving
-    })
-    return full.drop(*[f"{d.name}_in" for d in moving if d.exact])
+    return Window.partitionBy(key, "block").orderBy("pos")
 
 
 def own_rows(df: DataFrame) -> DataFrame:
     """Drop the ghosts and the helper columns."""
-    return df.where(~F.col("ghost")).drop("ghost", "block", "stretch", "pos")
+    return df.where(~F.col("ghost")).drop("ghost", "block")

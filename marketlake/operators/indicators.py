@@ -240,33 +240,38 @@ def ema_series(
     size: int | None = None,
 ) -> DataFrame:
     """EMA of a whole series, one column ``ema_<span>`` per span (WIN-07)."""
-    keeps = [blocks.ema_keep(s) for s in spans]
-    stretch = blocks.stretch_for(keeps)
-    rows = blocks.cut(
-        blocks.number_rows(df, key, order, bucket), max(blocks.memory(k) for k in keeps), stretch, size)
-    decays = [blocks.ema_decay(f"ema_{s}", F.col(value), s) for s in spans]
-    return blocks.own_rows(blocks.decayed(rows, key, decays, stretch))
-
-
-def _macd_plan(fast: int, slow: int, signal: int, *more: float) -> tuple[int, int]:
-    """Halo and stretch: the signal line needs complete MACD values on its own ghosts."""
-    outer = [blocks.ema_keep(fast), blocks.ema_keep(slow), *more]
-    inner = blocks.ema_keep(signal)
-    return max(blocks.memory(k) for k in outer) + blocks.memory(inner), blocks.stretch_for([*outer, inner])
-
-
-def _macd(rows: DataFrame, key: str, value: str, fast: int, slow: int, signal: int, stretch: int,
-          more: list[blocks.Decay] | None = None, size: int | None = None) -> DataFrame:
-    x = F.col(value)
-    averaged = blocks.decayed(
-        rows, key,
-        [blocks.ema_decay("_fast", x, fast), blocks.ema_decay("_slow", x, slow), *(more or [])], stretch, size,
-    ).withColumn("macd_line", F.col("_fast") - F.col("_slow"))
-    signalled = blocks.decayed(
-        averaged, key, [blocks.ema_decay("macd_signal", F.col("macd_line"), signal)], stretch)
-    return signalled.withColumn(
-        "macd_histogram", F.col("macd_line") - F.col("macd_signal")
-    ).drop("_fast", "_slow")
+    keeps = {f"ema_{s}": blocks.ema_keep(s) for s in spans}
+    rows = blocks.scan(df, key, order, value, keeps, bucket=bucket, size=size)
+    return rows.withColumns({name: F.col("base") + F.col(name) * (1.0 - keep) for name, keep in keeps.items()}).drop("pos", "base")
+
+
+def _macd_keeps(fast: int, slow: int, signal: int) -> dict[str, float]:
+    """The three decayed sums that all MACD columns are made of."""
+    if signal in (fast, slow):
+        raise ValueError("the span of the signal must differ from the others")
+    return {"_fast": blocks.ema_keep(fast), "_slow": blocks.ema_keep(slow), "_outer": blocks.ema_keep(signal)}
+
+
+def _macd_columns(fast: int, slow: int, signal: int) -> dict[str, Column]:
+    """MACD line and signal from the decayed sums.
+
+    The EMA (factor q) of an EMA (factor p) is a mixture of the two decayed sums:
+    the powers q**i * p**(age - i) add up to (q**(age+1) - p**(age+1)) / (q - p).
+    """
+    keeps = _macd_keeps(fast, slow, signal)
+    q = keeps["_outer"]
+
+    def nested(name: str) -> Column:
+        p = keeps[name]
+        return (F.col("_outer") * q - F.col(name) * p) * ((1.0 - p) * (1.0 - q) / (q - p))
+
+    line = F.col("_fast") * (1.0 - keeps["_fast"]) - F.col("_slow") * (1.0 - keeps["_slow"])
+    return {"macd_line": line, "macd_signal": nested("_fast") - nested("_slow")}
+
+
+def _with_macd(rows: DataFrame, fast: int, slow: int, signal: int) -> DataFrame:
+    return (rows.withColumns(_macd_columns(fast, slow, signal)).withColumn("macd_histogram", F.col("macd_line") - F.col("macd_signal"))
+            .drop("_fast", "_slow", "_outer"))
 
 
 def macd_series(
@@ -274,16 +279,8 @@ def macd_series(
     signal: int = MACD_SIGNAL, bucket: Column | None = None, size: int | None = None,
 ) -> DataFrame:
     """MACD line, signal line and histogram for every row (WIN-08)."""
-    halo, stretch = _macd_plan(fast, slow, signal)
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), halo, stretch, size)
-    return blocks.own_rows(_macd(rows, key, value, fast, slow, signal, stretch))
-
-
-def _gain_loss_decays(rows: DataFrame, key: str, value: str, period: int) -> tuple[DataFrame, list[blocks.Decay]]:
-    gain, loss = series.gain_loss(value, blocks.in_block(key))
-    return rows.withColumns({"_g": gain, "_l": loss}), [
-        blocks.wilder_decay("_gain", F.col("_g"), period), blocks.wilder_decay("_loss", F.col("_l"), period),
-    ]
+    rows = blocks.scan(df, key, order, value, _macd_keeps(fast, slow, signal), bucket=bucket, size=size)
+    return _with_macd(rows, fast, slow, signal).drop("pos", "base")
 
 
 def _rsi(period: int) -> Column:
@@ -296,14 +293,8 @@ def rsi_series(
     bucket: Column | None = None, size: int | None = None,
 ) -> DataFrame:
     """RSI for every row, null before ``period`` rows or without any loss (WIN-09)."""
-    keep = blocks.wilder_keep(period)
-    stretch = blocks.stretch_for([keep])
-    # one ghost: the first row of a block needs the row before it to take a difference from
-    size = blocks.size_for(1, size)
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), 1, stretch, size)
-    stepped, decays = _gain_loss_decays(rows, key, value, period)
-    moved = blocks.decayed(stepped, key, decays, stretch, size).withColumn("rsi", _rsi(period))
-    return blocks.own_rows(moved).drop("_g", "_l", "_gain", "_loss")
+    rows = blocks.scan(df, key, order, value, steps={("_gain", "_loss"): blocks.wilder_keep(period)}, bucket=bucket, size=size)
+    return rows.withColumn("rsi", _rsi(period)).drop("_gain", "_loss", "pos", "base")
 
 
 def indicator_series(
@@ -312,27 +303,22 @@ def indicator_series(
 ) -> DataFrame:
     """Every indicator for every row of every series (WIN-17).
 
-    Works on series of any length: all windows are partitioned by (key, block).
-    Pass ``bucket`` for series that are not bounded by the calendar.
+    Works on series of any length: no window holds more than a block.
     """
-    halo, stretch = _macd_plan(MACD_FAST, MACD_SLOW, MACD_SIGNAL, blocks.wilder_keep(RSI_PERIOD))
-    halo = max(halo + 1, SMA_LONG, VOLUME_PERIOD)
-    size = blocks.size_for(halo, size)
-    rows = blocks.cut(blocks.number_rows(df, key, order, bucket), halo, stretch, size)
+    spans = MACD_FAST, MACD_SLOW, MACD_SIGNAL
+    rows = blocks.scan(df, key, order, price, _macd_keeps(*spans), {("_gain", "_loss"): blocks.wilder_keep(RSI_PERIOD)}, bucket, size)
+    recursive = _with_macd(rows.withColumn("rsi_14", _rsi(RSI_PERIOD)), *spans).drop("_gain", "_loss", "base")
+    framed = blocks.cut(recursive, max(SMA_LONG, VOLUME_PERIOD, BAND_PERIOD) - 1, size or blocks.BLOCK)
     w = blocks.in_block(key)
     upper, middle, lower = series.bollinger(price, w, BAND_PERIOD, BAND_WIDTH)
-    stepped, decays = _gain_loss_decays(rows, key, price, RSI_PERIOD)
-    framed = stepped.withColumns({
+    rolled = framed.withColumns({
         "sma_20": series.sma(price, SMA_SHORT, w),
         "sma_50": series.sma(price, SMA_LONG, w),
         "bb_upper": upper, "bb_middle": middle, "bb_lower": lower,
         "volume_ratio": series.volume_ratio(volume, w, VOLUME_PERIOD),
     })
-    scanned = _macd(framed, key, price, MACD_FAST, MACD_SLOW, MACD_SIGNAL, stretch, decays, size)
-    full = scanned.withColumns({
-        "rsi_14": _rsi(RSI_PERIOD),
+    return blocks.own_rows(rolled).drop("pos").withColumns({
         "price_vs_sma20": series.gap_percent(price, "sma_20"),
         "price_vs_sma50": series.gap_percent(price, "sma_50"),
         "bb_position": series.band_position(price, "bb_lower", "bb_upper"),
     })
-    return blocks.own_rows(full).drop("_g", "_l", "_gain", "_loss")

@@ -90,14 +90,44 @@ def test_one_long_hot_series(spark):
     check(rsi.withColumnRenamed("rsi", "rsi_14").toPandas(), want, ["rsi_14"])
 
 
-def test_a_block_never_holds_more_than_its_share(spark):
+def test_a_block_never_holds_more_than_its_share(spark, monkeypatch):
     df = spark.createDataFrame(frame({"hot": walk(5000, 3)}))
-    rows = blocks.cut(blocks.number_rows(df, "coin_id", "date", F.trunc("date", "year")), 300, 1000, 512)
+    written = []
+    monkeypatch.setattr(blocks, "_staged", lambda local, keep=blocks._staged: written.append(local) or keep(local))
+    scanned = blocks.scan(df, "coin_id", "date", "price_usd", {"s": 0.9}, bucket=F.trunc("date", "year"), size=100)
+    assert scanned.orderBy("date").select("pos").toPandas()["pos"].tolist() == list(range(5000))
+    assert written[0].groupBy("_bucket", "_block").count().agg(F.max("count")).first()[0] <= 100
+    rows = blocks.cut(scanned, 300, 512)
     sizes = rows.groupBy("block").count().toPandas()["count"]
     assert sizes.max() <= 812 and len(sizes) >= 10
     assert rows.where("not ghost").count() == 5000
 
 
+@pytest.mark.parametrize("order", ["date", "stamp", "number"])
+def test_orders_of_any_type_without_a_bucket(spark, order):
+    """Dates are cut by the calendar, other orders by sampled ranges; sparse blocks and many keys too."""
+    parts = {"hot": walk(3000, 5), **{f"k{i}": walk(3 + i * 7, i) for i in range(12)}}
+    pdf = frame(parts)
+    # years apart: most blocks hold a few rows
+    pdf["date"] = pdf.groupby("coin_id").cumcount().map(lambda i: dt.date(1950, 1, 1) + dt.timedelta(days=i * (11 if i % 2 else 7)))
+    pdf = pdf.sort_values(["coin_id", "date"]).drop_duplicates(["coin_id", "date"])
+    pdf["stamp"] = pd.to_datetime(pdf["date"]) + pd.Timedelta("5h")
+    pdf["number"] = pd.to_datetime(pdf["date"]).astype("int64") // 10**9
+    df = spark.createDataFrame(pdf).repartition(3)
+    for size in (None, 64):
+        out = indicators.ema_series(df, "coin_id", order, "price_usd", [12], size=size).join(
+            indicators.rsi_series(df, "coin_id", order, "price_usd", size=size).select("coin_id", "date", "rsi"), ["coin_id", "date"]).toPandas()
+        out = out.sort_values(["coin_id", "date"]).reset_index(drop=True)
+        want = pdf.sort_values(["coin_id", "date"]).reset_index(drop=True)
+        ema = want.groupby("coin_id")["price_usd"].transform(lambda x: x.ewm(span=12, adjust=False).mean())
+        np.testing.assert_allclose(out["ema_12"], ema, rtol=1e-9)
+        step = want.groupby("coin_id")["price_usd"].diff().fillna(0.0)
+        up, down = (sign.groupby(want["coin_id"]).transform(lambda x: x.ewm(alpha=1 / 14, adjust=False).mean()) for sign in (step.clip(lower=0), (-step).clip(lower=0)))
+        # both averages start at 0, so their quotient is that of the sums
+        rsi = (100 - 100 / (1 + up / down.where(down > 0))).where(want.groupby("coin_id").cumcount() >= 13)
+        np.testing.assert_allclose(out["rsi"].astype(float), rsi, rtol=1e-7)
+
+
 @pytest.mark.parametrize("spans,size", [([1], 256), ([2, 3], 256), ([200], 256), ([1, 12, 500], 1024), ([5000], None)])
 def test_ema_spans(prices, spans, size):
     pdf, df = prices

@@ -1,9 +1,11 @@
 """What the plans must look like at scale."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import indicators, recommend
+from marketlake.operators import blocks, indicators, recommend
 from marketlake.plans import dashboards, gold, silver
 from marketlake.registry import QUERIES
 from marketlake.sources import tables, testbed
@@ -59,12 +61,22 @@ def test_candles_are_a_partial_hash_aggregate(spark):
     assert "partial_min_by" in text and "SortAggregate" not in text and shuffles(text) == 1
 
 
-def test_long_series_are_windowed_by_block(spark):
-    text = plan(QUERIES["win_17_candle_series"](spark, SF))
-    windows = [line for line in text.splitlines() if "Window [" in line]
-    by_symbol_alone = [w for w in windows if "[symbol#" in w and "block#" not in w and "_bucket#" not in w]
-    assert windows and not by_symbol_alone
-    assert "Exchange hashpartitioning(symbol#" in text and ", block#" in text
+@pytest.mark.parametrize("order", ["date", "stamp"])
+@pytest.mark.parametrize("build", ["ema", "macd", "rsi", "indicator"])
+def test_series_are_windowed_by_block(spark, monkeypatch, order, build):
+    """No window over rows is partitioned by the key alone; those over blocks, one row a block, are."""
+    monkeypatch.setattr(blocks, "_staged", lambda df: df)
+    df = testbed.daily_prices(spark, SF).withColumn("stamp", F.col("date").cast("timestamp"))
+    out = {"ema": lambda: indicators.ema_series(df, "coin_id", order, "price_usd", [12]), "macd": lambda: indicators.macd_series(df, "coin_id", order, "price_usd"),
+           "rsi": lambda: indicators.rsi_series(df, "coin_id", order, "price_usd"), "indicator": lambda: indicators.indicator_series(df, order=order)}[build]()
+    windows = [line.strip() for line in plan(out).splitlines() if "Window [" in line]
+    spread = [re.search(r"\], \[([^\[\]]*)\], \[[^\[\]]*\]$", w).group(1) for w in windows]
+    alone = [w for w, keys in zip(windows, spread) if "_bucket#" not in keys and "block#" not in keys]
+    assert any("row_number" in w for w in windows) and any("price_usd" in w for w in windows)
+    # what is left sees blocks only: their counts, ends and states
+    for w in alone:
+        assert not re.search(r"row_number|price_usd|volume_usd", w) and re.search(r"_rows#|_start#|_first#|_last#", w), w
+    assert alone
 
 
 def test_matches_are_the_broadcast_side(spark, tmp_path):
