@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake.plans import jobs, silver
 from marketlake.session import build_session
-from marketlake.streaming import trades
+from marketlake.streaming import fold, trades
 
 
 def parser() -> argparse.ArgumentParser:
@@ -44,6 +44,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoints", required=True)
     p.add_argument("--undecodable", help="folder of the messages that cannot be decoded; default: beside bronze")
     p.add_argument("--rows-per-file", type=int, default=trades.FLUSH_ROWS, help="most rows of a bronze file, 0 for no limit")
+    p.add_argument("--late", help="folder of the trades whose candles were closed before they came; default: beside the candles")
+    p.add_argument("--compact", action="store_true", help="fold the candle files of each symbol and date into one at the end")
     p.add_argument("--final", help="the feed ends here: folder for the candles still open")
     p.add_argument("--seconds", type=int, help="stop after this long; without it drain what is there")
     return top
@@ -64,22 +66,22 @@ def run(args: argparse.Namespace) -> None:
         jobs.summarise(spark, args.out).select(F.to_json(F.struct("*"))).show(truncate=False)
     else:
         messages = trades.read_messages(spark, args.messages)
-        feed = trades.normalise(trades.parse_messages(messages))
         bounded = args.seconds is None
+        late = args.late or f"{args.candles.rstrip('/')}_late"
         bad = args.undecodable or f"{args.bronze.rstrip('/')}_undecodable"
         running = [
             trades.land_bronze(messages, args.bronze, f"{args.checkpoints}/bronze", bounded, args.rows_per_file),
             trades.land_undecodable(messages, bad, f"{args.checkpoints}/undecodable", bounded),
-            trades.land_candles(feed, args.candles, f"{args.checkpoints}/candles", bounded=bounded),
+            fold.fold_candles(messages, args.candles, late, f"{args.checkpoints}/candles", bounded=bounded),
         ]
         for query in running:
             query.awaitTermination(args.seconds) if args.seconds else query.awaitTermination()
             query.stop()
-        print(trades.landed(spark, args.bronze, bad))
+        print(fold.totals(spark, f"{args.checkpoints}/candles"))
+        if args.compact:
+            print("files folded:", fold.compact_candles(spark, args.candles))
         if args.final:
-            rows = spark.read.schema("value string").text(args.bronze)
-            landed = trades.parse_messages(rows.select(F.concat(F.lit('{"data":'), "value", F.lit("}")).alias("value")))
-            trades.finish_candles(trades.normalise(landed), args.candles, args.final)
+            fold.flush_candles(spark, f"{args.checkpoints}/candles", args.final)
 
 
 if __name__ == "__main__":

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.keyed import latest_with_ties, top_per_group
 from marketlake.plans.gold import ranked
+from marketlake.sources import tables
+from marketlake.streaming.trades import CANDLE_SCHEMA
 
 
 def coins_tracked(coins: DataFrame) -> DataFrame:
@@ -118,6 +120,14 @@ def recent_prices(
     )
 
 
+def newest_candles(spark: SparkSession, table: str, symbols: Sequence[str], n: int = 200) -> DataFrame:
+    """Candles of the newest dates that hold the newest ``n`` of each symbol, for the panels below (DSH-10..16).
+
+    ``table`` is laid out by symbol and date; older dates are not read.
+    """
+    return tables.newest(spark, table, CANDLE_SCHEMA, "symbol", symbols, n)
+
+
 def latest_close(candles: DataFrame, symbol: str) -> DataFrame:
     """DSH-10."""
     return candle_series(candles, symbol, "close", 1).select(F.col("value").alias("price"))

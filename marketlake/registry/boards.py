@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from marketlake.operators.keyed import top_per_group
 from marketlake.plans import dashboards
-from marketlake.registry.core import query, sql
+from marketlake.registry.core import ORACLES, query, sql
 from marketlake.registry.relational import _self_join_sql, as_of
-from marketlake.sources import testbed
-from marketlake.streaming import trades
+from marketlake.session import shared_folder
+from marketlake.sources import tables, testbed
+from marketlake.streaming import fold, trades
 
 ANCHOR, SECOND, THIRD = testbed.COINS[:3]
 SYMBOLS = testbed.SYMBOLS
@@ -144,6 +146,44 @@ def stacked(spark, d):
     return dashboards.stacked_series(candles(spark, d), SYMBOLS, "volume")
 
 
+# ---- the same panels over a stored table, newest folders first -------------------
+
+
+def stored_candles(spark, d):
+    """The candle table as jobs write it, by symbol and date."""
+    path = shared_folder(spark, "candles")
+    fold.write_candles(candles(spark, d), path)
+    return path
+
+
+@query("dsh_10_newest_close_click", ORACLES["dsh_10_latest_close_click"])
+def newest_close(spark, d):
+    return dashboards.latest_close(dashboards.newest_candles(spark, stored_candles(spark, d), SYMBOLS[:1], 1), SYMBOLS[0])
+
+
+@query("dsh_12_newest_volume", ORACLES["dsh_12_candle_volume"])
+def newest_series(spark, d):
+    return dashboards.candle_series(dashboards.newest_candles(spark, stored_candles(spark, d), SYMBOLS[:1]), SYMBOLS[0], "volume")
+
+
+@query("dsh_14_newest_table", ORACLES["dsh_14_candle_table"])
+def newest_table(spark, d):
+    return dashboards.candle_table(dashboards.newest_candles(spark, stored_candles(spark, d), SYMBOLS[:1], 50), SYMBOLS[0])
+
+
+@query("dsh_16_newest_stacked", ORACLES["dsh_16_stacked_volume"])
+def newest_stacked(spark, d):
+    return dashboards.stacked_series(dashboards.newest_candles(spark, stored_candles(spark, d), SYMBOLS), SYMBOLS, "volume")
+
+
+@query("top_03_newest_rows", sql("""
+SELECT symbol, window_start, "close" FROM candles
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) <= 500""", "candles"))
+def newest_rows(spark, d):
+    rows = tables.newest(spark, stored_candles(spark, d), trades.CANDLE_SCHEMA, "symbol", SYMBOLS, 500)
+    return top_per_group(rows, ["symbol"], [F.desc("window_start")], 500).select("symbol", "window_start", "close")
+
+
 @query("agg_16_candles_1m", sql("SELECT * FROM candles", "candles"))
 def candles_1m(spark, d):
     return candles(spark, d)

@@ -14,7 +14,7 @@ from marketlake.registry.core import query, sql
 from marketlake.schemas import FACT_DAILY_PRICES, MARKET
 from marketlake.session import shared_folder
 from marketlake.sources import bronze, tables, testbed
-from marketlake.streaming import trades
+from marketlake.streaming import fold, trades
 
 AT = "2001-12-01 06:00:00"
 
@@ -339,7 +339,7 @@ def partition_discovery(spark, d):
     path = shared_folder(spark, "discovery")
     tables.create_database(spark)
     tables.create_table(spark, "fact_ohlcv_1m", path)
-    tables.write_gold(trades.candles(testbed.trades(spark, d)), path, ["symbol"])
+    fold.write_candles(trades.candles(testbed.trades(spark, d)), path)
     tables.discover_partitions(spark, "fact_ohlcv_1m")
     return spark.table("gold.fact_ohlcv_1m").groupBy("symbol").agg(F.count("*").alias("n"))
 

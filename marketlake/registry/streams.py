@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from marketlake.registry.core import query, sql
 from marketlake.session import shared_folder
 from marketlake.sources import testbed
-from marketlake.streaming import trades
+from marketlake.streaming import fold, trades
 
 CANDLES = "open double, high double, low double, close double, volume double, trade_count bigint, " \
           "window_start timestamp, window_end timestamp, symbol string"
@@ -47,13 +47,53 @@ def bronze_by_symbol(spark, d):
 @query("str_04_stream_candles", sql("""
 SELECT c.symbol, c.window_start, c.window_end, c."open", c.high, c.low, c."close", c.volume, c.trade_count FROM candles c""", "candles"))
 def stream_candles(spark, d):
-    # the windows the watermark has closed, then those left open at the end of the feed
-    out = shared_folder(spark, "candles")
-    feed = trades.normalise(trades.parse_messages(messages(spark, d)))
-    drain(trades.land_candles(feed, out, shared_folder(spark, "state"), bounded=True))
+    # the windows the watermark has closed, then those left open at the end of the feed, from the state
+    table, _, checkpoint = folded(spark, messages(spark, d))
     rest = shared_folder(spark, "open")
-    trades.finish_candles(trades.normalise(trades.parse_messages(testbed.trade_messages(spark, d))), out, rest)
-    return spark.read.schema(CANDLES).parquet(out).unionByName(spark.read.schema(CANDLES).parquet(rest))
+    fold.flush_candles(spark, checkpoint, rest)
+    both = spark.read.schema(trades.CANDLE_SCHEMA).parquet(table).unionByName(spark.read.schema(trades.CANDLE_SCHEMA).parquet(rest))
+    return both.select(*trades.CANDLE_COLUMNS)
+
+
+def folded(spark, *feeds):
+    """The folders of a candle job that is run once for each of the feeds, one after another."""
+    table, late, checkpoint = (shared_folder(spark, name) for name in ("candles", "late", "fold"))
+    for feed in feeds:
+        drain(fold.fold_candles(feed, table, late, checkpoint, bounded=True))
+    return table, late, checkpoint
+
+
+def two_runs(spark, d):
+    """The whole feed with some undecodable messages; then, after a restart, the first day once more under new ids."""
+    path = shared_folder(spark, "messages")
+    text = testbed.trade_messages(spark, d)
+    text.union(spark.createDataFrame([(m,) for m in BAD], "value string")).write.text(f"{path}/first")
+    feed = trades.read_messages(spark, path)
+    table, late, checkpoint = folded(spark, feed)
+    number = F.get_json_object("value", "$.data.t")
+    day = F.timestamp_millis(F.get_json_object("value", "$.data.T").cast("bigint")) < "2024-01-02"
+    again = text.where(day).select(F.replace("value", F.concat(F.lit('"t":'), number), F.concat(F.lit('"t":9'), number)).alias("value"))
+    again.write.text(f"{path}/second")
+    drain(fold.fold_candles(trades.read_messages(spark, path), table, late, checkpoint, bounded=True))
+    return late, checkpoint
+
+
+@query("str_05_ledger", sql("""
+SELECT count(*) + 3 + count(*) FILTER (trade_time < '2024-01-02') AS received, CAST(3 AS BIGINT) AS undecodable,
+  count(*) + count(*) FILTER (trade_time < '2024-01-02') AS written, count(*) FILTER (trade_time < '2024-01-02') AS late,
+  CAST(0 AS BIGINT) AS repeated FROM trades""", "trades"))
+def ledger(spark, d):
+    _, checkpoint = two_runs(spark, d)
+    sums = fold.totals(spark, checkpoint)
+    names = ["received", "undecodable", "written", "late", "repeated"]
+    return spark.createDataFrame([tuple(sums[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+@query("str_07_late_trades", sql("""
+SELECT symbol, count(*) AS late, sum(quantity) AS quantity FROM trades WHERE trade_time < '2024-01-02' GROUP BY symbol""", "trades"))
+def late_trades(spark, d):
+    late, _ = two_runs(spark, d)
+    return spark.read.parquet(late).groupBy("symbol").agg(F.count("*").alias("late"), F.sum("quantity").alias("quantity"))
 
 
 @query("str_05_counters", sql("SELECT count(*) + 3 AS received, count(*) AS written, CAST(3 AS BIGINT) AS undecodable FROM trades", "trades"))

@@ -35,13 +35,13 @@ FACT_DAILY_PRICES = struct(
 )
 FACT_OHLCV_1M = struct(
     open=D, high=D, low=D, close=D, volume=D, trade_count=L, window_start=TS, window_end=TS,
-    symbol=S,
+    symbol=S, date=DATE, batch=I,
 )
 GOLD_TABLES = {
     "dim_coins": (DIM_COINS, []),
     "dim_date": (DIM_DATE, []),
     "fact_daily_prices": (FACT_DAILY_PRICES, ["coin_id"]),
-    "fact_ohlcv_1m": (FACT_OHLCV_1M, ["symbol"]),
+    "fact_ohlcv_1m": (FACT_OHLCV_1M, ["symbol", "date", "batch"]),
 }
 
 # the 24 fields of a technical snapshot

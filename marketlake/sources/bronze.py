@@ -24,6 +24,12 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in listed if f.isDirectory()]
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``file_path`` of every file below a folder; empty without the folder. No file is opened."""
     if not path_exists(spark, path):

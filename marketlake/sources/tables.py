@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,40 @@ def latest_run(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (reader.schema(schema) if schema is not None else reader).load(f"{path}/{newest}")
 
 
+def newest_folders(spark: SparkSession, path: str, key: str, values: Sequence[str], n: int, part: str = "date") -> list[str]:
+    """The newest ``part`` folders of each ``key`` value that hold at least ``n`` rows together (TOP-03).
+
+    Folders are walked from the newest back, twice as many each time; rows are
+    counted without reading a column, from the files' footers.
+    """
+    left, escaped = {}, spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        top = f"{path}/{key}={escaped(value)}"
+        if path_exists(spark, top):
+            left[top] = sorted((f for f in child_folders(spark, top) if f.startswith(f"{part}=")), reverse=True)
+    chosen, held, step = {top: [] for top in left}, dict.fromkeys(left, 0), 1
+    while True:
+        more = {top: folders[:step] for top, folders in left.items() if folders and held[top] < n}
+        if not more:
+            return [f"{top}/{f}" for top, folders in chosen.items() for f in folders]
+        counts = [spark.read.option("basePath", path).parquet(*[f"{top}/{f}" for f in folders]).agg(F.lit(top).alias("top"), F.count(F.lit(1)).alias("n"))
+                  for top, folders in more.items()]
+        for row in reduce(DataFrame.union, counts).collect():
+            held[row["top"]] += row["n"]
+        for top, folders in more.items():
+            chosen[top] += folders
+            left[top] = left[top][step:]
+        step *= 2
+
+
+def newest(spark: SparkSession, path: str, schema: str, key: str, values: Sequence[str], n: int, part: str = "date") -> DataFrame:
+    """Rows of the newest folders of each ``key`` value: its newest ``n`` rows are among them, and no older folder is read."""
+    folders = newest_folders(spark, path, key, values, n, part)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def scan(df: DataFrame, columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Column list and optional order (SRC-07)."""
     out = df.select(*columns)

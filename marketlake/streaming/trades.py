@@ -22,6 +22,8 @@ from marketlake.sources.bronze import path_exists
 FLUSH_SECONDS = 10
 FLUSH_ROWS = 500
 LATENESS = "2 minutes"
+CANDLE_SCHEMA = ("open double, high double, low double, close double, volume double, trade_count bigint, window_start timestamp, "
+                 "window_end timestamp, symbol string")
 CANDLE_COLUMNS = ["open", "high", "low", "close", "volume", "trade_count", "window_start", "window_end", "symbol"]
 
 
@@ -85,6 +87,13 @@ def distinct_trades(trades: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return keep_first(trades.withColumn("_at", F.coalesce(F.unix_micros("trade_time"), F.lit(0))), keys, ["_at"]).select(*trades.columns)
 
 
+def trade_order() -> Column:
+    """(time, id) of a trade as one number."""
+    micros = F.unix_micros("trade_time").cast("decimal(17,0)")
+    number = F.coalesce("trade_id", F.lit(0)).cast("decimal(19,0)")
+    return (micros * F.lit(Decimal(10**19)) + number).cast("decimal(38,0)")
+
+
 def candles(trades: DataFrame, width: str = "1 minute", quote_volume: bool = False) -> DataFrame:
     """Tumbling OHLCV per symbol (STR-04, AGG-16).
 
@@ -94,9 +103,7 @@ def candles(trades: DataFrame, width: str = "1 minute", quote_volume: bool = Fal
     reduces a symbol with a third of the trades to one row per task and window
     before the shuffle.
     """
-    micros = F.unix_micros("trade_time").cast("decimal(17,0)")
-    number = F.coalesce("trade_id", F.lit(0)).cast("decimal(19,0)")
-    at = micros * F.lit(Decimal(10**19)) + number
+    at = trade_order()
     sums = [F.sum("quantity").alias("volume")]
     if quote_volume:
         sums.append(F.sum(F.col("price") * F.col("quantity")).alias("quote_volume"))
