@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.session import shared_folder
+from marketlake.session import written
 
 # rows of a block at most, and days of a bucket of dates
 BLOCK = 2048
@@ -54,12 +54,6 @@ def size_for(keeps: list[float], size: int | None = None) -> int:
     return max(1, min(BLOCK if size is None else size, int(math.log(LARGEST_SCALE) / -math.log(fastest))))
 
 
-def _staged(df: DataFrame) -> DataFrame:
-    path = shared_folder(df.sparkSession, "blocks")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _in_buckets(df: DataFrame, key: str, order: str, bucket: Column | None) -> tuple[DataFrame, bool]:
     """``df`` with ``_bucket``, which rises with ``order`` within a key; whether it is known to hold at most ``DAYS`` rows of a key."""
     if bucket is not None:
@@ -111,7 +105,7 @@ def scan(
             return terms[name]
         return F.pow(F.lit(keep), "_n") * F.sum(terms[name] * F.pow(F.lit(1.0 / keep), "_n")).over(up_to)
 
-    local = _staged(rows.withColumns({name: own(name, keep) for name, keep in sums.items()}).drop("_step"))
+    local = written(rows.withColumns({name: own(name, keep) for name, keep in sums.items()}).drop("_step"), "blocks")
     states = _states(local, key, value, smooth, steps, sums)
     n = F.col("_n")
     out = local.join(states, [key, "_bucket", "_block"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.scalars import defaulted
 from marketlake.operators.keyed import top_per_group
+from marketlake.session import written
 
 # columns the explorer may sort by
 SORTABLE = ["coin_id", "rsi_14", "confidence", "price_usd", "volume_ratio"]
@@ -48,7 +49,11 @@ def top_actions(recs: DataFrame, action: str, n: int = 3) -> DataFrame:
 
 
 def market_summary(recs: DataFrame) -> DataFrame:
-    """The whole summary in one row, counts nested and top lists as arrays (SUM-01)."""
+    """The whole summary in one row, counts nested and top lists as arrays (SUM-01).
+
+    ``recs`` may be a long computation: it is run once, and its few columns written.
+    """
+    recs = written(recs.select("generated_at", "pos", *[c for c in TOP_COLUMNS if c != "pos"]), "records")
     top = top_per_group(
         recs.where(F.col("action").isin("BUY", "SELL")), ["action"],
         [defaulted("confidence", 0).desc(), F.col("pos")], 3,
@@ -151,11 +156,12 @@ def explore(snapshots: DataFrame, signals: Sequence[str], column: str = "coin_id
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal bins over [min, max], the maximum in the last bin, nulls dropped (AGG-07).
 
-    The bounds are a one-row scalar subquery; the counting is an ordinary
-    partial + final aggregate over the bin number. Empty bins give no row.
+    The column is computed once and written. The bounds are a one-row scalar
+    subquery over it; the counting is an ordinary partial + final aggregate over
+    the bin number. Empty bins give no row.
     """
     value = F.col(column)
-    kept = df.where(value.isNotNull())
+    kept = written(df.select(value.alias(column)).where(value.isNotNull()), "values")
     bounds = kept.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("b")).scalar()
     width = (F.col("b.hi") - F.col("b.lo")) / bins
     place = F.when(

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings every job relies on. They can be set on a session that
 # somebody else built, so library code never has to own the session.
@@ -85,6 +85,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_working_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, for plans that need it more than once."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a table staged in ``shared_folder`` before the application ends."""
     if not folder.startswith(_working_folder(spark)):

@@ -93,7 +93,7 @@ def test_one_long_hot_series(spark):
 def test_a_block_never_holds_more_than_its_share(spark, monkeypatch):
     df = spark.createDataFrame(frame({"hot": walk(5000, 3)}))
     written = []
-    monkeypatch.setattr(blocks, "_staged", lambda local, keep=blocks._staged: written.append(local) or keep(local))
+    monkeypatch.setattr(blocks, "written", lambda local, name, keep=blocks.written: written.append(local) or keep(local, name))
     scanned = blocks.scan(df, "coin_id", "date", "price_usd", {"s": 0.9}, bucket=F.trunc("date", "year"), size=100)
     assert scanned.orderBy("date").select("pos").toPandas()["pos"].tolist() == list(range(5000))
     assert written[0].groupBy("_bucket", "_block").count().agg(F.max("count")).first()[0] <= 100

@@ -65,7 +65,7 @@ def test_candles_are_a_partial_hash_aggregate(spark):
 @pytest.mark.parametrize("build", ["ema", "macd", "rsi", "indicator"])
 def test_series_are_windowed_by_block(spark, monkeypatch, order, build):
     """No window over rows is partitioned by the key alone; those over blocks, one row a block, are."""
-    monkeypatch.setattr(blocks, "_staged", lambda df: df)
+    monkeypatch.setattr(blocks, "written", lambda df, name: df)
     df = testbed.daily_prices(spark, SF).withColumn("stamp", F.col("date").cast("timestamp"))
     out = {"ema": lambda: indicators.ema_series(df, "coin_id", order, "price_usd", [12]), "macd": lambda: indicators.macd_series(df, "coin_id", order, "price_usd"),
            "rsi": lambda: indicators.rsi_series(df, "coin_id", order, "price_usd"), "indicator": lambda: indicators.indicator_series(df, order=order)}[build]()
