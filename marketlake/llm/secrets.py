@@ -1,13 +1,15 @@
 """Secret scan with multipart credential linking, in built-in functions only.
 
-Three base kinds are always reported. Weaker candidates (a login, a mail
-address, a blob, an address of a service) are no secrets on their own; they
-are reported only when a part that completes them lies in their scope: a
-secret for an identifier or an endpoint, an identifier or an endpoint for a
-secret, at most ``REACH`` code points away. The link is an interval join: both
-sides are laid out on cells of ``REACH`` code points of their document, joined
-on (document, cell) and checked for overlap; as a semi join, so that a crowded
-document makes no pairs. A weak candidate that overlaps a base span is left out.
+Three base kinds are always reported. Weaker candidates (a login, a short
+password, a mail address, a blob, an address of a service) are no secrets on
+their own; they are reported only when a part that completes them lies in their
+scope: a secret for an identifier or an endpoint, an identifier or an endpoint
+for a secret, at most ``REACH`` code points away, beside it and not inside it.
+The link is an interval join: both sides are laid out on cells of ``REACH`` code
+points of their document, joined on (document, cell) and checked for nearness;
+as a semi join, so that a crowded document makes no pairs. A weak candidate that
+overlaps a base span is left out, and so is a weak secret that overlaps a weak
+identifier or endpoint: it is a piece of that address.
 
 Positions come from the lengths of the matches and of the text between them;
 only these numbers are shuffled, never a text. A document is one task's work at
@@ -44,6 +46,7 @@ KINDS = [
     ("blob", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", "secret"),
     ("url", r"""https?://[^\x20\x09-\x0D"'<>]+""", "endpoint"),
     ("ipv4", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", "endpoint"),
+    ("short", ASSIGN, "secret"),
 ]
 BASE = 3
 
@@ -57,6 +60,8 @@ def _matches(text, number, pattern):
     def one(match, i):
         if kind == "assign":
             valid = F.length(F.regexp_extract(match, pattern, 2)) >= ASSIGN_VALUE
+        elif kind == "short":
+            valid = F.length(F.regexp_extract(match, pattern, 2)) < ASSIGN_VALUE
         elif kind == "blob":
             valid = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
         else:
@@ -95,11 +100,13 @@ def find_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
         return df.withColumn("cell", F.explode(F.sequence(F.floor(low / reach), F.floor(high / reach))))
 
     weak = spans_.where(F.col("kind") >= BASE)
-    base = cells(spans.where(F.col("kind") < BASE), "start", "stop").select(
-        F.col("row").alias("r"), F.col("cell").alias("c"), F.col("start").alias("s"), F.col("stop").alias("e"))
+    stronger = cells(spans_, "start", "stop").select(
+        F.col("row").alias("r"), F.col("cell").alias("c"), F.col("start").alias("s"), F.col("stop").alias("e"),
+        (F.col("kind") < BASE).alias("is_base"), F.col("secret").alias("other_secret"))
     covered = (cells(weak, "start", "stop")
-               .join(base, (F.col("row") == F.col("r")) & (F.col("cell") == F.col("c"))
-                     & (F.col("start") < F.col("e")) & (F.col("s") < F.col("stop")), "left_semi")
+               .join(stronger, (F.col("row") == F.col("r")) & (F.col("cell") == F.col("c"))
+                     & (F.col("start") < F.col("e")) & (F.col("s") < F.col("stop"))
+                     & (F.col("is_base") | (F.col("secret") & ~F.col("other_secret"))), "left_semi")
                .select("row", "kind", "start").distinct())
     weak = weak.join(covered, ["row", "kind", "start"], "left_anti")
     parts = spans_.where(F.col("kind") < BASE).unionByName(weak)
@@ -109,6 +116,7 @@ def find_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
     linked = (cells(weak, "start", "stop", reach)
               .join(other, (F.col("row") == F.col("r")) & (F.col("cell") == F.col("c"))
                     & (F.col("secret") != F.col("other_secret"))
+                    & ((F.col("e") <= F.col("start")) | (F.col("s") >= F.col("stop")))
                     & (F.col("start") - reach < F.col("e")) & (F.col("s") < F.col("stop") + reach), "left_semi")
               .select("row", "kind", "start", "stop").distinct())
     reported = spans.where(F.col("kind") < BASE).select("row", "kind", "start", "stop").unionByName(linked)

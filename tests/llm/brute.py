@@ -215,3 +215,26 @@ def licenses(text, rules, weights):
     labels = {s[4].label for s in told} | {label for _, label in base}
     return (len(words), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None),
             ",".join(sorted({label for _, label in base})), ",".join(sorted(labels)), max((weights[s[2]] for s in told), default=0.0))
+
+
+def linked_spans(text, kinds, base, reach):
+    """All reported spans (start, kind, stop): every pair of parts is compared. ``kinds``: (name, pattern, role)."""
+    text = text or ""
+    parts = []
+    for number, (name, pattern, role) in enumerate(kinds):
+        for m in re.finditer(pattern, text, re.ASCII):
+            value = m.group(2) if name in ("assign", "short") else ""
+            if name == "assign" and len(value) < 12 or name == "short" and len(value) >= 12:
+                continue
+            if name == "blob" and not (re.search("[0-9]", m.group()) and re.search("[A-Za-z]", m.group())):
+                continue
+            parts.append((m.start(), number, m.end(), role == "secret"))
+
+    def overlap(a, b):
+        return a[0] < b[2] and b[0] < a[2]
+
+    weak = [p for p in parts if p[1] >= base and not any(
+        overlap(p, o) and (o[1] < base or p[3] and not o[3]) for o in parts if o is not p)]
+    strong = [p for p in parts if p[1] < base]
+    linked = [p for p in weak if any(p[3] != o[3] and not overlap(p, o) and p[0] - reach < o[2] and o[0] < p[2] + reach for o in strong + weak)]
+    return sorted((a, k, b) for a, k, b, _ in strong + linked)

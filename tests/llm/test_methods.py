@@ -387,3 +387,17 @@ def test_crowded_document(spark):
     found = secrets.find_spans(spark.createDataFrame([(1, text)], "i long, text string")).first()["found"]
     assert len(found) == 6000 and [s["start"] for s in found] == sorted(s["start"] for s in found)
     assert all(text[s["start"]:s["stop"]].startswith("0123" if secrets.KINDS[s["kind"]][0] == "hex" else "user") for s in found)
+
+
+def test_linked_spans_equal_a_double_loop(spark):
+    rng = random.Random(11)
+    pieces = ["login=admin", "password=hunter2", "user_name: bob", "x@y.example.com", "https://example.com/2024/some-article-title-0123456789",
+              "https://example.com/a", "10.0.0.1", "abcDEF0123456789abcDEFgh", "0123456789abcdef0", "AKIA" + "B" * 16, "secret: abcdefghijkl0",
+              "token=short", "plain", "é" * 30, "-" * 100]
+    texts = ["https://example.com/2024/some-article-title", "login=admin password=hunter2", "token=short", None, ""]
+    texts += [" ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(250)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").repartition(4)
+    got = {r["i"]: [tuple(x) for x in r["found"]] for r in secrets.find_spans(df).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == brute.linked_spans(text, secrets.KINDS, secrets.BASE, secrets.REACH), text
+    assert got[0] == [] and [secrets.KINDS[k][0] for _, k, _ in got[1]] == ["login", "short"] and got[2] == []
