@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.keyed import latest_with_ties, top_per_group
+from marketlake.operators.keyed import top_per_group
 from marketlake.plans.gold import ranked
 from marketlake.sources import tables
 from marketlake.streaming.trades import CANDLE_SCHEMA
@@ -134,11 +134,11 @@ def latest_close(candles: DataFrame, symbol: str) -> DataFrame:
 
 
 def latest_candle_all_symbols(candles: DataFrame) -> DataFrame:
-    """DSH-11: the newest candle of every symbol."""
-    return latest_with_ties(candles, "symbol", "window_end").select(
-        "symbol", F.col("close").alias("last_price"), F.col("volume").alias("last_volume"),
-        F.col("window_end").alias("last_updated"),
-    ).orderBy("symbol")
+    """DSH-11: the newest candle of every symbol, from one scan; a symbol has one candle at a time."""
+    newest = candles.groupBy("symbol").agg(
+        F.max_by("close", "window_end").alias("last_price"), F.max_by("volume", "window_end").alias("last_volume"),
+        F.max("window_end").alias("last_updated"))
+    return newest.orderBy("symbol")
 
 
 def _newest(candles: DataFrame, symbol: str, n: int) -> DataFrame:

@@ -4,6 +4,7 @@ Responses are written from the given tables into the shared folder and read
 back, so the readers see real files.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -351,6 +352,32 @@ def table_check(spark, d):
     return tables.check_table(tables.read_table(spark, path))
 
 
+@query("snk_03_bucketed", sql("""
+SELECT coin_id, "date", price_usd, round_even(lag(price_usd) OVER (PARTITION BY coin_id ORDER BY "date"), 8) AS before FROM daily""", "daily"))
+def bucketed(spark, d):
+    """A window by coin over the bucketed fact, which is not shuffled again."""
+    path = shared_folder(spark, "bucketed")
+    tables.create_database(spark)
+    tables.write_bucketed(testbed.daily_prices(spark, d).select("coin_id", "date", "price_usd"), "fact_bucketed", "coin_id", ["date"], 16, path)
+    before = F.lag("price_usd").over(Window.partitionBy("coin_id").orderBy("date"))
+    return spark.table("gold.fact_bucketed").select("coin_id", "date", "price_usd", F.bround(before, 8).alias("before"))
+
+
+@query("agg_09_merged_sketches", sql("""
+SELECT count(*) AS rows, true AS coins_near, true AS dates_near FROM fact""", "fact"))
+def merged_sketches(spark, d):
+    """Distinct counts from sketches by partition, some of them written again; within 5 percent of the exact ones."""
+    path, stored = shared_folder(spark, "sketched"), shared_folder(spark, "sketches")
+    tables.write_gold(testbed.facts(spark, d).withColumn("year", F.year("date").cast("string")), path, ["year"])
+    fact = tables.read_table(spark, path)
+    tables.write_sketches(fact, stored, "year", ["coin_id", "date"])
+    tables.write_sketches(fact, stored, "year", ["coin_id", "date"], changed=fact.where("year = '1998'").select("year"))
+    exact = fact.agg(F.count_distinct("coin_id").alias("coins"), F.count_distinct("date").alias("dates"))
+    near = tables.merged_counts(spark.read.parquet(stored), ["coin_id", "date"])
+    return near.select("rows", *[(F.abs(F.col(c) - exact.select(n).scalar()) <= 0.05 * exact.select(n).scalar()).alias(f"{n}_near")
+                                 for c, n in (("coin_id", "coins"), ("date", "dates"))])
+
+
 @query("snk_10_dated_run", sql("SELECT * FROM snapshot", "snapshot"))
 def dated_run(spark, d):
     path = shared_folder(spark, "indicators")

@@ -14,6 +14,9 @@ from marketlake.functions.scalars import strip_prefix
 from marketlake.schemas import GOLD_TABLES
 from marketlake.sources.bronze import child_folders, path_exists
 
+# bits of a sketch's registers: 2 ** 12 bytes or fewer a column and partition
+SKETCH_BITS = 12
+
 # ---- readers --------------------------------------------------------------
 
 
@@ -137,6 +140,40 @@ def check_table(df: DataFrame, key: str = "coin_id") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"))
 
 
+def write_sketches(df: DataFrame, path: str, partition: str, columns: Sequence[str], changed: DataFrame | None = None) -> None:
+    """Row counts and mergeable distinct-count sketches of each partition value, beside the table (AGG-09, SNK-09).
+
+    With ``changed`` (partition values) only those partitions of ``df`` are read
+    and only their sketches are written; the others stay. Sketches of partitions
+    that are gone stay too, so write all of them after a full build.
+    """
+    if changed is not None:
+        df = df.join(changed.select(partition).distinct(), partition, "left_semi")
+    rows = df.groupBy(partition).agg(F.count(F.lit(1)).alias("rows"), *[
+        F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)).alias(c) for c in columns])
+    write_gold(rows.withColumn("value", F.col(partition).cast("string")).drop(partition), path, ["value"], replace=changed is None)
+
+
+def merged_counts(sketches: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: rows, and about how many distinct values each column has, from the sketches alone.
+
+    The standard error is about 1.04 / sqrt(2 ** SKETCH_BITS), 1.6 percent.
+    """
+    return sketches.agg(F.sum("rows").alias("rows"), *[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, order: Sequence[str], buckets: int, path: str, database: str = "gold") -> None:
+    """A catalog table in ``buckets`` files' worth of hashed keys, each sorted by key and order (SNK-03, SNK-07).
+
+    Windows and aggregates by key read it without a shuffle, and a million keys
+    make no million folders. Rows are put to their bucket first, so that each
+    bucket is one file; a key with very many rows makes its bucket long.
+    """
+    spread = df.repartition(buckets, key)
+    (spread.write.mode("overwrite").option("path", path).option("compression", "snappy")
+     .bucketBy(buckets, key).sortBy(key, *order).saveAsTable(f"{database}.{name}"))
+
+
 # ---- catalog --------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlake import schemas
@@ -192,3 +193,40 @@ def test_histogram_edges(spark):
     assert [(r["bin"], r["n"]) for r in summary.histogram(same, "x").collect()] == [(1, 2)]
     with pytest.raises(ValueError):
         summary.sort_by(df, "x")
+
+
+def test_sketches_merge_and_only_changed_partitions_are_written(spark, tmp_path):
+    path, stored = str(tmp_path / "t"), str(tmp_path / "s")
+    rows = spark.range(30_000).select((F.col("id") % 7).cast("string").alias("part"), (F.col("id") % 9000).cast("string").alias("coin_id"))
+    tables.write_gold(rows, path, ["part"])
+    tables.write_sketches(tables.read_table(spark, path), stored, "part", ["coin_id"])
+
+    def counts():
+        return tables.merged_counts(spark.read.parquet(stored), ["coin_id"]).first()
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "s").rglob("*.parquet")}
+
+    before = files()
+    assert counts()["rows"] == 30_000 and abs(counts()["coin_id"] - 9000) < 450 and len(before) == 7
+    more = rows.where("part = '3'").union(spark.range(5000).select(F.lit("3"), (F.col("id") + 100_000).cast("string")))
+    tables.write_gold(more, path, ["part"])
+    changed = spark.createDataFrame([("3",)], "part string")
+    tables.write_sketches(tables.read_table(spark, path), stored, "part", ["coin_id"], changed=changed)
+    after = files()
+    assert len(after) == 7 and len(before.keys() & after.keys()) == 6
+    assert counts()["rows"] == 35_000 and abs(counts()["coin_id"] - 14_000) < 700
+
+
+def test_bucketed_table_is_not_shuffled(spark, tmp_path):
+    tables.create_database(spark)
+    rows = spark.range(5000).select((F.col("id") % 300).cast("string").alias("coin_id"), F.col("id").alias("date"), F.rand(1).alias("price"))
+    tables.write_bucketed(rows, "bucket_test", "coin_id", ["date"], 8, str(tmp_path / "b"))
+    stored = spark.table("gold.bucket_test")
+    before = stored.withColumn("before", F.lag("price").over(Window.partitionBy("coin_id").orderBy("date")))
+    totals = before.groupBy("coin_id").agg(F.sum("before").alias("s"), F.count("*").alias("n"))
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert totals.count() == 300 and totals.agg(F.sum("n")).first()[0] == 5000
+    assert len(list((tmp_path / "b").glob("*.parquet"))) == 8
+    spark.sql("DROP TABLE gold.bucket_test")
