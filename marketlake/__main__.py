@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--silver", required=True)
     p.add_argument("--gold", required=True)
     p.add_argument("--mode", choices=["full", "incremental"], default="incremental")
-    p.add_argument("--since", help="time of the last run, for incremental")
+    p.add_argument("--since", help="time of the last run, for incremental; without it the files no build has read count")
     p.add_argument("--snapshot-date", help="add the latest market rows as prices of this date")
     p.add_argument("--flat", action="store_true", help="unpartitioned price fact")
 

@@ -15,9 +15,9 @@ from marketlake.operators import indicators, recommend, similarity, vector_index
 from marketlake.operators.keyed import keep_last
 from marketlake.plans import gold, summary
 from marketlake.schemas import GOLD_TABLES
-from marketlake.session import remove_folder, shared_folder
+from marketlake.session import remove_folder, shared_folder, written
 from marketlake.sources import tables
-from marketlake.sources.bronze import path_exists
+from marketlake.sources.bronze import list_files, path_exists
 
 # all rows of a conversion share its clock; the path holds the fetch date
 MARKET_ORDER = ["ingestion_time", "file_path", "pos"]
@@ -32,7 +32,9 @@ def build_gold(
     """Star schema from the silver feeds (GLD-01..05).
 
     ``incremental`` rebuilds the small dimensions and rewrites only the fact
-    partitions of coins ingested after ``since``. With ``snapshot_date`` the
+    partitions of coins ingested after ``since``, or without it of coins with
+    files that no build has read yet: the files read are kept in ``out``/files_read,
+    and nothing is opened of a coin that has no new file. With ``snapshot_date`` the
     latest market rows are added as prices of that date and win over history;
     they are also all there is if no history has been loaded yet.
     """
@@ -46,15 +48,21 @@ def build_gold(
         raise FileNotFoundError(f"no price history at {history}")
     frames = []
     if has_history:
-        chart = tables.read_table(spark, history).withColumn("date", F.to_date("timestamp"))
-        changed = None
-        if mode == "incremental":
-            if since is None:
-                raise ValueError("incremental needs the time of the last run")
-            changed = chart.where(F.col("ingestion_time") > F.lit(since).cast("timestamp")).select("coin_id").distinct()
-            if snapshot_date is not None:
-                changed = changed.union(coins.select("coin_id")).distinct()
-        frames.append(gold.daily_prices(gold.rows_to_build(chart, mode, changed), ["timestamp"]))
+        # listed before anything is read: a file that comes meanwhile is new to the next build
+        listed = written(list_files(spark, history), "listed")
+        by_files = mode == "incremental" and since is None
+        if by_files and snapshot_date is None:
+            chart = read_unread(spark, history, listed, f"{out}/files_read")
+            if chart is None:
+                return
+            chart, build, changed = chart.withColumn("date", F.to_date("timestamp")), "full", None
+        else:
+            chart, build, changed = tables.read_table(spark, history).withColumn("date", F.to_date("timestamp")), mode, None
+            if mode == "incremental":
+                # the day's prices need the price before: coins of the market feed are built whole
+                late = chart.select("coin_id") if by_files else chart.where(F.col("ingestion_time") > F.lit(since).cast("timestamp")).select("coin_id")
+                changed = late.distinct() if snapshot_date is None else late.union(coins.select("coin_id")).distinct()
+        frames.append(gold.daily_prices(gold.rows_to_build(chart, build, changed), ["timestamp"]))
     if snapshot_date is not None:
         wanted = ["id", "current_price", "market_cap", "total_volume", *MARKET_ORDER]
         latest = keep_last(markets.select(*wanted), ["id"], MARKET_ORDER)
@@ -79,10 +87,23 @@ def build_gold(
     else:
         # a full build drops the coins that are gone; an incremental one leaves other coins alone
         tables.write_gold(fact, f"{out}/fact_daily_prices", ["coin_id"], replace=mode == "full")
+    if has_history:
+        tables.write_gold(listed, f"{out}/files_read")
     for folder in staged:
         remove_folder(spark, folder)
 
 
+def read_unread(spark: SparkSession, path: str, listed: DataFrame, manifest: str) -> DataFrame | None:
+    """The partition folders of the table at ``path`` that hold files not in ``manifest``, or None if there are none (GLD-05).
+
+    Folders are found from the two lists alone; the driver holds the changed ones.
+    """
+    known = tables.read_table(spark, manifest, listed.schema, required=False)
+    folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")
+    changed = [r["folder"] for r in listed.join(known, "file_path", "left_anti").select(folder).distinct().collect()]
+    return spark.read.option("basePath", path).parquet(*changed) if changed else None
+
+
 def register_gold(spark: SparkSession, out: str, database: str = "gold", flat: bool = False) -> DataFrame:
     """Catalog tables over the gold folder; row counts per table (SNK-07..09)."""
     tables.create_database(spark, database)

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import scalars
 from marketlake.operators import indicators, keyed
-from marketlake.plans import dashboards, gold, summary
+from marketlake.plans import dashboards, gold, jobs, summary
 from marketlake.registry.core import query, sql
-from marketlake.sources import tables, testbed
+from marketlake.session import shared_folder, written
+from marketlake.sources import bronze, tables, testbed
 
 AS_OF = testbed.AS_OF
 
@@ -403,6 +404,24 @@ def incremental(spark, d):
     return out.select("coin_id", "date", "price_usd", F.bround("daily_return", 6).alias("daily_return"))
 
 
+@query("gld_05_by_files", sql(
+    'SELECT coin_id, "date", price_usd, round_even(daily_return, 6) AS daily_return FROM fact', "fact"))
+def incremental_by_files(spark, d):
+    """A build, more files of every third coin, and a second build that reads those coins alone."""
+    history, out = shared_folder(spark, "history"), shared_folder(spark, "fact")
+    raw = testbed.raw_prices(spark, d)
+    later = (F.col("seq") % 10 == 0) & (F.col("coin_id").cast("int") % 3 == 0)
+    tables.write_gold(raw.where(~later), history, ["coin_id"])
+    known = written(bronze.list_files(spark, history), "files")
+    tables.write_gold(gold.fact_daily_prices(gold.daily_prices(tables.read_table(spark, history), testbed.PRICE_ORDER)), out, ["coin_id"])
+    raw.where(later).hint("rebalance", "coin_id").write.mode("append").partitionBy("coin_id").parquet(history)
+    manifest = shared_folder(spark, "manifest")
+    tables.write_gold(known, manifest)
+    unread = jobs.read_unread(spark, history, bronze.list_files(spark, history), manifest)
+    tables.write_gold(gold.fact_daily_prices(gold.daily_prices(unread, testbed.PRICE_ORDER)), out, ["coin_id"])
+    return tables.read_table(spark, out).select("coin_id", "date", "price_usd", F.bround("daily_return", 6).alias("daily_return"))
+
+
 @query("gld_07_work_list", sql("""
 SELECT id, o_orderkey FROM (SELECT id, min(o_orderkey) AS o_orderkey FROM markets GROUP BY id ORDER BY 2 LIMIT 100)
 WHERE id NOT IN (SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem)""", "markets"))
