@@ -6,7 +6,7 @@ before it left, adds its own trades and writes, under its batch id:
 * ``table``: candles whose window the watermark has passed, below symbol, date and batch;
 * ``late``: trades of windows that were closed before they came;
 * ``state``/open, ``state``/seen: candles still open, ids of their trades;
-* ``state``/ledger, last: one row of counts and the greatest trade time.
+* ``state``/ledger, last: one row of counts, the greatest trade time and the trades in open candles.
 
 A batch that is run again after a failure overwrites what it wrote, so each
 trade counts once. Totals are sums over the ledger; the end of a feed is written
@@ -32,7 +32,7 @@ from marketlake.streaming import trades
 OPEN = ("symbol string, window_start timestamp, window_end timestamp, first_at decimal(38,0), open double, high double, low double, "
         "last_at decimal(38,0), close double, volume double, trade_count bigint, closed boolean")
 SEEN = "symbol string, trade_id bigint, window_end timestamp"
-LEDGER = "received bigint, undecodable bigint, written bigint, late bigint, repeated bigint, candles bigint, newest bigint"
+LEDGER = "received bigint, undecodable bigint, written bigint, late bigint, repeated bigint, candles bigint, newest bigint, left bigint"
 COUNTS = ["received", "undecodable", "written", "late", "repeated", "candles"]
 
 
@@ -64,41 +64,44 @@ def _fold(batch: DataFrame, number: int, table: str, late: str, state: str, widt
     before = _read(spark, f"{state}/ledger", number - 1, LEDGER).head()
     newest = before["newest"] if before else None
     delay = int(pd.Timedelta(lateness).total_seconds() * 1_000_000)
-    parsed = trades.parse_messages(batch).persist()
+    parsed = trades.parse_messages(batch)
+    judged = parsed.select("valid", *trades.trade_columns()).withColumn("w", F.window(F.coalesce("trade_time", F.timestamp_micros(F.lit(0))), width)).select(
+        "*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).drop("w")
+    known = F.lit(None).cast("timestamp") if newest is None else _instant(newest - delay)
+    usable = F.col("valid") & F.col("trade_time").isNotNull() & F.col("price").isNotNull()
+    judged = judged.withColumns({"usable": usable, "behind": usable & F.coalesce(F.col("window_end") <= known, F.lit(False))}).persist()
     try:
-        rows = trades.normalise(parsed).where("trade_time IS NOT NULL AND price IS NOT NULL").withColumn("w", F.window("trade_time", width))
-        rows = rows.select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).drop("w")
-        behind = F.lit(False) if newest is None else F.col("window_end") <= _instant(newest - delay)
-        in_time = rows.where(~behind)
-        known = _read(spark, f"{state}/seen", number - 1, SEEN).select(F.col("symbol").alias("_symbol"), F.col("trade_id").alias("_id"))
-        fresh = trades.distinct_trades(in_time).join(
-            known, (F.col("symbol") == F.col("_symbol")) & F.col("trade_id").eqNullSafe(F.col("_id")), "left_anti")
-
-        counts = parsed.agg(*trades.counters()).head()
-        facts = rows.agg(F.count_if(behind).alias("late"), F.max(F.unix_micros("trade_time")).alias("newest")).head()
-        newest = max((x for x in (newest, facts["newest"]) if x is not None), default=None)
+        counts = judged.agg(*trades.counters(), F.count_if("behind").alias("late"), F.count_if(usable & ~F.col("behind")).alias("in_time"),
+                            F.max(F.when(F.col("usable"), F.unix_micros("trade_time"))).alias("newest")).head()
+        newest = max((x for x in (newest, counts["newest"]) if x is not None), default=None)
         closing = F.lit(False) if newest is None else F.col("window_end") <= _instant(newest - delay)
+        rows = judged.where("usable").drop("valid", "usable")
 
+        seen = _read(spark, f"{state}/seen", number - 1, SEEN)
+        ids = seen.select(F.col("symbol").alias("_symbol"), F.col("trade_id").alias("_id"))
+        fresh = trades.distinct_trades(rows.where("not behind")).join(
+            ids, (F.col("symbol") == F.col("_symbol")) & F.col("trade_id").eqNullSafe(F.col("_id")), "left_anti")
         at = trades.trade_order()
         own = fresh.groupBy("symbol", "window_start", "window_end").agg(
             F.min(at).alias("first_at"), F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
             F.max(at).alias("last_at"), F.max_by("price", at).alias("close"), F.sum("quantity").alias("volume"), F.count(F.lit(1)).alias("trade_count"))
         left = _read(spark, f"{state}/open", number - 1, OPEN).where("not closed").drop("closed")
         _write(_merged(left.unionByName(own)).withColumn("closed", closing), f"{state}/open", number)
-        _write(rows.where(behind), late, number)
-        ids = _read(spark, f"{state}/seen", number - 1, SEEN).unionByName(fresh.select("symbol", "trade_id", "window_end"))
-        _write(ids.where(~closing), f"{state}/seen", number)
+        if counts["late"] or number == 0:
+            _write(rows.where("behind").drop("behind"), late, number)
+        _write(seen.unionByName(fresh.select("symbol", "trade_id", "window_end")).where(~closing), f"{state}/seen", number)
 
         held = _read(spark, f"{state}/open", number, OPEN)
-        done = held.where("closed")
-        write_candles(done.select(*trades.CANDLE_COLUMNS), table, number)
-        added = held.agg(F.coalesce(F.sum("trade_count"), F.lit(0)), F.count_if("closed")).head()
-        taken = left.agg(F.coalesce(F.sum("trade_count"), F.lit(0))).head()[0]
-        kept = in_time.count()
-        ledger = [(counts["received"], counts["undecodable"], counts["written"], facts["late"], kept - (added[0] - taken), added[1], newest)]
+        write_candles(held.where("closed").select(*trades.CANDLE_COLUMNS), table, number)
+        made = held.agg(F.coalesce(F.sum("trade_count"), F.lit(0)).alias("trades"), F.count_if("closed").alias("candles"),
+                        F.coalesce(F.sum(F.when(~F.col("closed"), F.col("trade_count"))), F.lit(0)).alias("left")).head()
+        taken = before["left"] if before else 0
+        ledger = [(counts["received"], counts["undecodable"], counts["written"], counts["late"], counts["in_time"] - (made["trades"] - taken),
+                   made["candles"], newest, made["left"])]
+        # the last write of a batch: what it holds counts from now on
         _write(spark.createDataFrame(ledger, LEDGER).coalesce(1), f"{state}/ledger", number)
     finally:
-        parsed.unpersist()
+        judged.unpersist()
     for name in ("open", "seen"):
         delete_folder(spark, f"{state}/{name}/batch={number - 2}")
 

@@ -69,13 +69,17 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 def normalise(parsed: DataFrame) -> DataFrame:
     """Typed trades: upper-case symbol, event time, numbers from text (STR-01)."""
-    return parsed.where("valid").select(
+    return parsed.where("valid").select(*trade_columns())
+
+
+def trade_columns() -> list[Column]:
+    return [
         F.upper(F.coalesce(_field("s"), F.lit("unknown"))).alias("symbol"),
         _field("t").try_cast("bigint").alias("trade_id"),
         epoch_ms(_field("T").try_cast("bigint")).alias("trade_time"),
         _field("p").try_cast("double").alias("price"),
         _field("q").try_cast("double").alias("quantity"),
-    )
+    ]
 
 
 def distinct_trades(trades: DataFrame, lateness: str = LATENESS) -> DataFrame:
