@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketlake.llm import katz, queries, simhash
+from marketlake.llm import katz, licenses, queries, simhash
 from marketlake.llm.common import staged
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, id long, key string, row string, size int, rank string, "
@@ -53,7 +53,8 @@ def folder(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
-    for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"), ("embeddings", "vec_id long, embedding array<float>")):
+    for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"), ("embeddings", "vec_id long, embedding array<float>"),
+                         ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{path}/{name}.parquet")
     return path
 
@@ -160,6 +161,18 @@ def test_search(spark, folder):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_manifest(spark, folder):
+    want = brute.merkle([(r[0], r[3], r[2], len(r[1] or ""), r[1]) for r in _rows()])
+    got = queries.QUERIES["op11_merkle"](spark, folder).collect()
+    assert sorted(str(tuple(r)) for r in got) == sorted(str(r) for r in want)
+
+
+def test_licenses(spark, folder):
+    rules = licenses.rules()
+    want = sorted(str((r[0], *brute.licenses(r[1], rules, licenses.WEIGHTS))) for r in _rows())
+    assert sorted(str(tuple(r)) for r in queries.QUERIES["op13_licenses"](spark, folder).collect()) == want
+
+
 def test_pipeline_keeps_columns(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
