@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from marketlake.llm.common import staged
 
 
+# places in which a node's links meet its minimum
+SPREAD = 8
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b: longs); root is the smallest node reachable.
 
     Large star and small star in turn: each node's neighbours are tied to the
-    smallest of them, until nothing changes. A hub's links are only ever
-    aggregated to a minimum and joined, so none is gathered in one place; the
+    smallest of them, until nothing changes. A hub's links are aggregated to a
+    minimum, task by task first, and meet it again in ``SPREAD`` places; the
     links of each round are a written table.
     """
     def ties(edges):
         low = edges.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("low", "a"))
-        return edges.join(low, "a")
+        spread = low.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        return edges.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SPREAD)).cast("int")).join(spread, ["a", "part"]).drop("part")
 
     def both(edges):
         return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
