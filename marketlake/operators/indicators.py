@@ -167,6 +167,7 @@ def score(
             out = out.when(when, value)
         return out.otherwise(otherwise)
 
+    # fixed values: bounds and points of the score
     base = (
         points((rsi < 30, 25), (rsi < 40, 10), (rsi > 70, -25), (rsi > 60, -10))
         + points((histogram > 0, 15), (histogram < 0, -15))

@@ -40,7 +40,7 @@ def build_gold(
     """
     markets = tables.read_table(spark, f"{silver}/markets")
     coins = gold.dim_coins(markets, MARKET_ORDER)
-    tables.write_gold(coins, f"{out}/dim_coins")
+    tables.write_table(coins, f"{out}/dim_coins")
 
     history = f"{silver}/market_chart"
     has_history = path_exists(spark, history)
@@ -71,24 +71,24 @@ def build_gold(
 
     # the merged prices feed both the date dimension and the fact
     staged = [shared_folder(spark, "daily")]
-    tables.write_gold(frames[0], staged[0])
+    tables.write_table(frames[0], staged[0])
     daily = tables.read_table(spark, staged[0])
     dates = gold.dim_date(daily)
     if mode == "incremental" and path_exists(spark, f"{out}/dim_date"):
         known = tables.read_table(spark, f"{out}/dim_date")
         dates = known.union(dates.select(*known.columns)).distinct()
         staged.append(shared_folder(spark, "dates"))
-        tables.write_gold(dates, staged[1])
+        tables.write_table(dates, staged[1])
         dates = tables.read_table(spark, staged[1])
-    tables.write_gold(dates.orderBy("date"), f"{out}/dim_date")
+    tables.write_table(dates.orderBy("date"), f"{out}/dim_date")
     fact = gold.fact_daily_prices(daily, dates)
     if flat:
         tables.write_flat(fact, f"{out}/fact_daily_prices")
     else:
         # a full build drops the coins that are gone; an incremental one leaves other coins alone
-        tables.write_gold(fact, f"{out}/fact_daily_prices", ["coin_id"], replace=mode == "full")
+        tables.write_table(fact, f"{out}/fact_daily_prices", ["coin_id"], replace=mode == "full")
     if has_history:
-        tables.write_gold(listed, f"{out}/files_read")
+        tables.write_table(listed, f"{out}/files_read")
     for folder in staged:
         remove_folder(spark, folder)
 
@@ -148,7 +148,7 @@ def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: s
     date, error). Returns how many were stored and failed (PAT-06).
     """
     judged = shared_folder(spark, "judged")
-    tables.write_gold(similarity.split_storable(similarity.pattern_vectors(_run_of(spark, snapshots_path, as_of))), judged)
+    tables.write_table(similarity.split_storable(similarity.pattern_vectors(_run_of(spark, snapshots_path, as_of))), judged)
     checked = spark.read.parquet(judged)
     bad = checked.where("error IS NOT NULL").select("id", "coin_id", F.col("date").cast("string").alias("date"), "error")
     tables.write_run(bad, failed, F.lit(as_of), "parquet")
@@ -161,8 +161,8 @@ def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: s
         touched = known.join(F.broadcast(fresh.select("date").distinct()), "date", "left_semi")
         fresh = similarity.merge(touched, fresh)
     # the table being replaced is also read, hence the stage in between
-    tables.write_gold(fresh, staged, ["date"])
-    tables.write_gold(spark.read.parquet(staged), path, ["date"])
+    tables.write_table(fresh, staged, ["date"])
+    tables.write_table(spark.read.parquet(staged), path, ["date"])
     counts = checked.agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())).head()
     for folder in (judged, staged):
         remove_folder(spark, folder)
@@ -172,7 +172,7 @@ def store_patterns(spark: SparkSession, snapshots_path: str, path: str, as_of: s
 def stored_matches(spark: SparkSession, matches: DataFrame) -> DataFrame:
     """Matches as a table: its known size lets Spark choose how to join the collection to it."""
     path = shared_folder(spark, "matches")
-    tables.write_gold(matches, path)
+    tables.write_table(matches, path)
     return tables.read_table(spark, path)
 
 

@@ -106,6 +106,7 @@ def recommendations_table(recs: DataFrame) -> DataFrame:
 
 def indicators_table(snapshots: DataFrame) -> DataFrame:
     """SUM-03."""
+    # fixed values: what a missing field is shown as
     defaults = {
         "coin_id": "", "symbol": "", "name": "", "price_usd": 0.0, "rsi_14": 50.0, "macd_line": 0.0,
         "macd_signal": 0.0, "macd_histogram": 0.0, "sma_20": 0.0, "sma_50": 0.0, "bb_position": 0.5,

@@ -294,7 +294,7 @@ def _rounded(df):
 @query("snk_03_gold_partitioned", sql(_FACT, "fact"))
 def gold_partitioned(spark, d):
     path = shared_folder(spark, "fact")
-    tables.write_gold(testbed.facts(spark, d), path, ["coin_id"])
+    tables.write_table(testbed.facts(spark, d), path, ["coin_id"])
     return _rounded(tables.read_table(spark, path, FACT_DAILY_PRICES))
 
 
@@ -303,8 +303,8 @@ SELECT coin_id, "date", CASE WHEN coin_id = '0' THEN price_usd * 2 ELSE price_us
 def dynamic_overwrite(spark, d):
     path = shared_folder(spark, "overwrite")
     daily = testbed.daily_prices(spark, d).select("coin_id", "date", "price_usd")
-    tables.write_gold(daily, path, ["coin_id"])
-    tables.write_gold(daily.where("coin_id = '0'").withColumn("price_usd", F.col("price_usd") * 2), path, ["coin_id"])
+    tables.write_table(daily, path, ["coin_id"])
+    tables.write_table(daily.where("coin_id = '0'").withColumn("price_usd", F.col("price_usd") * 2), path, ["coin_id"])
     return tables.read_table(spark, path)
 
 
@@ -328,7 +328,7 @@ def replace(spark, d):
 @query("snk_07_catalog_table", sql(_FACT, "fact"))
 def catalog_table(spark, d):
     path = shared_folder(spark, "catalog")
-    tables.write_gold(testbed.facts(spark, d), path, ["coin_id"])
+    tables.write_table(testbed.facts(spark, d), path, ["coin_id"])
     tables.create_database(spark)
     tables.create_table(spark, "fact_daily_prices", path)
     tables.discover_partitions(spark, "fact_daily_prices")
@@ -348,7 +348,7 @@ def partition_discovery(spark, d):
 @query("snk_09_table_check", sql("SELECT count(*) AS rows, count(DISTINCT coin_id) AS keys FROM fact", "fact"))
 def table_check(spark, d):
     path = shared_folder(spark, "checked")
-    tables.write_gold(testbed.facts(spark, d), path, ["coin_id"])
+    tables.write_table(testbed.facts(spark, d), path, ["coin_id"])
     return tables.check_table(tables.read_table(spark, path))
 
 
@@ -368,7 +368,7 @@ SELECT count(*) AS rows, true AS coins_near, true AS dates_near FROM fact""", "f
 def merged_sketches(spark, d):
     """Distinct counts from sketches by partition, some of them written again; within 5 percent of the exact ones."""
     path, stored = shared_folder(spark, "sketched"), shared_folder(spark, "sketches")
-    tables.write_gold(testbed.facts(spark, d).withColumn("year", F.year("date").cast("string")), path, ["year"])
+    tables.write_table(testbed.facts(spark, d).withColumn("year", F.year("date").cast("string")), path, ["year"])
     fact = tables.read_table(spark, path)
     tables.write_sketches(fact, stored, "year", ["coin_id", "date"])
     tables.write_sketches(fact, stored, "year", ["coin_id", "date"], changed=fact.where("year = '1998'").select("year"))

@@ -20,7 +20,7 @@ def snapshots(spark, d):
 def stored_snapshots(spark, d):
     """Snapshots as the table later steps read; they need them more than once."""
     path = shared_folder(spark, "snapshots")
-    tables.write_gold(snapshots(spark, d), path)
+    tables.write_table(snapshots(spark, d), path)
     return tables.read_table(spark, path)
 
 
@@ -37,6 +37,7 @@ def answered(spark, d):
 
 # ---- text -------------------------------------------------------------------
 
+# fixed text: the template must come out character by character
 _MONEY = "'$' || format('{{:,.2f}}', {c})".format
 _TEXT = """name || ' (' || upper(symbol) || ') on ' || CAST("date" AS VARCHAR) || ':' || chr(10)
   || '  Price: $' || format('{:,.2f}', price_usd) || ' (daily return: ' || format('{:+.2f}', daily_return * 100) || '%)' || chr(10)
@@ -301,7 +302,7 @@ def with_fallback(spark, d):
 def _matched(spark, d):
     """All coins matched against the stored collection."""
     path = shared_folder(spark, "patterns")
-    tables.write_gold(similarity.pattern_vectors(stored_snapshots(spark, d)), path)
+    tables.write_table(similarity.pattern_vectors(stored_snapshots(spark, d)), path)
     patterns = tables.read_table(spark, path)
     return patterns, jobs.stored_matches(spark, similarity.similar_patterns(patterns, patterns, 5, ship=True)), patterns
 

@@ -165,7 +165,7 @@ SELECT coin_id AS symbol, "date" AS window_start, round_even(rsi, 4) AS rsi_14,
 def candle_series(spark, d):
     """Few symbols hold all candles: numbered by day, cut into blocks."""
     path = shared_folder(spark, "candles")
-    tables.write_gold(trades.candles(testbed.trades(spark, d)), path)
+    tables.write_table(trades.candles(testbed.trades(spark, d)), path)
     out = indicators.indicator_series(
         tables.read_table(spark, path), "symbol", "window_start", "close", "volume",
         bucket=F.to_date("window_start"), size=2048)

@@ -103,10 +103,10 @@ def scan_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 def write_silver(df: DataFrame, path: str, partition: str) -> None:
     """Snappy Parquet per partition value, replacing only the values present (SNK-02, SNK-04)."""
-    write_gold(df, path, [partition])
+    write_table(df, path, [partition])
 
 
-def write_gold(df: DataFrame, path: str, partitions: Sequence[str] = (), replace: bool = False) -> None:
+def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), replace: bool = False) -> None:
     """Overwrite a gold table (SNK-03): the partitions present, or with ``replace`` the whole table.
 
     Partitioned tables are laid out with REBALANCE: rows of a partition value
@@ -151,7 +151,7 @@ def write_sketches(df: DataFrame, path: str, partition: str, columns: Sequence[s
         df = df.join(changed.select(partition).distinct(), partition, "left_semi")
     rows = df.groupBy(partition).agg(F.count(F.lit(1)).alias("rows"), *[
         F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)).alias(c) for c in columns])
-    write_gold(rows.withColumn("value", F.col(partition).cast("string")).drop(partition), path, ["value"], replace=changed is None)
+    write_table(rows.withColumn("value", F.col(partition).cast("string")).drop(partition), path, ["value"], replace=changed is None)
 
 
 def merged_counts(sketches: DataFrame, columns: Sequence[str]) -> DataFrame:

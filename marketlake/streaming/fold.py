@@ -148,7 +148,7 @@ def flush_candles(spark: SparkSession, checkpoint: str, rest: str) -> None:
 def write_candles(candles: DataFrame, table: str, number: int = 0) -> None:
     """Candles below symbol, date and batch: the newest are found by listing, and a batch replaces only itself."""
     laid = candles.withColumns({"date": F.to_date("window_start"), "batch": F.lit(number)})
-    tables.write_gold(laid, table, ["symbol", "date", "batch"])
+    tables.write_table(laid, table, ["symbol", "date", "batch"])
 
 
 def compact_candles(spark: SparkSession, table: str, before: str | None = None) -> int:
@@ -168,8 +168,8 @@ def compact_candles(spark: SparkSession, table: str, before: str | None = None)
     rows = spark.read.schema(f"{trades.CANDLE_SCHEMA}, date date, batch int").option("basePath", table).parquet(*many)
     last = rows.groupBy("symbol", "date").agg(F.max("batch").alias("batch"))
     stage = shared_folder(spark, "compacted")
-    tables.write_gold(rows.drop("batch").dropDuplicates(["symbol", "window_start"]).join(last, ["symbol", "date"]), stage)
-    tables.write_gold(spark.read.parquet(stage), table, ["symbol", "date", "batch"])
+    tables.write_table(rows.drop("batch").dropDuplicates(["symbol", "window_start"]).join(last, ["symbol", "date"]), stage)
+    tables.write_table(spark.read.parquet(stage), table, ["symbol", "date", "batch"])
     for folder, parts in many.items():
         for old in parts[:-1]:
             delete_folder(spark, f"{folder}/{old}")

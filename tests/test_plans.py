@@ -98,7 +98,7 @@ def test_matches_are_the_broadcast_side(spark, tmp_path):
 
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "fact")
-    tables.write_gold(testbed.facts(spark, SF), path, ["coin_id"])
+    tables.write_table(testbed.facts(spark, SF), path, ["coin_id"])
     facts = tables.read_table(spark, path)
     text = plan(dashboards.daily_series(facts, "0", "price_usd"))
     assert "PartitionFilters: [isnotnull(coin_id" in text and "ReadSchema: struct<date:date,price_usd:double>" in text

@@ -104,9 +104,9 @@ def test_incremental_refresh_equals_full(spark, tmp_path):
     raw = testbed.raw_prices(spark, SF)
     before = raw.where("date < '2001-10-01'")
     path = str(tmp_path / "fact")
-    tables.write_gold(gold.refresh(before, testbed.PRICE_ORDER), path, ["coin_id"])
+    tables.write_table(gold.refresh(before, testbed.PRICE_ORDER), path, ["coin_id"])
     changed = raw.where("date >= '2001-10-01'").select("coin_id")
-    tables.write_gold(gold.refresh(raw, testbed.PRICE_ORDER, "incremental", changed), path, ["coin_id"])
+    tables.write_table(gold.refresh(raw, testbed.PRICE_ORDER, "incremental", changed), path, ["coin_id"])
     full = gold.refresh(raw, testbed.PRICE_ORDER)
     stored = tables.read_table(spark, path, schemas.FACT_DAILY_PRICES).select(*full.columns)
     assert stored.count() == full.count()
@@ -128,7 +128,7 @@ def test_catalog(spark, tmp_path):
     tables.create_database(spark)
     tables.create_table(spark, "fact_daily_prices", path)
     facts = testbed.facts(spark, SF)
-    tables.write_gold(facts, path, ["coin_id"])
+    tables.write_table(facts, path, ["coin_id"])
     tables.discover_partitions(spark, "fact_daily_prices")
     got = spark.table("gold.fact_daily_prices")
     assert got.columns == [f.name for f in schemas.FACT_DAILY_PRICES.fields]
@@ -198,7 +198,7 @@ def test_histogram_edges(spark):
 def test_sketches_merge_and_only_changed_partitions_are_written(spark, tmp_path):
     path, stored = str(tmp_path / "t"), str(tmp_path / "s")
     rows = spark.range(30_000).select((F.col("id") % 7).cast("string").alias("part"), (F.col("id") % 9000).cast("string").alias("coin_id"))
-    tables.write_gold(rows, path, ["part"])
+    tables.write_table(rows, path, ["part"])
     tables.write_sketches(tables.read_table(spark, path), stored, "part", ["coin_id"])
 
     def counts():
@@ -210,7 +210,7 @@ def test_sketches_merge_and_only_changed_partitions_are_written(spark, tmp_path)
     before = files()
     assert counts()["rows"] == 30_000 and abs(counts()["coin_id"] - 9000) < 450 and len(before) == 7
     more = rows.where("part = '3'").union(spark.range(5000).select(F.lit("3"), (F.col("id") + 100_000).cast("string")))
-    tables.write_gold(more, path, ["part"])
+    tables.write_table(more, path, ["part"])
     changed = spark.createDataFrame([("3",)], "part string")
     tables.write_sketches(tables.read_table(spark, path), stored, "part", ["coin_id"], changed=changed)
     after = files()
