@@ -83,14 +83,14 @@ def test_flush_and_totals_read_no_trade(spark, job, tmp_path):
 
 
 def test_totals_of_many_triggers(spark, job):
-    for i in range(25):
+    for i in range(12):
         job.put(f"{i:03}.json", [message("X", i, START + i, 1), *(["{broken"] if i % 10 == 0 else [])])
     job.run()
     job.put("more.json", [message("X", 99, START, 1)])
     job.run()
     sums = fold.totals(spark, job.checkpoint)
-    assert (sums["received"], sums["written"], sums["undecodable"]) == (29, 26, 3)
-    assert len(child_folders(spark, f"{job.checkpoint}/state/ledger")) == 26
+    assert (sums["received"], sums["written"], sums["undecodable"]) == (15, 13, 2)
+    assert len(child_folders(spark, f"{job.checkpoint}/state/ledger")) == 13
 
 
 def test_compaction_keeps_every_candle(spark, job):

@@ -32,8 +32,7 @@ def folder(spark, data, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("options", [{}, {"exclude_same_coin": True}, {"exclude_self": True}])
-@pytest.mark.parametrize("size", [8192, 40])
+@pytest.mark.parametrize("options,size", [({}, 8192), ({"exclude_same_coin": True}, 8192), ({"exclude_self": True}, 40)])
 def test_recall(spark, data, folder, options, size):
     pdf, df = data
     want = {(q, m): s for q, m, _, s in brute(pdf, pdf, 5, options.get("exclude_same_coin", False), options.get("exclude_self", False))}
