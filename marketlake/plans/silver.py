@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from marketlake import schemas
 from marketlake.functions import flatten
 from marketlake.operators.keyed import keep_first, keep_last
+from marketlake.session import written
 from marketlake.sources import bronze, tables
 
 
@@ -46,12 +47,14 @@ def global_market(spark: SparkSession, path: str, inner: T.StructType, ingestion
 def _numbered(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Add ``file_no``, the place of a response among those of its id by path.
 
-    The places come from a listing alone: no content is read for them. ``rows``
-    has one row per file still, so the join is small.
+    The places come from a listing alone: no content is read for them. Only files
+    behind the first of their id are looked up, in a table whose size is known:
+    where they are few, the content of the responses is not shuffled.
     """
     order = Window.partitionBy(bronze.dataset_folder()).orderBy("file_path")
     listed = bronze.list_files(spark, path).withColumn("file_no", F.row_number().over(order).cast("bigint"))
-    return rows.join(listed, "file_path")
+    later = written(listed.where("file_no > 1"), "later")
+    return rows.join(later, "file_path", "left").withColumn("file_no", F.coalesce("file_no", F.lit(1).cast("bigint")))
 
 
 def _first_copy(flat: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,11 +100,14 @@ FEEDS = [
 
 
 def convert_all(
-    spark: SparkSession, raw: str, out: str, global_schema: T.StructType, ingestion_time: Column | None = None
+    spark: SparkSession, raw: str, out: str, global_schema: T.StructType, ingestion_time: Column | None = None,
+    groups: int | None = None,
 ) -> list[str]:
     """Convert every feed that has raw data; re-running gives the same tables.
 
     Returns the names of the feeds written. A feed without raw data is skipped.
+    Feeds by coin have a folder a coin, or with ``groups`` that many folders of
+    coins, for many thousands of coins.
     """
     build = {
         "markets": lambda p: markets(spark, p, ingestion_time),
@@ -114,6 +120,10 @@ def convert_all(
     for feed in FEEDS:
         path = f"{raw}/{feed.name}"
         if bronze.path_exists(spark, path):
-            tables.write_silver(build[feed.name](path), f"{out}/{feed.name}", feed.partition)
+            rows, folder = build[feed.name](path), f"{out}/{feed.name}"
+            if groups and feed.partition == "coin_id":
+                tables.write_grouped(rows, folder, feed.partition, groups)
+            else:
+                tables.write_silver(rows, folder, feed.partition)
             written.append(feed.name)
     return written

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # folders are listed many to a task, not one
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # top-k per group is cut down in each task first, also for a large k
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # state of the trade stream may outgrow the executors' memory

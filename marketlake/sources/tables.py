@@ -12,10 +12,14 @@ from pyspark.sql import types as T
 
 from marketlake.functions.scalars import strip_prefix
 from marketlake.schemas import GOLD_TABLES
-from marketlake.sources.bronze import child_folders, path_exists
+from marketlake.session import written
+from marketlake.sources.bronze import NO_VALUE, child_folders, path_exists
 
 # bits of a sketch's registers: 2 ** 12 bytes or fewer a column and partition
 SKETCH_BITS = 12
+# folders of a grouped table, and key values that are broadcast at most: some tens of MB
+GROUPS = 256
+FEW_KEYS = 1 << 20
 
 # ---- readers --------------------------------------------------------------
 
@@ -120,6 +124,50 @@ def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), replac
     writer.parquet(path)
 
 
+def _grouped(df: DataFrame, key: str, groups: int) -> DataFrame:
+    value = F.nullif(F.nullif(F.col(key), F.lit("")), F.lit(NO_VALUE))
+    return df.withColumn(key, value).withColumn(group_column(key, groups), F.pmod(F.xxhash64(key), F.lit(groups)).cast("int"))
+
+
+def group_column(key: str, groups: int) -> str:
+    """The partition column of a grouped table; the number of groups is fixed for its lifetime."""
+    return f"{key}_of_{groups}"
+
+
+def _write_groups(laid: DataFrame, path: str, key: str, group: str, mode: str) -> None:
+    spread = laid.hint("rebalance", F.col(group)).sortWithinPartitions(group, key)
+    spread.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic").partitionBy(group).parquet(path)
+
+
+def write_grouped(df: DataFrame, path: str, key: str, groups: int = GROUPS) -> None:
+    """Snappy Parquet in ``groups`` folders of hashed key values, replacing only the values present (SNK-02..04).
+
+    The layout for many thousands of text values: a folder a value costs a file, a
+    rename and a listing each. Rows are sorted by key in their file. Values are null
+    where the folder of a value would be that of no value. Other values of a group
+    that is written again are carried over.
+    """
+    group, spark = group_column(key, groups), df.sparkSession
+    if not path_exists(spark, path):
+        return _write_groups(_grouped(df, key, groups), path, key, group, "overwrite")
+    if wrong := [f for f in child_folders(spark, path) if not f.startswith(f"{group}=")]:
+        raise ValueError(f"{path} has folder {wrong[0]}, not {group}")
+    fresh = written(_grouped(df, key, groups), "fresh")
+    keys = written(fresh.select(group, F.col(key).alias("_key")).distinct(), "keys")
+    touched = [r[0] for r in keys.select(group).distinct().collect()]  # at most ``groups``
+    if not touched:
+        return None
+    known = spark.read.schema(fresh.schema).parquet(path).where(F.col(group).isin(touched))
+    gone = F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+    stays = known.join(gone.drop(group), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    _write_groups(fresh.unionByName(stays), path, key, group, "overwrite")
+
+
+def append_grouped(df: DataFrame, path: str, key: str, groups: int = GROUPS) -> None:
+    """More files of a grouped table."""
+    _write_groups(_grouped(df, key, groups), path, key, group_column(key, groups), "append")
+
+
 def write_flat(df: DataFrame, path: str) -> None:
     """Unpartitioned fact with a plain date column, previous files removed (SNK-05, SNK-06)."""
     df.withColumn("date", F.col("date").cast("date")).write.mode("overwrite").option(
