@@ -93,15 +93,27 @@ def build_gold(
         remove_folder(spark, folder)
 
 
-def read_unread(spark: SparkSession, path: str, listed: DataFrame, manifest: str) -> DataFrame | None:
+def read_unread(spark: SparkSession, path: str, listed: DataFrame, manifest: str, grouped: str | None = None) -> DataFrame | None:
     """The partition folders of the table at ``path`` that hold files not in ``manifest``, or None if there are none (GLD-05).
 
     Folders are found from the two lists alone; the driver holds the changed ones.
+    Of a table that lies by groups of the key ``grouped``, only the rows of keys
+    that are in new files; their names come from that column of the new files.
     """
     known = tables.read_table(spark, manifest, listed.schema, required=False)
     folder = F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")
-    changed = [r["folder"] for r in listed.join(known, "file_path", "left_anti").select(folder).distinct().collect()]
-    return spark.read.option("basePath", path).parquet(*changed) if changed else None
+    new = listed.join(known, "file_path", "left_anti")
+    if grouped is None:
+        changed = [r["folder"] for r in new.select(folder).distinct().collect()]
+        return spark.read.option("basePath", path).parquet(*changed) if changed else None
+    files = [r["file_path"] for r in new.collect()]  # some a group
+    if not files:
+        return None
+    changed = sorted({f.rpartition("/")[0] for f in files})
+    rows = spark.read.option("basePath", path).parquet(*changed)
+    found = spark.read.schema(rows.schema).option("basePath", path).parquet(*files)
+    keys = written(found.select(F.col(grouped).alias("_key")).distinct(), "keys")
+    return rows.join(tables.small(keys), F.col(grouped).eqNullSafe(F.col("_key")), "left_semi")
 
 
 def register_gold(spark: SparkSession, out: str, database: str = "gold", flat: bool = False) -> DataFrame:

@@ -411,14 +411,14 @@ def incremental_by_files(spark, d):
     history, out = shared_folder(spark, "history"), shared_folder(spark, "fact")
     raw = testbed.raw_prices(spark, d)
     later = (F.col("seq") % 10 == 0) & (F.col("coin_id").cast("int") % 3 == 0)
-    tables.write_table(raw.where(~later), history, ["coin_id"])
+    tables.write_grouped(raw.where(~later), history, "coin_id")
     known = written(bronze.list_files(spark, history), "files")
-    tables.write_table(gold.fact_daily_prices(gold.daily_prices(tables.read_table(spark, history), testbed.PRICE_ORDER)), out, ["coin_id"])
-    raw.where(later).hint("rebalance", "coin_id").write.mode("append").partitionBy("coin_id").parquet(history)
+    tables.write_grouped(gold.fact_daily_prices(gold.daily_prices(tables.read_table(spark, history), testbed.PRICE_ORDER)), out, "coin_id")
+    tables.append_grouped(raw.where(later), history, "coin_id")
     manifest = shared_folder(spark, "manifest")
     tables.write_table(known, manifest)
-    unread = jobs.read_unread(spark, history, bronze.list_files(spark, history), manifest)
-    tables.write_table(gold.fact_daily_prices(gold.daily_prices(unread, testbed.PRICE_ORDER)), out, ["coin_id"])
+    unread = jobs.read_unread(spark, history, bronze.list_files(spark, history), manifest, grouped="coin_id")
+    tables.write_grouped(gold.fact_daily_prices(gold.daily_prices(unread, testbed.PRICE_ORDER)), out, "coin_id")
     return tables.read_table(spark, out).select("coin_id", "date", "price_usd", F.bround("daily_return", 6).alias("daily_return"))
 
 

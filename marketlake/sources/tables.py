@@ -129,6 +129,11 @@ def _grouped(df: DataFrame, key: str, groups: int) -> DataFrame:
     return df.withColumn(key, value).withColumn(group_column(key, groups), F.pmod(F.xxhash64(key), F.lit(groups)).cast("int"))
 
 
+def small(keys: DataFrame) -> DataFrame:
+    """Stored key values, broadcast up to a bounded number of them."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
 def group_column(key: str, groups: int) -> str:
     """The partition column of a grouped table; the number of groups is fixed for its lifetime."""
     return f"{key}_of_{groups}"
@@ -158,8 +163,7 @@ def write_grouped(df: DataFrame, path: str, key: str, groups: int = GROUPS) -> N
     if not touched:
         return None
     known = spark.read.schema(fresh.schema).parquet(path).where(F.col(group).isin(touched))
-    gone = F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
-    stays = known.join(gone.drop(group), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    stays = known.join(small(keys.drop(group)), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
     _write_groups(fresh.unionByName(stays), path, key, group, "overwrite")
 
 

@@ -70,3 +70,38 @@ def test_grouped_tables_replace_the_values_present(spark, tmp_path):
     assert tables.read_table(spark, path).count() == len(want)
     with pytest.raises(ValueError, match="k_of_3"):
         tables.write_grouped(fresh, path, "k", 4)
+
+
+def test_unread_rows_of_a_grouped_table_are_those_of_the_changed_keys(spark, tmp_path):
+    path, manifest = str(tmp_path / "t"), str(tmp_path / "m")
+    old = spark.createDataFrame([(f"c{n % 30}" if n % 30 else None, n) for n in range(300)], "coin_id string, v int")
+    tables.write_grouped(old, path, "coin_id", 8)
+    tables.write_table(bronze.list_files(spark, path), manifest)
+    assert jobs.read_unread(spark, path, bronze.list_files(spark, path), manifest, grouped="coin_id") is None
+    more = old.where("coin_id = 'c7' or coin_id is null").withColumn("v", F.col("v") + 1000)
+    tables.append_grouped(more, path, "coin_id", 8)
+    unread = jobs.read_unread(spark, path, bronze.list_files(spark, path), manifest, grouped="coin_id")
+    want = [(c, n + k) for n in range(300) if n % 30 in (0, 7) for c in ["" if n % 30 == 0 else "c7"] for k in (0, 1000)]
+    assert sorted((r["coin_id"] or "", r["v"]) for r in unread.collect()) == sorted(want)
+    assert len({f.rpartition("/")[0] for f in unread.inputFiles() if "/t/coin_id_of_8=" in f}) <= 2
+    assert len(bronze.child_folders(spark, path)) <= 8
+
+
+def test_build_by_files_makes_no_folder_a_coin(spark, tmp_path, monkeypatch):
+    from marketlake.registry import relational
+
+    raw = [(n % 40, n % 7, float(1 + n % 9), n) for n in range(2000)]
+    spark.createDataFrame(raw, "coin int, day int, price double, seq long").selectExpr(
+        "cast(coin as string) coin_id", "date_add(date'2024-01-01', day) date", "price price_usd", "price market_cap_usd", "price volume_usd", "seq").write.parquet(
+        str(tmp_path / "raw"))
+    monkeypatch.setattr(relational.testbed, "raw_prices", lambda s, d: s.read.parquet(str(tmp_path / "raw")))
+    monkeypatch.setattr(relational, "shared_folder", lambda s, name: str(tmp_path / name))
+    monkeypatch.setattr(tables, "GROUPS", 4)
+    monkeypatch.setattr(tables.write_grouped, "__defaults__", (4,))
+    monkeypatch.setattr(tables.append_grouped, "__defaults__", (4,))
+    got = {(r["coin_id"], str(r["date"])): r["price_usd"] for r in relational.incremental_by_files(spark, "").collect()}
+    want = {}
+    for coin, day, price, _ in sorted(raw, key=lambda r: r[3]):
+        want[str(coin), f"2024-01-0{1 + day}"] = price
+    assert got == want
+    assert all(len(bronze.child_folders(spark, str(tmp_path / n))) <= 4 for n in ("history", "fact"))
