@@ -18,9 +18,10 @@ Adding a run places its rows only; nothing of earlier runs is rewritten, until
 cells (folders and row groups of other cells are skipped), keeps the best few
 by code, and reads the exact vectors of those alone.
 
-Search meets in (cell, slice) groups of bounded size on both sides, so neither a
-crowded cell nor a cell that many queries probe is one task's work. A search
-emits at most ``k * refine`` rows a query and group, never pairs.
+Search sends the queries to the codes in blocks of bounded size, one pass each,
+one block on the driver at a time: a query is not copied for the cells it looks
+into, and neither a crowded cell nor a cell that many queries probe is one task's
+work. A task emits at most ``k * refine`` rows a query, never pairs.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.similarity import DIGITS, cosine
+from marketlake.operators.similarity import DIGITS, _dense, _Top
 from marketlake.session import remove_folder, shared_folder
 from marketlake.sources import tables
 from marketlake.sources.bronze import child_folders, path_exists
@@ -48,8 +50,14 @@ SAMPLE = 32_768         # rows the centres are fitted on, at most
 CELLS = 4_096           # most cells: their centres are on the driver and in every task
 ROUNDS = 8              # of fitting
 GROUP = 16              # cells of one folder
-SLICE = 8_192           # rows a side of one (cell, slice) group, on average
+SLICE = 8_192           # codes that a task holds at once
+BLOCK = 8_192           # queries of one pass, on average
 TILE = 512              # queries of one matrix product
+MERGED = 500_000        # matches that wait to be merged
+FIRST = 1_024           # codes of the first product, which bounds the next ones
+DENSE = 0.15            # share of (query, cell) pairs that are looked into, from which all are
+SLACK = 1e-9            # what rounding may take from the similarity to a centre
+LEAST = -1e9            # below any guess, above what is barred
 TARGET = 0.95           # share of the true neighbours that the probed cells must hold, on the sample
 ASKED = 512             # queries of that measurement, and the neighbours that count for each
 NEAR = 10
@@ -57,7 +65,7 @@ REFINE = 8              # rows read again exactly, as a multiple of k
 LEVELS = 127            # steps of a component's code on either side of 0
 
 ENTRY = "id string, coin_id string, embedding array<double>, cell int, code binary, scale double"
-_PAIRS = "query_id string, match_id string, run int, cell int, guess double"
+_PAIRS = "query long, match_id string, run int, cell int, guess double"
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -122,49 +130,103 @@ class _Model:
             code = np.rint(rest / scale[:, None]).astype(np.int8)
             yield batch.assign(cell=cell.astype("int32"), code=[c.tobytes() for c in code], scale=scale)
 
-    def probes(self, batches: Iterator[pd.DataFrame], rows: np.ndarray, slices: np.ndarray, probe: int, need: int) -> Iterator[pd.DataFrame]:
-        """A copy of each query for every slice of the cells it looks into: the nearest ones, more until they hold enough rows."""
+    def reach(self, vectors: np.ndarray, rows: np.ndarray, probe: int, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """(least similarity of a centre that each query looks into, whether each cell is looked into): the nearest cells, more until they hold enough rows."""
+        least, asked = np.empty(len(vectors)), np.zeros(len(rows), dtype=bool)
+        for start in range(0, len(vectors), TILE):
+            near = vectors[start:start + TILE] @ self.centres.T
+            order = np.argsort(-near, axis=1, kind="stable")
+            before = np.cumsum(rows[order], axis=1) - rows[order]
+            last = np.maximum((before < need).sum(axis=1), min(probe, len(rows))) - 1
+            least[start:start + TILE] = near[np.arange(len(near)), order[np.arange(len(near)), last]] - SLACK
+            asked |= (near >= least[start:start + TILE, None]).any(axis=0)
+        return least, asked & (rows > 0)
+
+    def best(self, block: _Block, keep: int, other_coin: bool, other_id: bool, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """At most ``keep`` entries per query among those that come, by the similarity to what the code stands for.
+
+        Where the queries look into many of the cells that come, all of them look at
+        all codes, which finds no less and makes larger products.
+        """
+        top, single, labels, seen = _Top(len(block.names), keep, np.int64), block.vectors.astype("float32"), [], 0
+        known = {c: n for n, c in enumerate(dict.fromkeys(block.coins))}
+        own, held, found = np.array([known[c] for c in block.coins], dtype=np.int64), [], []
+
+        def merge() -> None:
+            if found:
+                top.add(*[np.concatenate(c) for c in zip(*found)])
+                found.clear()
+
+        def look(who: np.ndarray, at: np.ndarray, stands: np.ndarray, names: np.ndarray, coins: np.ndarray | None, first: int) -> None:
+            for start in range(0, len(who), TILE):
+                asking = who[start:start + TILE]
+                guess = single[asking] @ stands[at].T
+                if other_coin:
+                    guess[own[asking][:, None] == coins[at][None, :]] = -np.inf
+                if other_id:
+                    guess[block.names[asking][:, None] == names[at][None, :]] = -np.inf
+                loose = ~np.isfinite(top.low[asking])
+                if loose.any() and len(at) > keep:
+                    top.low[asking[loose]] = -np.partition(-guess[loose], keep - 1, axis=1)[:, keep - 1]
+                row, column = np.nonzero(guess >= np.maximum(top.low[asking], LEAST).astype("float32")[:, None])
+                found.append((asking[row], guess[row, column].astype("float64"), first + at[column]))
+                if sum(len(f[0]) for f in found) > MERGED:
+                    merge()
+
+        def meet() -> None:
+            nonlocal seen
+            rows = pa.Table.from_batches(held)
+            held.clear()
+            labels.append(rows.select(["id", "run", "cell"]))
+            cell, names = rows["cell"].to_numpy(), rows["id"].to_numpy()
+            codes = np.frombuffer(b"".join(rows["code"].to_pylist()), dtype=np.int8).reshape(len(names), -1)
+            stands = (self.centres[cell] + codes * rows["scale"].to_numpy()[:, None]).astype("float32")
+            coins = np.array([known.get(c, -1) for c in rows["coin_id"].to_pylist()], dtype=np.int64) if other_coin else None
+            numbers, place = np.unique(cell, return_inverse=True)
+            asks = block.vectors @ self.centres[numbers].T >= block.least[:, None]
+            first = sum(len(t) for t in labels) - len(names)
+            if asks.mean() > DENSE:
+                start = 0
+                while start < len(names):
+                    stop = min(len(names), start + max(FIRST, seen))
+                    look(np.arange(len(block.names)), np.arange(start, stop), stands, names, coins, first)
+                    merge()
+                    seen, start = seen + stop - start, stop
+            else:
+                order = np.argsort(place, kind="stable")
+                for n, at in enumerate(np.split(order, np.flatnonzero(np.diff(place[order])) + 1)):
+                    look(np.flatnonzero(asks[:, n]), at, stands, names, coins, first)
+            merge()
+
+        for batch in batches:
+            held.append(batch)
+            if sum(len(h) for h in held) >= size:
+                meet()
+        if held:
+            meet()
+        if labels:
+            label = pa.concat_tables(labels).take(pa.array(top.names)).combine_chunks()
+            columns = [pa.array(top.row), *[label[c].cast(t).combine_chunks() for c, t in (("id", pa.string()), ("run", pa.int32()), ("cell", pa.int32()))], pa.array(top.sim)]
+            columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) and c.num_chunks else c for c in columns]
+            if len(top.row):
+                yield pa.RecordBatch.from_arrays(columns, names=["query", "match_id", "run", "cell", "guess"])
+
+
+class _Block:
+    """Some queries: ids, coins, unit vectors and the least similarity of a centre that each looks into."""
+
+    def __init__(self, rows: pa.Table):
+        self.names, self.coins, self.vectors = rows["id"].to_numpy(), rows["coin_id"].to_pylist(), _dense(rows["embedding"])
+        self.least = None
+
+    def judge(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Similarities of matches whose exact vectors have come."""
         for batch in batches:
-            for start in range(0, len(batch), TILE):
-                tile = batch.iloc[start:start + TILE]
-                order = np.argsort(-(_matrix(tile["embedding"]) @ self.centres.T), axis=1, kind="stable")
-                before = np.cumsum(rows[order], axis=1) - rows[order]
-                row, place = np.nonzero(((before < need) | (np.arange(len(rows)) < probe)) & (rows[order] > 0))
-                cell = order[row, place]
-                copies = slices[cell]
-                own = np.repeat(np.arange(len(row)), copies)
-                number = np.arange(len(own)) - np.repeat(np.cumsum(copies) - copies, copies)
-                yield tile.iloc[row[own]].assign(cell=cell[own].astype("int32"), slice=number.astype("int32"))
-
-    def best(self, queries: pd.DataFrame, entries: pd.DataFrame, keep: int, other_coin: bool, other_id: bool) -> pd.DataFrame:
-        """At most ``keep`` entries per query of one group, by the similarity to what the code stands for."""
-        if not len(queries) or not len(entries):
-            return _NO_PAIRS
-        ids, coins = entries["id"].to_numpy(), entries["coin_id"].to_numpy()
-        cell = entries["cell"].to_numpy()
-        codes = np.frombuffer(b"".join(entries["code"]), dtype=np.int8).reshape(len(entries), -1)
-        known = (self.centres[cell] + codes * entries["scale"].to_numpy()[:, None]).T
-        out = [_NO_PAIRS]
-        for start in range(0, len(queries), TILE):
-            tile = queries.iloc[start:start + TILE]
-            guess = _matrix(tile["embedding"]) @ known
-            if other_coin:
-                guess[tile["coin_id"].to_numpy()[:, None] == coins[None, :]] = -np.inf
-            if other_id:
-                guess[tile["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-            some = min(keep, guess.shape[1])
-            column = np.argpartition(-guess, some - 1, axis=1)[:, :some]
-            row = np.repeat(np.arange(len(tile)), some)
-            column = column.ravel()
-            found = np.isfinite(guess[row, column])
-            row, column = row[found], column[found]
-            out.append(pd.DataFrame({"query_id": tile["id"].to_numpy()[row], "match_id": ids[column], "run": entries["run"].to_numpy()[column],
-                                     "cell": cell[column], "guess": guess[row, column]}))
-        return pd.concat(out)
-
-
-_NO_PAIRS = pd.DataFrame({"query_id": pd.Series(dtype=str), "match_id": pd.Series(dtype=str), "run": pd.Series(dtype="int32"),
-                          "cell": pd.Series(dtype="int32"), "guess": pd.Series(dtype=float)})
+            if len(batch):
+                query = batch["query"].to_numpy()
+                sim = np.einsum("ij,ij->i", self.vectors[query], _dense(batch["known"]))
+                yield pa.RecordBatch.from_arrays([pa.array(self.names[query], pa.string()), batch["match_id"], pa.array(np.round(sim, DIGITS))],
+                                                 names=["query_id", "match_id", "similarity"])
 
 
 def _load(spark: SparkSession, folder: str) -> _Model:
@@ -250,44 +312,49 @@ def search_index(
     Similarities are exact; which entries are found is approximate. A query looks
     into ``probe`` cells (as many as the index measured when it was built), or
     more until they hold ``k * refine`` entries.
-    ``queries`` (id, coin_id, embedding) are read twice.
+    ``queries`` (id, coin_id, embedding) are read twice. They go to the codes in
+    blocks, one pass each; the matches of a block are written before the next.
     """
     spark = queries.sparkSession
-    model, held = _load(spark, folder), entries(spark, folder)
-    keep = k * refine
+    model = _load(spark, folder)
     # bounded: one row a cell
-    counts = held.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    counts = entries(spark, folder).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toPandas()
     rows = np.zeros(len(model.centres), dtype=np.int64)
     rows[counts["cell"].to_numpy()] = counts["n"].to_numpy()
-    slices = -(-rows // size)
     asked = queries.select(F.col("id").cast("string").alias("id"), F.col("coin_id").cast("string").alias("coin_id"),
                            F.col("embedding").cast("array<double>").alias("embedding"))
-    copies = asked.mapInPandas(partial(model.probes, rows=rows, slices=slices, probe=probe or model.probe, need=keep),
-                               "id string, coin_id string, embedding array<double>, cell int, slice int")
-    # where many queries probe a cell they are split too, and its codes are copied once per split; bounded: one row a cell
-    asking = copies.where("slice = 0").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts")).toPandas()
-    if asking.empty:
+    blocks = -(-asked.count() // BLOCK)
+    if not blocks or not rows.any():
         return spark.createDataFrame([], "query_id string, match_id string, similarity double, rank int")
-    table = spark.createDataFrame([(int(c), int(slices[c]), int(p)) for c, p in asking.itertuples(index=False)], "cell int, slices int, parts int")
+
+    def search(part: DataFrame) -> DataFrame:
+        return _search_block(part.toArrow(), model, spark, folder, rows, k, probe or model.probe, k * refine, exclude_same_coin, exclude_self, size)
+
+    if blocks == 1:
+        return search(asked)
+    stored, found = shared_folder(spark, "queries"), shared_folder(spark, "matches")
+    asked.withColumn("_block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).write.partitionBy("_block").parquet(stored)
+    for part in child_folders(spark, stored):
+        search(spark.read.schema(asked.schema).parquet(f"{stored}/{part}")).write.mode("append").parquet(found)
+    return spark.read.parquet(found)
+
+
+def _search_block(
+    asked: pa.Table, model: _Model, spark: SparkSession, folder: str, rows: np.ndarray, k: int, probe: int, keep: int, other_coin: bool, other_id: bool, size: int
+) -> DataFrame:
+    block = _Block(asked)
+    block.least, cells = model.reach(block.vectors, rows, probe, keep)
     # folders of cells that nobody probes are not read
-    groups = sorted({int(c) // GROUP for c in asking["cell"]})
-    codes = (held.where(F.col("cells").isin(groups)).select("id", "coin_id", "cell", "code", "scale", "run").join(F.broadcast(table), "cell")
-             .withColumns({"slice": F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"), "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
-             .drop("slices", "parts"))
-    parted = copies.join(F.broadcast(table.select("cell", "parts")), "cell").withColumn(
-        "part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int")).drop("parts")
-    keys = ["cell", "slice", "part"]
-
-    def group(q: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        return model.best(q, e, keep, exclude_same_coin, exclude_self)
-
-    found = parted.groupBy(*keys).cogroup(codes.groupBy(*keys)).applyInPandas(group, _PAIRS)
-    order = Window.partitionBy("query_id").orderBy(F.desc("guess"), "match_id")
+    groups = sorted({int(c) // GROUP for c in np.flatnonzero(cells)})
+    held = entries(spark, folder).where(F.col("cells").isin(groups))
+    codes = held.select("id", "coin_id", "cell", "code", "scale", "run")
+    found = codes.mapInArrow(partial(model.best, block, keep, other_coin, other_id, size), _PAIRS)
+    order = Window.partitionBy("query").orderBy(F.desc("guess"), "match_id")
     few = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep).drop("place", "guess")
-    # the exact vectors of the few, and of nothing else
+    # the exact vectors of the few, and of nothing else; bounded: BLOCK x keep rows
     exact = held.select(F.col("id").alias("match_id"), "run", "cell", F.col("embedding").alias("known"))
-    judged = few.join(exact, ["match_id", "run", "cell"]).join(asked.select(F.col("id").alias("query_id"), F.col("embedding").alias("asked")), "query_id")
-    scored = judged.select("query_id", "match_id", F.round(cosine(F.col("asked"), F.col("known")), DIGITS).alias("similarity"))
+    judged = exact.join(F.broadcast(few), ["match_id", "run", "cell"]).select("query", "match_id", "known")
+    scored = judged.mapInArrow(block.judge, "query_id string, match_id string, similarity double")
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "match_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
